@@ -5,14 +5,15 @@ from pricewise.functions.text import (canonical_postcode, outcode, incode, inter
                                       truthy, keyword_predicate, upper_in)
 from pricewise.functions.numeric import (cast_numeric, price_band, log1p_label, expm1_pred,
                                          round_price, interval_bounds, is_finite_number,
-                                         generalisation_gap, gap_bucket, clip_upper)
+                                         generalisation_gap, gap_bucket, clip_upper,
+                                         round_half_up)
 from pricewise.functions.dates import (cast_timestamp, sold_year, sold_month, month_start,
-                                       epoch_millis_to_utc, epoch_days)
+                                       epoch_millis_to_utc, epoch_days, ntz_micros)
 
 __all__ = [
     "canonical_postcode", "outcode", "incode", "interaction", "truthy", "keyword_predicate",
     "upper_in", "cast_numeric", "price_band", "log1p_label", "expm1_pred", "round_price",
-    "interval_bounds", "is_finite_number", "generalisation_gap", "gap_bucket", "clip_upper",
+    "interval_bounds", "is_finite_number", "generalisation_gap", "gap_bucket", "clip_upper", "round_half_up",
     "cast_timestamp", "sold_year", "sold_month", "month_start", "epoch_millis_to_utc",
-    "epoch_days",
+    "epoch_days", "ntz_micros",
 ]

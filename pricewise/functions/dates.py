@@ -45,4 +45,11 @@ def epoch_millis_to_utc(ms: "Column | str") -> Column:
 
 def epoch_days(ts: "Column | str") -> Column:
     """Days since 1970-01-01 as a double (a timestamp as a model feature)."""
-    return F.unix_micros(as_col(ts).cast("timestamp")) / F.lit(86_400_000_000.0)
+    return ntz_micros(ts) / F.lit(86_400_000_000.0)
+
+
+def ntz_micros(ts: "Column | str") -> Column:
+    """Microseconds since 1970-01-01 of a wall-clock timestamp, independent of
+    the session time zone."""
+    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    return F.timestamp_diff("MICROSECOND", epoch, as_col(ts).cast("timestamp_ntz"))

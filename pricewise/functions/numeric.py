@@ -56,8 +56,19 @@ def expm1_pred(c: "Column | str") -> Column:
     return F.expm1(as_col(c))
 
 
+def round_half_up(c: "Column | str", digits: int = 2) -> Column:
+    """floor(x * 10^d + 0.5) / 10^d on the binary value, i.e. JavaScript's
+    ``Math.round(x * 100) / 100`` for d = 2. Spark's ``round`` instead rounds the
+    shortest decimal text of the double, which differs at apparent halves.
+    Magnitudes too large for the scaled floor (and NaN/inf) pass through."""
+    x = as_col(c).cast("double")
+    scale = float(10 ** digits)
+    return F.when(F.abs(x) < F.lit(1e14), F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)) \
+            .otherwise(x)
+
+
 def round_price(c: "Column | str") -> Column:
-    return F.round(as_col(c), 2)
+    return round_half_up(c, 2)
 
 
 def interval_bounds(price: "Column | str", rate: float = 0.1) -> Column:
@@ -65,10 +76,10 @@ def interval_bounds(price: "Column | str", rate: float = 0.1) -> Column:
 
     ``greatest`` skips nulls, so a null price is guarded explicitly.
     """
-    p = F.round(as_col(price), 2)
-    margin = F.round(p * F.lit(rate), 2)
-    lo = F.round(F.greatest(F.lit(0.0), p - margin), 2)
-    hi = F.round(p + margin, 2)
+    p = round_half_up(price, 2)
+    margin = round_half_up(p * F.lit(rate), 2)
+    lo = round_half_up(F.greatest(F.lit(0.0), p - margin), 2)
+    hi = round_half_up(p + margin, 2)
     return F.when(p.isNull(), F.lit(None).cast("array<double>")).otherwise(F.array(lo, hi))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricewise.functions.dates import ntz_micros
 from pricewise.operators.aggregates import group_median
 from pricewise.operators.stats import APPROX_ACCURACY, join_small
 
@@ -39,10 +40,8 @@ def rolling_median(df: DataFrame, partition_col: str, ts_col: str, value_col: st
     agg = (f"percentile_approx({_q(value_col)}, 0.5, {APPROX_ACCURACY})" if approx
            else f"percentile(CAST({_q(value_col)} AS DOUBLE), 0.5)")
     slice_us = slice_days * _US_PER_DAY
-    # halo pads one day so that a DST shift between wall clock and instant
-    # cannot drop a row from its neighbour slice
-    halo_us = (days + 1) * _US_PER_DAY
-    micros = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    halo_us = days * _US_PER_DAY
+    micros = ntz_micros(ts_col)
     own = F.floor(micros / F.lit(slice_us))
     last = F.floor((micros + F.lit(halo_us)) / F.lit(slice_us))
     sl, is_own = "__pw_slice", "__pw_own"

@@ -28,7 +28,8 @@ def register(name: str, sql: str | None = None):
 
 def round4(df: DataFrame) -> DataFrame:
     """Round every double column to 4 decimals (the oracle does the same)."""
-    return df.withColumns({c: F.round(F.col(c), 4) for c, t in df.dtypes if t == "double"})
+    from pricewise.functions.numeric import round_half_up
+    return df.withColumns({c: round_half_up(c, 4) for c, t in df.dtypes if t == "double"})
 
 
 # ------------------------------------------------------------------ builders
@@ -45,6 +46,19 @@ def engineered(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 # ------------------------------------------------------------------ pipelines
 
+def cast_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw sales after the coercing casts (before any row is dropped)."""
+    from pricewise.operators.clean import cast_columns
+    return cast_columns(T.sales_raw(spark, sf_dir), T.RAW_DTYPES)
+
+
+def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean sales (no keyword filter) with districts from the directory."""
+    from pricewise.operators.enrich import resolve_dimension
+    return resolve_dimension(cleaned(spark, sf_dir), "postcode",
+                             T.postcode_directory(spark, sf_dir), "postcode", "district")
+
+
 @register("clean_sales", Q.r4(Q.CLEAN_SQL, "price"))
 def q_clean_sales(spark, sf_dir):
     return round4(cleaned(spark, sf_dir))
@@ -54,3 +68,7 @@ def q_clean_sales(spark, sf_dir):
                                  "district_yearly_medians", "avg_price_last_half"))
 def q_engineer_sales(spark, sf_dir):
     return round4(engineered(spark, sf_dir))
+
+
+# Query modules register themselves on import.
+from pricewise.plans import q_clean, q_features, q_profile, q_runs, q_model, q_io  # noqa: E402,F401

@@ -92,10 +92,55 @@ LEFT JOIN dym ON roll.district = dym.district AND roll.sold_year = dym.sold_year
 """
 
 
+def rhu(expr: str, digits: int = 2) -> str:
+    """SQL twin of functions.numeric.round_half_up."""
+    m = 10 ** digits
+    return (f"CASE WHEN abs({expr}) < 1e14 THEN floor(({expr}) * {m}.0 + 0.5) / {m}.0 "
+            f"ELSE ({expr}) END")
+
+
 def r4(sql: str, *doubles: str) -> str:
     """Round the named double columns to 4 decimals (the Spark side rounds every
     double column the same way before results are compared)."""
     if not doubles:
         return sql
-    repl = ", ".join(f"round({c}, 4) AS {c}" for c in doubles)
+    repl = ", ".join(f"{rhu(c, 4)} AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({repl}) FROM ({sql}) rr"
+
+CAST_ONLY_SQL = f"""
+SELECT transaction_id, price, date, postcode, property_type, "old/new", duration, county
+FROM ({CAST_SQL}) c
+"""
+
+RESOLVED_ALL_SQL = f"""
+SELECT c.*, dl.district
+FROM ({CLEAN_SQL}) c
+LEFT JOIN ({DIR_LOOKUP_SQL}) dl ON {canon('c.postcode')} = dl.k
+WHERE {canon('c.postcode')} IS NULL OR dl.district IS NOT NULL
+"""
+
+REQUESTS_SQL = """
+SELECT c_custkey AS request_id,
+       'k' || CAST(c_custkey AS VARCHAR) || ' ' || lower(substr(c_mktsegment, 1, 3)) AS postcode,
+       lower(substr(c_mktsegment, 1, 1)) AS property_type,
+       CASE WHEN c_acctbal > 5000 THEN 'y' WHEN c_acctbal > 2500 THEN 'n' ELSE NULL END AS is_new_build,
+       CASE WHEN c_nationkey < 3 THEN 'x' WHEN c_nationkey < 15 THEN 'y' ELSE 'N' END AS is_leasehold
+FROM customer
+"""
+
+RUNS_SQL = """
+SELECT 'run-' || CAST(user_id AS VARCHAR) AS run_id,
+       CASE WHEN count_if(event_type = 'error') > count_if(event_type = 'purchase')
+            THEN 'FAILED' ELSE 'FINISHED' END AS status,
+       epoch_us(min(ts)) // 1000 AS start_time,
+       epoch_us(max(ts)) // 1000 AS end_time,
+       avg(CASE WHEN event_type = 'view' THEN value END) AS train_rmse,
+       avg(CASE WHEN event_type = 'click' THEN value END) AS validation_rmse,
+       avg(CASE WHEN event_type = 'click' THEN value * value END) AS validation_mse,
+       min(CASE WHEN event_type = 'click' THEN value END)
+         / max(CASE WHEN event_type = 'click' THEN value END) AS validation_r2,
+       avg(CASE WHEN event_type = 'purchase' THEN value END) AS test_rmse,
+       CASE WHEN count_if(event_type = 'signup') > 0 THEN 'yes' ELSE 'no' END AS log_target
+FROM events
+GROUP BY user_id
+"""

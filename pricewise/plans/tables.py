@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricewise.functions.dates import ntz_micros
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -118,3 +120,47 @@ QUANTITY_SIDE_SQL = """
 SELECT CAST(l_orderkey AS VARCHAR) AS transaction_id, CAST(l_quantity AS VARCHAR) AS quantity
 FROM lineitem
 """
+
+
+def requests_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scoring request per customer; some fields are invalid or missing on purpose
+    (by balance and nation), and customers outside the directory are unknown postcodes."""
+    c = read(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").alias("request_id"),
+        F.concat(F.lit("k"), F.col("c_custkey").cast("string"), F.lit(" "),
+                 F.lower(F.substring("c_mktsegment", 1, 3))).alias("postcode"),
+        F.lower(F.substring("c_mktsegment", 1, 1)).alias("property_type"),
+        F.when(F.col("c_acctbal") > 5000, "y").when(F.col("c_acctbal") > 2500, "n")
+         .alias("is_new_build"),
+        F.when(F.col("c_nationkey") < 3, "x").when(F.col("c_nationkey") < 15, "y")
+         .otherwise("N").alias("is_leasehold"))
+
+
+def runs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model-run records derived from events, one per user: status, epoch-ms
+    times, a metrics map (some metrics missing), params and tags maps."""
+    e = read(spark, sf_dir, "events")
+    et, v = F.col("event_type"), F.col("value")
+    agg = e.groupBy("user_id").agg(
+        F.count_if(et == "error").alias("__err"), F.count_if(et == "purchase").alias("__buy"),
+        F.count_if(et == "signup").alias("__sign"),
+        ntz_micros(F.min("ts")).alias("__t0"),
+        ntz_micros(F.max("ts")).alias("__t1"),
+        F.avg(F.when(et == "view", v)).alias("train_rmse"),
+        F.avg(F.when(et == "click", v)).alias("validation_rmse"),
+        F.avg(F.when(et == "click", v * v)).alias("validation_mse"),
+        (F.min(F.when(et == "click", v)) / F.max(F.when(et == "click", v))).alias("validation_r2"),
+        F.avg(F.when(et == "purchase", v)).alias("test_rmse"))
+    names = ("train_rmse", "validation_rmse", "validation_mse", "validation_r2", "test_rmse")
+    metrics = F.map_from_arrays(F.array(*[F.lit(n) for n in names]),
+                                F.array(*[F.col(n) for n in names]))
+    return agg.select(
+        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id"),
+        F.when(F.col("__err") > F.col("__buy"), "FAILED").otherwise("FINISHED").alias("status"),
+        F.floor(F.col("__t0") / 1000).cast("bigint").alias("start_time"),
+        F.floor(F.col("__t1") / 1000).cast("bigint").alias("end_time"),
+        metrics.alias("metrics"),
+        F.create_map(F.lit("log_target"), F.when(F.col("__sign") > 0, "yes").otherwise("no"),
+                     F.lit("model_class"), F.lit("GBTRegressor")).alias("params"),
+        F.create_map(F.lit("source"), F.lit("events")).alias("tags"))
