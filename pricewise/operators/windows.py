@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,65 +13,139 @@ from pricewise.operators.aggregates import group_median
 from pricewise.operators.stats import APPROX_ACCURACY, join_small
 
 _US_PER_DAY = 86_400_000_000
+# Rows one (key, slice) group may hold when slice_days='auto'.
+TARGET_GROUP_ROWS = 2_000_000
 
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def auto_slice_days(df: DataFrame, partition_col: str, ts_col: str, days: int,
+                    target_rows: int = TARGET_GROUP_ROWS) -> int:
+    """Slice width so that a (key, slice) group, halo included, stays near
+    ``target_rows`` for the densest key: one small aggregate (a row per key)."""
+    span = F.greatest(F.lit(1.0), F.datediff(F.max(ts_col).cast("date"), F.min(ts_col).cast("date")))
+    dens = (df.where(F.col(partition_col).isNotNull() & F.col(ts_col).isNotNull())
+              .groupBy(partition_col).agg((F.count(F.lit(1)) / span).alias("d"))
+              .agg(F.max("d")).first()[0])
+    if not dens:
+        return 4 * days
+    width = int(target_rows / dens) - days
+    return max(max(1, days // 4), min(width, 16 * days))
+
+
+def _sliced(df: DataFrame, ts_col: str, days: int, slice_days: int) -> DataFrame:
+    """Copy each row to its own time slice and to the following slices whose
+    rows may look back at it (halo): ``__pw_slice`` and ``__pw_own``."""
+    slice_us = slice_days * _US_PER_DAY
+    micros = ntz_micros(ts_col)
+    own = F.floor(micros / F.lit(slice_us))
+    last = F.floor((micros + F.lit(days * _US_PER_DAY)) / F.lit(slice_us))
+    return (df.withColumn("__pw_own_slice", own)
+              .withColumn("__pw_slice", F.explode(F.sequence(own, F.greatest(own, last))))
+              .withColumn("__pw_own", F.col("__pw_slice") == F.col("__pw_own_slice"))
+              .drop("__pw_own_slice"))
+
+
+def _rolling_group(days: int):
+    window = f"{days}D"
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ts", kind="stable")
+        ts = pd.DatetimeIndex(pdf["ts"].to_numpy())
+        values = pd.Series(pdf["v"].to_numpy(dtype=np.float64), index=ts)
+        # [t - days, t): left bound in, the row and its timestamp peers out
+        med = values.rolling(window, closed="left").median().to_numpy()
+        out = pd.DataFrame({"k": pdf["k"].to_numpy(), "ts": pdf["ts"].to_numpy(), "m": med})
+        out = out[pdf["own"].to_numpy()]
+        return out.drop_duplicates(subset=["ts"], keep="first")
+
+    return run
+
+
 def rolling_median(df: DataFrame, partition_col: str, ts_col: str, value_col: str,
-                   out_col: str, days: int = 180, slice_days: int | None = None,
-                   approx: bool = False, fallback: bool = True) -> DataFrame:
+                   out_col: str, days: int = 180, slice_days: "int | str | None" = None,
+                   approx: bool = False, fallback: bool = True,
+                   method: str = "pandas", fallback_stats: DataFrame | None = None) -> DataFrame:
     """Median of ``value_col`` over ``[ts - days, ts)`` within ``partition_col``.
 
     The left bound is included; the row itself and rows sharing its timestamp
-    are excluded. With ``fallback`` an empty window takes the partition's
-    overall median. Rows come back in input order semantics (no sort).
-
-    Scale: a plain ``PARTITION BY district`` window puts a whole district in
-    one task. Here each district is cut into time slices of ``slice_days``
-    (default 4 x ``days``); every slice also receives the previous ``days`` of
-    rows as a halo (each row is copied to at most 1 + ceil(days/slice_days)
-    slices), is windowed independently, and only its own rows are kept. The
-    result is exact; a hot district is spread over as many tasks as it has
-    slices. Spark re-evaluates the frame only when it changes, i.e. once per
-    distinct timestamp in the slice.
+    are excluded, so the value depends only on (key, ts). With ``fallback`` an
+    empty window takes the key's overall median. Null keys get null.
+
+    Scale: each key is cut into time slices of ``slice_days`` (default
+    4 x ``days``; 'auto' sizes them from the densest key) and every slice also
+    receives the previous ``days`` of rows as a halo (each row is copied to at
+    most 1 + ceil(days / slice_days) slices). A hot key is therefore spread
+    over as many tasks as it has slices, and each task holds one slice.
+
+    ``method='pandas'`` (default, exact) sends only (key, ts, value) of each
+    (key, slice) to an ``applyInPandas`` time-based rolling median,
+    O(n log w), returns one value per distinct (key, ts) and joins it back.
+    ``method='window'`` keeps everything in the JVM with a RANGE-frame
+    ``percentile`` (exact, but the frame is re-aggregated for every distinct
+    timestamp: O(n x w)); ``approx=True`` uses ``percentile_approx`` there.
+    ``fallback_stats`` (key, median) reuses an already computed key median.
     """
-    slice_days = slice_days or 4 * days
+    if slice_days == "auto":
+        slice_days = auto_slice_days(df, partition_col, ts_col, days)
+    slice_days = int(slice_days or 4 * days)
     if slice_days < 1:
         raise ValueError("slice_days must be positive")
-    agg = (f"percentile_approx({_q(value_col)}, 0.5, {APPROX_ACCURACY})" if approx
-           else f"percentile(CAST({_q(value_col)} AS DOUBLE), 0.5)")
-    slice_us = slice_days * _US_PER_DAY
-    halo_us = days * _US_PER_DAY
-    micros = ntz_micros(ts_col)
-    own = F.floor(micros / F.lit(slice_us))
-    last = F.floor((micros + F.lit(halo_us)) / F.lit(slice_us))
-    sl, is_own = "__pw_slice", "__pw_own"
-    expanded = (df.withColumn("__pw_own_slice", own)
-                    .withColumn(sl, F.explode(F.sequence(own, F.greatest(own, last))))
-                    .withColumn(is_own, F.col(sl) == F.col("__pw_own_slice")))
-    window = (f"{agg} OVER (PARTITION BY {_q(partition_col)}, {sl} ORDER BY {_q(ts_col)} "
-              f"RANGE BETWEEN INTERVAL '{days} 00:00:00' DAY TO SECOND PRECEDING "
-              f"AND INTERVAL '0 00:00:00.000001' DAY TO SECOND PRECEDING)")
-    rolled = (expanded.withColumn(out_col, F.expr(window))
-                      .where(F.col(is_own)).drop(sl, is_own, "__pw_own_slice"))
+    if approx or method == "window":
+        rolled = _rolling_window(df, partition_col, ts_col, value_col, out_col, days, slice_days, approx)
+    elif method == "pandas":
+        keyed = (df.where(F.col(partition_col).isNotNull() & F.col(ts_col).isNotNull())
+                   .select(F.col(partition_col).alias("k"), F.col(ts_col).cast("timestamp_ntz").alias("ts"),
+                           F.col(value_col).cast("double").alias("v")))
+        pieces = _sliced(keyed, "ts", days, slice_days).withColumnRenamed("__pw_own", "own")
+        kt = dict(keyed.dtypes)["k"]
+        medians = (pieces.groupBy("k", "__pw_slice")
+                         .applyInPandas(_rolling_group(days), f"k {kt}, ts timestamp_ntz, m double")
+                         .withColumnRenamed("k", partition_col)
+                         .withColumnRenamed("ts", "__pw_ts").withColumnRenamed("m", out_col))
+        base = df.drop(out_col) if out_col in df.columns else df
+        # one row per distinct (key, ts) on the right: the join never multiplies rows
+        rolled = (base.withColumn("__pw_ts", F.col(ts_col).cast("timestamp_ntz"))
+                      .join(medians, on=[partition_col, "__pw_ts"], how="left").drop("__pw_ts"))
+    else:
+        raise ValueError("method must be 'pandas' or 'window'")
     if not fallback:
         return rolled
-    overall = group_median(df, partition_col, value_col, "__pw_overall", approx)
+    if fallback_stats is not None:
+        overall = fallback_stats.toDF(partition_col, "__pw_overall")
+    else:
+        overall = group_median(df, partition_col, value_col, "__pw_overall", approx)
     return (join_small(rolled, overall, on=partition_col, how="left")
             .withColumn(out_col, F.coalesce(F.col(out_col), F.col("__pw_overall")))
             .drop("__pw_overall"))
 
 
+def _rolling_window(df: DataFrame, partition_col: str, ts_col: str, value_col: str,
+                    out_col: str, days: int, slice_days: int, approx: bool) -> DataFrame:
+    agg = (f"percentile_approx({_q(value_col)}, 0.5, {APPROX_ACCURACY})" if approx
+           else f"percentile(CAST({_q(value_col)} AS DOUBLE), 0.5)")
+    window = (f"{agg} OVER (PARTITION BY {_q(partition_col)}, __pw_slice ORDER BY {_q(ts_col)} "
+              f"RANGE BETWEEN INTERVAL '{days} 00:00:00' DAY TO SECOND PRECEDING "
+              f"AND INTERVAL '0 00:00:00.000001' DAY TO SECOND PRECEDING)")
+    return (_sliced(df, ts_col, days, slice_days).withColumn(out_col, F.expr(window))
+            .where(F.col("__pw_own")).drop("__pw_slice", "__pw_own"))
+
+
 def attach_group_median(df: DataFrame, key: str, value_col: str, out_col: str,
-                        approx: bool = False) -> DataFrame:
+                        approx: bool = False, stats: DataFrame | None = None) -> DataFrame:
     """Every row gets the median of ``value_col`` over its ``key`` group.
 
     Computed as a map-side-combined aggregate joined back (broadcast after a
     size check) rather than ``median() OVER (PARTITION BY key)``, which would
     buffer each whole group, including a hot one, inside a single task.
     """
-    stats = group_median(df, key, value_col, out_col, approx)
+    if stats is None:
+        stats = group_median(df, key, value_col, out_col, approx)
+    else:
+        stats = stats.toDF(key, out_col)
     base = df.drop(out_col) if out_col in df.columns else df
     return join_small(base, stats, on=key, how="left")
+
+

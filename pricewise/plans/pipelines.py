@@ -5,12 +5,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from pricewise.functions.dates import DEFAULT_TS_FORMAT
 from pricewise.operators.clean import (add_interaction, add_sold_month, add_sold_year,
                                        cast_columns, clip_upper_quantile, drop_null_rows,
                                        normalise_postcodes, rename_columns)
+from pricewise.operators.aggregates import group_median
 from pricewise.operators.enrich import attach_group_stat_join, resolve_dimension
 from pricewise.operators.filters import keyword_filter
 from pricewise.operators.windows import attach_group_median, rolling_median
@@ -43,7 +45,8 @@ def engineer_sales(df: DataFrame, *, directory: DataFrame | None, postcode_col:
                    district_col: str = "district", date_col: str = "date",
                    price_col: str = "price", year_col: str = "sold_year",
                    trend_key: str | None = None, window_days: int = 180,
-                   slice_days: int | None = None, approx: bool = False) -> DataFrame:
+                   slice_days: int | None = None, approx: bool = False,
+                   persist: bool = True) -> DataFrame:
     """keyword filter -> district -> three trend features -> three interactions.
 
     ``trend_key`` chooses the group of ``borough_price_trend``: the district
@@ -51,16 +54,24 @@ def engineer_sales(df: DataFrame, *, directory: DataFrame | None, postcode_col:
     source pipeline actually grouped by.
     """
     out = df
+    trend_key = trend_key or district_col
     if city_col and keywords:
         out = keyword_filter(out, city_col, keywords)
     if directory is not None:
         out = resolve_dimension(out, postcode_col, directory, directory_key, directory_value,
                                 out_col=district_col)
-    out = attach_group_median(out, trend_key or district_col, price_col, "borough_price_trend", approx)
+    if persist:
+        # five consumers read this intermediate (three aggregates, the rolling
+        # input and the join base): compute it once, spill if it must
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    district_medians = group_median(out, district_col, price_col, "price", approx)
+    out = attach_group_median(out, trend_key, price_col, "borough_price_trend", approx,
+                              stats=district_medians if trend_key == district_col else None)
     out = attach_group_stat_join(out, [district_col, year_col], price_col,
                                  "district_yearly_medians", approx)
     out = rolling_median(out, district_col, date_col, price_col, "avg_price_last_half",
-                         days=window_days, slice_days=slice_days, approx=approx)
+                         days=window_days, slice_days=slice_days, approx=approx,
+                         fallback_stats=district_medians)
     out = add_interaction(out, "advanced_property_type", "is_new_build", "property_type")
     out = add_interaction(out, "property_type_and_tenure", "is_leasehold", "property_type")
     return add_interaction(out, "property_type_and_district", district_col, "property_type")
