@@ -1,0 +1,119 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from pricewise.operators import filters as FL
+from pricewise.operators import runs as RU
+from pricewise.session import scratch_path
+from pricewise.sources import files as IO
+from pricewise.sources import registry as RG
+from tests.conftest import SF001, rows
+
+RUN_SCHEMA = ("run_id string, status string, start_time bigint, end_time bigint, "
+              "metrics map<string,double>, params map<string,string>, tags map<string,string>")
+
+
+def _run(rid, status, start, val, train=1.0):
+    m = {"validation_rmse": val, "validation_r2": 0.5, "validation_mse": 1.0, "train_rmse": train,
+         "test_rmse": 1.0}
+    return (rid, status, start, start + 10, m, {"log_target": "true"}, {})
+
+
+def test_ranking_tie_for_first_has_no_challenger(spark):
+    df = spark.createDataFrame([_run("a", "FINISHED", 1, 10.001), _run("b", "FINISHED", 2, 10.004),
+                                _run("c", "FINISHED", 3, 12.0)], RUN_SCHEMA)
+    got = dict(rows(RU.run_ranking(df), "run_id", "badge"))
+    assert got == {"a": "Champion", "b": "Champion", "c": "Archive"}
+
+
+def test_ranking_champion_challenger(spark):
+    df = spark.createDataFrame([_run("a", "FINISHED", 1, 3.0), _run("b", "FINISHED", 2, 1.0),
+                                _run("c", "FINISHED", 3, 2.0), _run("d", "FINISHED", 4, 2.0)], RUN_SCHEMA)
+    got = dict(rows(RU.run_ranking(df), "run_id", "badge"))
+    assert got == {"a": "Archive", "b": "Champion", "c": "Challenger", "d": "Challenger"}
+
+
+def test_finite_filter_gap_and_latest(spark):
+    bad = _run("x", "FINISHED", 9, float("nan"))
+    zero = _run("z", "FAILED", 10, 2.0, train=0.0)
+    df = spark.createDataFrame([_run("a", "FINISHED", 1, 1.0), bad, zero], RUN_SCHEMA)
+    assert [r.run_id for r in FL.has_finite_metrics(df).collect()] == ["a", "z"]
+    gaps = dict(rows(RU.generalisation(df), "run_id", "gap_label"))
+    assert gaps["z"] == "unavailable"   # train rmse 0
+    assert RU.latest_finished_run(df).first().run_id == "x"
+    assert [r.run_id for r in FL.finished_runs(df, 1).collect()] == ["x"]
+    with pytest.raises(ValueError):
+        FL.finished_runs(df, 0)
+    payload = RU.run_payload(df).where("run_id = 'a'").first()
+    assert payload.data.params["log_target"] == "true" and payload.info.status == "FINISHED"
+
+
+def test_scan_csv_header_rule(spark, tmp_path):
+    lines = "StudentID,FirstName,LastName,Age,Grade\n1,A,B,20,90\n2,C,D,21,80\n"
+    (tmp_path / "students.csv").write_text(lines)
+    (tmp_path / "students.noheader.csv").write_text("1,A,B,20,90\n2,C,D,21,80\n3,E,F,22,70\n")
+    names = ["StudentID", "FirstName", "LastName", "Age", "Grade"]
+    assert IO.scan_csv(spark, str(tmp_path / "students.noheader.csv"), names, names).count() == 3
+    assert IO.scan_csv(spark, str(tmp_path / "students.csv"), names, names).count() == 2
+    out = IO.scan_csv(spark, str(tmp_path / "students.csv"), names, ["Age", "StudentID"],
+                      types={"Age": "int"})
+    assert out.columns == ["StudentID", "Age"] and dict(out.dtypes)["Age"] == "int"
+    with pytest.raises(IO.SchemaMismatch):
+        IO.scan_csv(spark, str(tmp_path / "students.csv"), names, ["Missing"])
+
+
+def test_partitioned_write_prunes_and_is_idempotent(spark):
+    df = spark.read.parquet(f"{SF001}/orders.parquet").withColumn("y", F.year("o_orderdate"))
+    path = scratch_path(spark, "test-part")
+    IO.write_partitioned(df, path, ["y"])
+    IO.write_partitioned(df, path, ["y"])
+    back = IO.read_partitioned(spark, path)
+    assert back.count() == df.count()
+    q = back.where("y = 1996")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "1996" in plan
+    assert q.count() == df.where("y = 1996").count()
+
+
+def test_dataset_versions(spark):
+    df = spark.read.parquet(f"{SF001}/region.parquet")
+    base = scratch_path(spark, "test-gold")
+    IO.save_dataset_version(df, base, "a" * 64)
+    with pytest.raises(Exception):
+        IO.save_dataset_version(df, base, "a" * 64)
+    name = IO.table_name_from_checksum("a" * 64)
+    assert len(name) == 63
+    assert IO.load_dataset_version(spark, base, name).count() == 5
+    with pytest.raises(LookupError):
+        IO.load_dataset_version(spark, base, "gold_missing")
+
+
+def test_fingerprint_matches_hashlib(spark):
+    import hashlib
+    path = f"{SF001}/region.parquet"
+    row = IO.file_fingerprint(spark, path).first()
+    assert row.sha256 == hashlib.sha256(open(path, "rb").read()).hexdigest()
+    assert row.short_name == row.sha256[:16] + "_region.parquet"
+
+
+def test_registry_upsert_semantics(spark):
+    import datetime as dt
+    t = dt.datetime
+    log = spark.createDataFrame([("h1", "t_a", t(2024, 1, 1)), ("h1", "t_b", t(2024, 1, 3)),
+                                 ("h2", "t_c", t(2024, 1, 2))], "hash string, table_name string, inserted_at timestamp_ntz")
+    reg = RG.registry_upsert(log)
+    assert rows(reg) == [("h1", "t_b", t(2024, 1, 1)), ("h2", "t_c", t(2024, 1, 2))]
+    fp = spark.createDataFrame([("h1",), ("h3",)], "hash string")
+    assert rows(RG.unseen_datasets(fp, reg)) == [("h3",)]
+    assert RG.latest_dataset(reg).first().table_name == "t_c"
+
+
+def test_json_document_roundtrip(spark):
+    entries = spark.createDataFrame([("bpt", "camden", 1.0), ("bpt", "hackney", 2.0), ("dym", "camden_2020", 3.0)],
+                                    "lookup string, key string, price double")
+    path = IO.write_json_document(entries, scratch_path(spark, "test-doc"), "lookup", "key", "price")
+    back = IO.read_json_document(spark, path, "lookup", "key", "price")
+    assert rows(back) == rows(entries)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    assert len([f for f in os.listdir(local) if f.endswith(".json")]) == 1
