@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pricewise.plans import sqltext as Q
 from pricewise.plans import tables as T
+from pricewise.plans.layers import materialized
 from pricewise.plans.pipelines import clean_sales, engineer_sales
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -26,22 +27,34 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def round4(df: DataFrame) -> DataFrame:
-    """Round every double column to 4 decimals (the oracle does the same)."""
+def round4(df: DataFrame, digits: dict[str, int] | None = None) -> DataFrame:
+    """Round every double column to 4 decimals, or to ``digits[col]`` (the
+    oracle does the same): large sums carry too few significant digits for 4."""
     from pricewise.functions.numeric import round_half_up
-    return df.withColumns({c: round_half_up(c, 4) for c, t in df.dtypes if t == "double"})
+    digits = digits or {}
+    return df.withColumns({c: round_half_up(c, digits.get(c, 4)) for c, t in df.dtypes if t == "double"})
 
 
 # ------------------------------------------------------------------ builders
 
-def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_sales(T.sales_raw(spark, sf_dir), dtype_map=T.RAW_DTYPES,
                        loading_cols=T.LOADED_COLUMNS, renames=T.RENAMES)
 
 
-def engineered(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return engineer_sales(cleaned(spark, sf_dir), directory=T.postcode_directory(spark, sf_dir),
-                          keywords=Q.FLAGSHIP_KEYWORDS, **kw)
+def engineer_from(spark: SparkSession, sf_dir: str, clean: DataFrame) -> DataFrame:
+    return engineer_sales(clean, directory=T.postcode_directory(spark, sf_dir),
+                          keywords=Q.FLAGSHIP_KEYWORDS)
+
+
+def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver layer: clean sales, partitioned by sold_year, written once per session."""
+    return materialized(spark, "silver", sf_dir, lambda: clean_from_raw(spark, sf_dir), ("sold_year",))
+
+
+def engineered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold layer: engineered sales built from the silver layer, written once per session."""
+    return materialized(spark, "gold", sf_dir, lambda: engineer_from(spark, sf_dir, cleaned(spark, sf_dir)))
 
 
 # ------------------------------------------------------------------ pipelines
@@ -61,13 +74,15 @@ def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("clean_sales", Q.r4(Q.CLEAN_SQL, "price"))
 def q_clean_sales(spark, sf_dir):
-    return round4(cleaned(spark, sf_dir))
+    """PL1 from the raw tables (not the stored silver layer)."""
+    return round4(clean_from_raw(spark, sf_dir))
 
 
 @register("engineer_sales", Q.r4(Q.ENGINEERED_SQL, "price", "borough_price_trend",
                                  "district_yearly_medians", "avg_price_last_half"))
 def q_engineer_sales(spark, sf_dir):
-    return round4(engineered(spark, sf_dir))
+    """PL2 end to end from the raw tables (not the stored gold layer)."""
+    return round4(engineer_from(spark, sf_dir, clean_from_raw(spark, sf_dir)))
 
 
 # Query modules register themselves on import.

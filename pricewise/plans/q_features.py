@@ -250,6 +250,10 @@ def q_stratified(spark, sf_dir):
     return round4(_stratified(spark, sf_dir))
 
 
+# squared prices reach 1e10+: compare mse in whole units and rmse in cents
+METRIC_DIGITS = {"mse": 0, "rmse": 2}
+
+
 @register("regression_metrics", r4(f"""
 SELECT split, sqrt(avg((y - p) * (y - p))) AS rmse, avg((y - p) * (y - p)) AS mse,
        CASE WHEN var_pop(y) * count(*) > 0 THEN 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))
@@ -258,10 +262,11 @@ SELECT split, sqrt(avg((y - p) * (y - p))) AS rmse, avg((y - p) * (y - p)) AS ms
 FROM (SELECT s.split, e.price AS y, e.borough_price_trend AS p
       FROM ({STRATIFIED_SQL}) s JOIN {ENG} ON s.transaction_id = e.transaction_id) j
 WHERE y IS NOT NULL AND p IS NOT NULL
-GROUP BY split""".replace(f"JOIN {ENG}", f"JOIN ({Q.ENGINEERED_SQL}) e"), "rmse", "mse", "r2"))
+GROUP BY split""".replace(f"JOIN {ENG}", f"JOIN ({Q.ENGINEERED_SQL}) e"), "rmse", "mse", "r2",
+                                     digits=METRIC_DIGITS))
 def q_regression_metrics(spark, sf_dir):
     """Metrics of the district-median baseline on each split."""
     split = _stratified(spark, sf_dir).select("transaction_id", "split")
     eng = engineered(spark, sf_dir).select("transaction_id", "price", "borough_price_trend")
     return round4(regression_metrics(eng.join(split, "transaction_id"), "price",
-                                     "borough_price_trend", "split"))
+                                     "borough_price_trend", "split"), METRIC_DIGITS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -136,7 +137,12 @@ def q_ks(spark, sf_dir):
 
 
 def quality_report(df: DataFrame, id_col: str, numeric=None, text=None) -> DataFrame:
-    """All six profile sections as (section, column, key, value, text) rows."""
+    """All six profile sections as (section, column, key, value, text) rows.
+
+    The sections share one persisted scan of ``df`` (spilled to disk if it
+    does not fit), instead of six re-reads of its lineage.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     numeric = list(numeric) if numeric is not None else PR.numeric_columns(df)
     text = list(text) if text is not None else PR.text_columns(df)
     none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast("string")

@@ -99,12 +99,13 @@ def rhu(expr: str, digits: int = 2) -> str:
             f"ELSE ({expr}) END")
 
 
-def r4(sql: str, *doubles: str) -> str:
-    """Round the named double columns to 4 decimals (the Spark side rounds every
-    double column the same way before results are compared)."""
+def r4(sql: str, *doubles: str, digits: dict[str, int] | None = None) -> str:
+    """Round the named double columns to 4 decimals, or ``digits[col]`` (the Spark
+    side rounds every double column the same way before results are compared)."""
     if not doubles:
         return sql
-    repl = ", ".join(f"{rhu(c, 4)} AS {c}" for c in doubles)
+    digits = digits or {}
+    repl = ", ".join(f"{rhu(c, digits.get(c, 4))} AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({repl}) FROM ({sql}) rr"
 
 CAST_ONLY_SQL = f"""
