@@ -8,22 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewise.operators.filters import recent_rows
-from pricewise.operators.stats import median_expr
+from pricewise.operators.quantiles import exact_median
+from pricewise.operators.stats import median_expr, quantile_method
+
+
+def keyed_median(df: DataFrame, keys: Sequence[str], value_col: str, out_col: str,
+                 approx: bool = False) -> DataFrame:
+    """Median of ``value_col`` per non-null key tuple, by the session's quantile
+    method (see ``stats.quantile_method``)."""
+    keys = list(keys)
+    method = quantile_method(df.sparkSession, approx)
+    if method == "distributed":
+        return exact_median(df, keys, value_col, out_col)
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return df.where(cond).groupBy(*keys).agg(median_expr(value_col, method == "approx").alias(out_col))
 
 
 def group_median(df: DataFrame, key: str, value_col: str = "price", out_col: str = "price",
                  approx: bool = False) -> DataFrame:
     """Exact median of ``value_col`` per non-null ``key`` (partial aggregation map-side)."""
-    return (df.where(F.col(key).isNotNull())
-              .groupBy(key).agg(median_expr(value_col, approx).alias(out_col)))
+    return keyed_median(df, [key], value_col, out_col, approx)
 
 
 def group_median_composite(df: DataFrame, key: str, year_col: str, value_col: str = "price",
                            out_key: str = "district_year", out_col: str = "price",
                            approx: bool = False) -> DataFrame:
     """Median per (key, year), keyed as ``'{key}_{year}'``."""
-    return (df.where(F.col(key).isNotNull() & F.col(year_col).isNotNull())
-              .groupBy(key, year_col).agg(median_expr(value_col, approx).alias(out_col))
+    return (keyed_median(df, [key, year_col], value_col, out_col, approx)
               .select(F.concat_ws("_", F.col(key), F.col(year_col).cast("bigint").cast("string")).alias(out_key),
                       out_col))
 
@@ -37,7 +50,7 @@ def recent_group_median(df: DataFrame, key: str, date_col: str, value_col: str =
 def global_fallback(group_medians: DataFrame, value_col: str = "price",
                     out_col: str = "global_median") -> DataFrame:
     """Median of the per-group medians (not of all rows): one row."""
-    return group_medians.agg(median_expr(value_col).alias(out_col))
+    return keyed_median(group_medians, [], value_col, out_col)
 
 
 def category_count(df: DataFrame, col: str, out_col: str = "count") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pricewise.functions.numeric import cast_numeric
 from pricewise.functions.text import canonical_postcode
-from pricewise.operators.stats import join_small, median_expr
+from pricewise.operators.stats import join_small
 
 _KEY = "__pw_key"
 
@@ -54,8 +54,9 @@ def augment_median(main: DataFrame, side: DataFrame, key: str, value_col: str,
             raise KeyError(f"'{key}' must exist in both DataFrames ({name} lacks it)")
     if value_col not in side.columns:
         raise KeyError(f"'{value_col}' column missing from augmented DataFrame")
-    agg = (side.where(F.col(key).isNotNull())
-               .groupBy(key).agg(median_expr(cast_numeric(value_col), approx).alias(out_col or value_col)))
+    from pricewise.operators.aggregates import keyed_median
+    agg = keyed_median(side.withColumn(value_col, cast_numeric(value_col)), [key], value_col,
+                       out_col or value_col, approx)
     kwargs = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
     return join_small(main, agg, on=key, how=how, **kwargs) if kwargs else main.join(agg, on=key, how=how)
 
@@ -81,11 +82,8 @@ def attach_group_stat_join(df: DataFrame, keys: Sequence[str], value_col: str, o
     The aggregate is combined map-side; its output (one row per key tuple) is
     broadcast only after its row count is checked.
     """
-    keys = list(keys)
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    stats = df.where(cond).groupBy(*keys).agg(median_expr(value_col, approx).alias(out_col))
+    from pricewise.operators.aggregates import keyed_median
+    stats = keyed_median(df, list(keys), value_col, out_col, approx)
     return join_small(df.drop(out_col) if out_col in df.columns else df, stats, on=keys, how="left")
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewise.operators.split import random_split
-from pricewise.operators.stats import APPROX_ACCURACY, join_small
+from pricewise.operators.quantiles import exact_quantiles
+from pricewise.operators.stats import APPROX_ACCURACY, join_small, quantile_method
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 _FLOATS = ("float", "double")
@@ -66,6 +67,13 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None,
     """count, mean, sample std, min, quartiles, max per numeric column (nulls/NaN ignored)."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     long = to_long(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    if quantile_method(df.sparkSession, approx) == "distributed":
+        quart = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
+        moments = long.groupBy("column").agg(
+            F.count("value").cast("double").alias("count"), F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+        return (join_small(moments, quart, on="column", how="left")
+                .select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"))
     qs = (F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)),
                               F.lit(APPROX_ACCURACY)) if approx
           else F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
@@ -83,10 +91,15 @@ def outlier_count(df: DataFrame, cols: Sequence[str] | None = None,
     """(column, outliers): values strictly outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR]."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     long = to_long(df, cols)
-    qf = (F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.75)), F.lit(APPROX_ACCURACY))
-          if approx else F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))))
-    bounds = (long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-                  .groupBy("column").agg(qf.alias("__q"))
+    present = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    if quantile_method(df.sparkSession, approx) == "distributed":
+        quart = (exact_quantiles(present, ["column"], "value", [0.25, 0.75], ["q1", "q3"])
+                 .select("column", F.array("q1", "q3").alias("__q")))
+    else:
+        qf = (F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.75)), F.lit(APPROX_ACCURACY))
+              if approx else F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))))
+        quart = present.groupBy("column").agg(qf.alias("__q"))
+    bounds = (quart
                   .select("column",
                           (F.col("__q")[0] - 1.5 * (F.col("__q")[1] - F.col("__q")[0])).alias("__lo"),
                           (F.col("__q")[1] + 1.5 * (F.col("__q")[1] - F.col("__q")[0])).alias("__hi")))

@@ -32,9 +32,28 @@ def median_expr(col: "Column | str", approx: bool = False) -> Column:
     return quantile_expr(col, 0.5, approx)
 
 
+QUANTILE_METHOD_CONF = "pricewise.quantile.method"
+
+
+def quantile_method(spark, approx: bool = False) -> str:
+    """'percentile' (built-in exact aggregate, default), 'distributed' (exact,
+    no group gathered in one task: set this for hot groups at cluster scale)
+    or 'approx'. Read from the session conf ``pricewise.quantile.method``."""
+    if approx:
+        return "approx"
+    method = spark.conf.get(QUANTILE_METHOD_CONF, "percentile")
+    if method not in ("percentile", "distributed", "approx"):
+        raise ValueError(f"{QUANTILE_METHOD_CONF} must be percentile, distributed or approx")
+    return method
+
+
 def quantile_scalar(df: DataFrame, col: str, q: float, approx: bool = False) -> Column:
     """The q-quantile of a whole column as a scalar-subquery Column."""
-    return df.select(quantile_expr(col, q, approx)).scalar()
+    method = quantile_method(df.sparkSession, approx)
+    if method == "distributed":
+        from pricewise.operators.quantiles import exact_quantiles
+        return exact_quantiles(df, [], col, [q], ["__pw_q"]).scalar()
+    return df.select(quantile_expr(col, q, method == "approx")).scalar()
 
 
 def join_small(big: DataFrame, small: DataFrame, on: "str | Sequence[str]", how: str = "left",

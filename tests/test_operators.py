@@ -151,3 +151,31 @@ def test_recent_rows_month_clamp(spark):
     df = spark.createDataFrame([(d(2020, 8, 31),), (d(2020, 2, 29),), (d(2020, 2, 28),)], "date timestamp_ntz")
     # 2020-08-31 minus 6 months clamps to 2020-02-29
     assert FL.recent_rows(df, "date", 6).count() == 2
+
+
+def test_distributed_quantiles_match_percentile(spark):
+    from pricewise.operators.quantiles import exact_quantiles
+    # one hot group holding most rows, ties, a single-row group and a null key
+    data = [("hot", float(v % 97)) for v in range(3000)] + [("one", 5.0), ("tie", 2.0), ("tie", 2.0),
+                                                            (None, 1.0), ("hot", None)]
+    df = spark.createDataFrame(data, "k string, v double")
+    qs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r.k: [r[f"q{i}"] for i in range(5)] for r in
+           exact_quantiles(df, ["k"], "v", qs, [f"q{i}" for i in range(5)], buckets=8).collect()}
+    ref = {r.k: [r[f"q{i}"] for i in range(5)] for r in
+           df.where("k IS NOT NULL").groupBy("k").agg(*[F.percentile("v", q).alias(f"q{i}") for i, q in enumerate(qs)]).collect()}
+    assert got.keys() == ref.keys()
+    for k in ref:
+        assert got[k] == pytest.approx(ref[k], abs=1e-9)
+
+
+def test_quantile_method_conf_switch(spark):
+    sales = _sales(spark)
+    base = rows(AG.group_median(sales, "district"))
+    spark.conf.set("pricewise.quantile.method", "distributed")
+    try:
+        assert rows(AG.group_median(sales, "district")) == base
+        clipped = C.clip_upper_quantile(sales, "price", 0.5)
+        assert max(r.price for r in clipped.collect()) == 700000.0
+    finally:
+        spark.conf.unset("pricewise.quantile.method")

@@ -97,3 +97,14 @@ def test_regression_metrics(spark):
     assert got["const"].r2 == 1.0 and got["const2"].r2 == 0.0
     names = {r.metric for r in ME.metrics_record(ME.regression_metrics(df, "y", "p", "s")).collect()}
     assert "val_rmse" in names and "train_r2" in names
+
+
+def test_profile_distributed_quantiles_agree(spark, small):
+    base_p = rows(PR.numeric_profile(small, ["price", "sqft"]))
+    base_o = rows(PR.outlier_count(small, ["price", "sqft"]))
+    spark.conf.set("pricewise.quantile.method", "distributed")
+    try:
+        assert rows(PR.numeric_profile(small, ["price", "sqft"])) == base_p
+        assert rows(PR.outlier_count(small, ["price", "sqft"])) == base_o
+    finally:
+        spark.conf.unset("pricewise.quantile.method")
