@@ -143,3 +143,24 @@ def q_rejected(spark, sf_dir):
                                          T.postcode_directory(spark, sf_dir),
                                          allowed_types=T.PROPERTY_TYPES)
     return rejected
+
+
+@register("stream_serving_features", Q.r4(SERVING_OUT_SQL, "borough_price_trend",
+                                          "district_yearly_medians", "avg_price_last_half"))
+def q_stream_serving(spark, sf_dir):
+    """The serving features as a Structured Streaming query: the request table
+    lands as files, the stream joins static lookups (stateless), and a file sink
+    with a checkpoint writes the features; the result is the sink read back."""
+    from pricewise.session import scratch_path
+    from pricewise.streaming.scoring import read_request_stream, stream_features
+    src = scratch_path(spark, "requests-in")
+    T.requests_table(spark, sf_dir).write.parquet(src)
+    eng = engineered(spark, sf_dir)
+    feats, _rejected = stream_features(read_request_stream(spark, src), T.postcode_directory(spark, sf_dir),
+                                       build_lookup_tables(eng), eng.select(F.max("date")).scalar(),
+                                       allowed_types=T.PROPERTY_TYPES)
+    out, ckpt = scratch_path(spark, "features-out"), scratch_path(spark, "features-ckpt")
+    query = (feats.writeStream.format("parquet").option("checkpointLocation", ckpt)
+                  .trigger(availableNow=True).start(out))
+    query.awaitTermination()
+    return round4(spark.read.schema(feats.schema).parquet(out))
