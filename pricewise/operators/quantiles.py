@@ -5,8 +5,10 @@ group holding a third of the data holds all its distinct values there.
 This variant keeps every step distributed:
 
 1. count rows per (group, value): the shuffle spreads a hot group by value;
-2. cut each group's values into ``buckets`` ranges at approximate quantile
-   edges (the edges only balance work, they never change the answer);
+2. put each distinct value in an order-preserving bucket: sign-aware
+   floor(log2|v| * 64), i.e. ranges about 1.1 % wide, so a bucket can only
+   hold the distinct values of a narrow range (no pass is needed to find
+   edges, and the bucket never changes the answer, only the work split);
 3. a small (groups x buckets) table of bucket sizes and rank offsets tells
    which buckets hold ranks floor((n-1)q) and ceil((n-1)q);
 4. only those buckets are ranked, each inside its own task, and the two
@@ -20,14 +22,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewise.operators.stats import APPROX_ACCURACY, join_small
 
 _G = "__pw_g"
 
 
+def value_bucket(v: str = "v", per_octave: int = 64):
+    """Order-preserving integer bucket of a double: 0 for zero, positive and
+    increasing for v > 0, negative and increasing for v < 0."""
+    a = F.abs(F.col(v))
+    octave = F.floor((F.log2(a) + F.lit(1100.0)) * F.lit(float(per_octave)))
+    return (F.when(F.col(v) == 0, F.lit(0)).when(F.col(v) > 0, octave + 1)
+             .otherwise(-octave - 1)).cast("bigint")
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, qs: Sequence[float],
-                    out_cols: Sequence[str], buckets: int = 64) -> DataFrame:
-    """One row per non-null key tuple: the exact linear-interpolated quantiles."""
+                    out_cols: Sequence[str], per_octave: int = 64) -> DataFrame:
+    """One row per non-null key tuple: the exact linear-interpolated quantiles
+    (same definition as ``percentile`` and DuckDB's ``quantile_cont``)."""
     keys = list(keys)
     grp = keys or [_G]
     base = df if keys else df.withColumn(_G, F.lit(0))
@@ -35,15 +46,13 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, qs: Sequ
     for k in keys:
         cond = cond & F.col(k).isNotNull()
     vc = (base.where(cond).select(*grp, F.col(value_col).cast("double").alias("v"))
-              .groupBy(*grp, "v").agg(F.count(F.lit(1)).alias("c")))
-    fracs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    edges = vc.groupBy(*grp).agg(F.percentile_approx("v", fracs, F.lit(APPROX_ACCURACY)).alias("e"),
-                                 F.sum("c").alias("n"))
-    tagged = (join_small(vc, edges, on=grp, how="inner")
-                .withColumn("b", F.size(F.filter("e", lambda x: x < F.col("v")))).drop("e"))
-    sizes = tagged.groupBy(*grp, "b").agg(F.sum("c").alias("bc"), F.first("n").alias("n"))
-    prior = Window.partitionBy(*grp).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("off", F.coalesce(F.sum("bc").over(prior), F.lit(0)))
+              .groupBy(*grp, "v").agg(F.count(F.lit(1)).alias("c"))
+              .withColumn("b", value_bucket("v", per_octave)))
+    sizes = vc.groupBy(*grp, "b").agg(F.sum("c").alias("bc"))
+    by_group = Window.partitionBy(*grp)
+    prior = by_group.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = (sizes.withColumn("off", F.coalesce(F.sum("bc").over(prior), F.lit(0)))
+                  .withColumn("n", F.sum("bc").over(by_group)))
     # target ranks per quantile (0-based): lo = floor(pos), hi = ceil(pos)
     pos = F.array(*[F.struct(F.lit(i).alias("qi"), ((F.col("n") - 1) * F.lit(q)).alias("pos"))
                     for i, q in enumerate(qs)])
@@ -51,21 +60,28 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, qs: Sequ
                  .withColumn("r", F.explode(F.array(F.floor("pos"), F.ceil("pos"))))
                  .where((F.col("r") >= F.col("off")) & (F.col("r") < F.col("off") + F.col("bc")))
                  .select(*grp, "b", "off", "qi", "pos", "r"))
-    # rank values only inside the buckets that hold a target rank
-    cand = tagged.join(want.select(*grp, "b").distinct(), on=[*grp, "b"], how="left_semi")
+    # rank values only inside the buckets that hold a target rank. The
+    # candidates are hash-partitioned by (group, bucket) once; the semi join,
+    # the rank window and the join with ``want`` (at most 2 x len(qs) rows per
+    # group) all reuse that partitioning, so no broadcast is needed.
+    cand = vc.join(want.select(*grp, "b"), on=[*grp, "b"], how="left_semi")
     cum = Window.partitionBy(*grp, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     cand = cand.withColumn("cum", F.sum("c").over(cum))
-    hit = join_small(cand, want, on=[*grp, "b"], how="inner")
+    hit = cand.join(want, on=[*grp, "b"], how="inner")
     hit = hit.where((F.col("r") >= F.col("off") + F.col("cum") - F.col("c"))
                     & (F.col("r") < F.col("off") + F.col("cum")))
-    per_q = (hit.groupBy(*grp, "qi", "pos")
-                .agg(F.min_by("v", "r").alias("lo"), F.max_by("v", "r").alias("hi")))
-    per_q = per_q.withColumn("val", F.col("lo") + (F.col("pos") - F.floor("pos")) * (F.col("hi") - F.col("lo")))
-    out = per_q.groupBy(*grp).agg(*[F.max(F.when(F.col("qi") == i, F.col("val"))).alias(name)
-                                   for i, name in enumerate(out_cols)])
+    aggs = []
+    for i in range(len(qs)):
+        mine = F.col("qi") == i
+        aggs += [F.max(F.when(mine, F.col("pos"))).alias(f"__p{i}"),
+                 F.max(F.when(mine & (F.col("r") == F.floor("pos")), F.col("v"))).alias(f"__lo{i}"),
+                 F.max(F.when(mine & (F.col("r") == F.ceil("pos")), F.col("v"))).alias(f"__hi{i}")]
+    out = hit.groupBy(*grp).agg(*aggs)
+    out = out.select(*grp, *[(F.col(f"__lo{i}") + (F.col(f"__p{i}") - F.floor(f"__p{i}"))
+                              * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(name)
+                             for i, name in enumerate(out_cols)])
     return out.drop(_G) if not keys else out
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value_col: str, out_col: str,
-                 buckets: int = 64) -> DataFrame:
-    return exact_quantiles(df, keys, value_col, [0.5], [out_col], buckets)
+def exact_median(df: DataFrame, keys: Sequence[str], value_col: str, out_col: str) -> DataFrame:
+    return exact_quantiles(df, keys, value_col, [0.5], [out_col])

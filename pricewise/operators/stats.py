@@ -36,12 +36,14 @@ QUANTILE_METHOD_CONF = "pricewise.quantile.method"
 
 
 def quantile_method(spark, approx: bool = False) -> str:
-    """'percentile' (built-in exact aggregate, default), 'distributed' (exact,
-    no group gathered in one task: set this for hot groups at cluster scale)
-    or 'approx'. Read from the session conf ``pricewise.quantile.method``."""
+    """'distributed' (default: exact, and no group's values ever meet in one
+    task), 'percentile' (Spark's exact aggregate: fewer stages, but its final
+    merge holds every distinct value of a group in one task, so only for
+    groups known to be small) or 'approx'. Read from the session conf
+    ``pricewise.quantile.method``."""
     if approx:
         return "approx"
-    method = spark.conf.get(QUANTILE_METHOD_CONF, "percentile")
+    method = spark.conf.get(QUANTILE_METHOD_CONF, "distributed")
     if method not in ("percentile", "distributed", "approx"):
         raise ValueError(f"{QUANTILE_METHOD_CONF} must be percentile, distributed or approx")
     return method
