@@ -34,9 +34,10 @@ def cast_numeric(c: "Column | str") -> Column:
 
 
 def clip_upper(x: "Column | str", cap: Column) -> Column:
-    """``x`` capped at ``cap``; null stays null (``least`` would turn null into cap)."""
+    """``x`` capped at ``cap``; null stays null (``least`` alone would turn null
+    into cap). ``cap`` is referenced once, so a scalar-subquery cap runs once."""
     v = as_col(x)
-    return F.when(v > cap, cap).otherwise(v)
+    return F.when(v.isNull(), F.lit(None).cast("double")).otherwise(F.least(v.cast("double"), cap))
 
 
 def price_band(c: "Column | str", edges: Sequence[float] = PRICE_BAND_EDGES) -> Column:

@@ -24,10 +24,13 @@ def clean_sales(df: DataFrame, *, dtype_map: Mapping[str, str], postcode_col: st
                 loading_cols: Sequence[str] | None = None, date_col: str = "date",
                 price_col: str = "price", clip_price: bool = True, clip_quantile: float = 0.99,
                 renames: Mapping[str, str] | None = None,
-                ts_format: str = DEFAULT_TS_FORMAT) -> DataFrame:
+                ts_format: str = DEFAULT_TS_FORMAT, persist: bool = True) -> DataFrame:
     """cast -> postcodes -> drop nulls -> year, month -> clip price -> rename.
 
     The clip quantile is taken over all cleaned rows, before any later filter.
+    The exact quantile reads its input twice (counts, then selection) and the
+    clip reads it once more, so the pre-clip rows are persisted (spillable)
+    rather than re-derived three times.
     """
     out = cast_columns(df, dtype_map, ts_format)
     out = normalise_postcodes(out, raw_col=postcode_col)
@@ -35,6 +38,8 @@ def clean_sales(df: DataFrame, *, dtype_map: Mapping[str, str], postcode_col: st
     out = add_sold_year(out, date_col)
     out = add_sold_month(out, date_col)
     if clip_price:
+        if persist:
+            out = out.persist(StorageLevel.MEMORY_AND_DISK)
         out = clip_upper_quantile(out, price_col, clip_quantile)
     return rename_columns(out, renames or {})
 
