@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricewise.session import scratch_path
+from pricewise.session import app_key, scratch_path
 
 _PATHS: dict = {}
 
@@ -22,7 +22,7 @@ _PATHS: dict = {}
 def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame],
                  partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``build()`` once for (session, name, input folder); return a scan of it."""
-    key = (spark.sparkContext.applicationId, name, sf_dir)
+    key = (app_key(spark), name, sf_dir)
     if key not in _PATHS:
         df = build()
         path = scratch_path(spark, name)

@@ -30,7 +30,8 @@ def split_engineered(spark, sf_dir):
 def fitted(spark, sf_dir):
     """Train once per session and table directory (the model is small; the
     data it was fitted on stays distributed)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    from pricewise.session import app_key
+    key = (app_key(spark), sf_dir)
     if key not in _MODELS:
         parts = split_engineered(spark, sf_dir)
         train = parts.where(F.col("split") == "train")

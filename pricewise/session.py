@@ -28,11 +28,29 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a remote (Connect) one."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no local SparkContext
+        return None
+
+
+def app_key(spark: SparkSession) -> str:
+    """Identity of the running application (keys per-session caches)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when unset.
 
@@ -40,11 +58,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder (HDFS/S3/...); we never replace it. Only a bare local session
     (tests) gets a private folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured
     if not configured:
         configured = tempfile.mkdtemp(prefix="pricewise-ckpt-")
     sc.setCheckpointDir(configured)
@@ -64,12 +86,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return max(1, int(spark.sparkContext.defaultParallelism))
+    sc = _context(spark)
+    return sc is not None and sc.master.startswith("local")
 
 
 __all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "cut_lineage",
-           "is_local", "default_parallelism", "LOCAL_CONF"]
+           "is_local", "app_key", "LOCAL_CONF"]
