@@ -167,7 +167,7 @@ def _prefix_by_value(counts: DataFrame, sum_cols: Sequence[str], buckets: int) -
 
 
 def ks_drift(df: DataFrame, id_col: str, cols: Sequence[str] | None = None,
-             test_frac: float = 0.2, seed: int = 42, buckets: int = 32) -> DataFrame:
+             test_frac: float = 0.2, seed: int = 42, buckets: int | None = None) -> DataFrame:
     """(column, ks): two-sample Kolmogorov-Smirnov statistic between the train
     and test sides of an exact hash split, per numeric column (nulls dropped).
 
@@ -181,6 +181,9 @@ def ks_drift(df: DataFrame, id_col: str, cols: Sequence[str] | None = None,
         F.count_if(F.col("__side") == "train").alias("a"),
         F.count_if(F.col("__side") == "test").alias("b"))
     sizes = counts.groupBy("column").agg(F.sum("a").alias("__na"), F.sum("b").alias("__nb"))
+    if buckets is None:
+        # ~1M distinct values per (column, bucket) running-sum window
+        buckets = int(min(4096, max(32, -(-counts.count() // (1_000_000 * max(1, len(cols)))))))
     cum = _prefix_by_value(counts, ["a", "b"], buckets)
     cum = join_small(cum, sizes, on="column", how="inner")
     diff = F.abs(F.try_divide(F.col("cum_a").cast("double"), F.col("__na"))

@@ -24,6 +24,16 @@ RANK = "__pw_rank"
 SIZE = "__pw_n"
 _BUCKET = "__pw_bucket"
 DEFAULT_BUCKETS = 256
+# auto sizing: about this many rows per (stratum, bucket) rank window
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 1 << 16
+
+
+def auto_buckets(df: DataFrame, floor: int = DEFAULT_BUCKETS) -> int:
+    """Bucket count for ~ROWS_PER_BUCKET rows per rank window (one count pass);
+    the offset table stays at most strata x MAX_BUCKETS rows."""
+    n = df.count()
+    return int(min(MAX_BUCKETS, max(floor, -(-n // ROWS_PER_BUCKET))))
 
 
 def as_fraction(x: float) -> Fraction:
@@ -43,9 +53,14 @@ def hash_key(id_col: str, seed: int) -> Column:
 
 
 def hash_rank(df: DataFrame, id_col: str, seed: int = 42, strata: Sequence[str] = (),
-              buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Add ``__pw_rank`` (1-based rank within the stratum) and ``__pw_n`` (stratum size)."""
+              buckets: int | None = None) -> DataFrame:
+    """Add ``__pw_rank`` (1-based rank within the stratum) and ``__pw_n`` (stratum size).
+
+    ``buckets`` None sizes the hash buckets from the row count; any value gives
+    the same ranks, it only sets how much one rank window sorts.
+    """
     strata = list(strata)
+    buckets = buckets or auto_buckets(df)
     h = hash_key(id_col, seed)
     # first 8 hex digits -> [0, 2^32): a bucket index monotone in the hash order
     prefix = F.conv(F.substring(F.col(HASH), 1, 8), 16, 10).cast("bigint")
@@ -67,7 +82,7 @@ def hash_rank(df: DataFrame, id_col: str, seed: int = 42, strata: Sequence[str]
 
 
 def random_split(df: DataFrame, id_col: str, test_frac: float = 0.2, seed: int = 42,
-                 out_col: str = "split", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 out_col: str = "split", buckets: int | None = None) -> DataFrame:
     """'train'/'test' with exactly ceil(test_frac * n) test rows (lowest hash ranks)."""
     ranked = hash_rank(df, id_col, seed, (), buckets)
     n_test = ceil_share(SIZE, as_fraction(test_frac))
@@ -78,7 +93,7 @@ def random_split(df: DataFrame, id_col: str, test_frac: float = 0.2, seed: int =
 def stratified_split(df: DataFrame, id_col: str, price_col: str = "price",
                      test_frac: float = 0.15, val_frac: float = 0.15, seed: int = 42,
                      out_col: str = "split", band_col: str | None = None,
-                     buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                     buckets: int | None = None) -> DataFrame:
     """'test' / 'validation' / 'train' with exact shares inside each price band.
 
     Per band of n rows: test = ceil(test_frac * n); validation =
