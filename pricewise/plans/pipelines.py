@@ -50,7 +50,7 @@ def engineer_sales(df: DataFrame, *, directory: DataFrame | None, postcode_col:
                    district_col: str = "district", date_col: str = "date",
                    price_col: str = "price", year_col: str = "sold_year",
                    trend_key: str | None = None, window_days: int = 180,
-                   slice_days: int | None = None, approx: bool = False,
+                   slice_days: "int | str | None" = "auto", approx: bool = False,
                    persist: bool = True) -> DataFrame:
     """keyword filter -> district -> three trend features -> three interactions.
 
