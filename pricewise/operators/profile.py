@@ -87,12 +87,18 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None,
 
 
 def outlier_count(df: DataFrame, cols: Sequence[str] | None = None,
-                  approx: bool = False) -> DataFrame:
-    """(column, outliers): values strictly outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR]."""
+                  approx: bool = False, profile: DataFrame | None = None) -> DataFrame:
+    """(column, outliers): values strictly outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR].
+
+    ``profile`` (a ``numeric_profile`` result) supplies the quartiles so a
+    report computes them once.
+    """
     cols = list(cols) if cols is not None else numeric_columns(df)
     long = to_long(df, cols)
     present = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    if quantile_method(df.sparkSession, approx) == "distributed":
+    if profile is not None:
+        quart = profile.select("column", F.array("q25", "q75").alias("__q"))
+    elif quantile_method(df.sparkSession, approx) == "distributed":
         quart = (exact_quantiles(present, ["column"], "value", [0.25, 0.75], ["q1", "q3"])
                  .select("column", F.array("q1", "q3").alias("__q")))
     else:

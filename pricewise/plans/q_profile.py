@@ -155,13 +155,13 @@ def quality_report(df: DataFrame, id_col: str, numeric=None, text=None) -> DataF
                                      F.col("type").alias("text")),
     ]
     if numeric:
-        prof = PR.numeric_profile(df, numeric)
+        prof = PR.numeric_profile(df, numeric).persist(StorageLevel.MEMORY_AND_DISK)
         stats = F.array(*[F.struct(F.lit(k).alias("key"), F.col(c).alias("value"))
                           for k, c in zip(PR.PROFILE_STATS, NUM_DOUBLES)])
         parts += [
             prof.select(F.lit("numeric_stats").alias("section"), "column", F.inline(stats))
                 .withColumn("text", none_s),
-            PR.outlier_count(df, numeric).select(F.lit("outliers").alias("section"), "column",
+            PR.outlier_count(df, numeric, profile=prof).select(F.lit("outliers").alias("section"), "column",
                                                  F.lit("count").alias("key"),
                                                  F.col("outliers").cast("double").alias("value"),
                                                  none_s.alias("text")),

@@ -68,6 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         return configured
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
+        # a bare local session (tests) gets a private folder
         configured = tempfile.mkdtemp(prefix="pricewise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
