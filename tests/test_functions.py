@@ -107,8 +107,8 @@ def test_finite_and_gap(spark):
 
 
 def test_keyword_predicate_null_and_empty(spark):
-    df = spark.createDataFrame([("GREATER LONDON",), ("Kent",), (None,)], "c string")
-    assert df.where(PF.keyword_predicate("c", ["london"])).count() == 1
+    df = spark.createDataFrame([("WEST MIDLANDS",), ("Kent",), (None,)], "c string")
+    assert df.where(PF.keyword_predicate("c", ["midlands"])).count() == 1
     assert df.where(PF.keyword_predicate("c", [])).count() == 3
-    assert df.where(PF.keyword_predicate("c", ["lon", "^g"])).count() == 1
+    assert df.where(PF.keyword_predicate("c", ["mid", "^w"])).count() == 1
     assert df.where(F.lit(True) & PF.keyword_predicate("c", ["nowhere"])).count() == 0
