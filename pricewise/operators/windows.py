@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 
 import numpy as np
 import pandas as pd
@@ -52,18 +53,35 @@ def _rolling_group(days: int):
     window = f"{days}D"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts", kind="stable")
-        ts = pd.DatetimeIndex(pdf["ts"].to_numpy())
-        values = pd.Series(pdf["v"].to_numpy(dtype=np.float64), index=ts)
-        # [t - days, t): left bound in, the row and its timestamp peers out
-        med = values.rolling(window, closed="left").median().to_numpy()
-        out = pd.DataFrame({"k": pdf["k"].to_numpy(), "ts": pdf["ts"].to_numpy(), "m": med})
-        out = out[pdf["own"].to_numpy()]
-        return out.drop_duplicates(subset=["ts"], keep="first")
+        # several keys share one call; each key is rolled on its own time index
+        parts = []
+        for _key, g in pdf.groupby("k", sort=False):
+            g = g.sort_values("ts", kind="stable")
+            values = pd.Series(g["v"].to_numpy(dtype=np.float64), index=pd.DatetimeIndex(g["ts"].to_numpy()))
+            # [t - days, t): left bound in, the row and its timestamp peers out
+            med = values.rolling(window, closed="left").median().to_numpy()
+            out = pd.DataFrame({"k": g["k"].to_numpy(), "ts": g["ts"].to_numpy(), "m": med})
+            parts.append(out[g["own"].to_numpy()].drop_duplicates(subset=["ts"], keep="first"))
+        if not parts:
+            return pd.DataFrame({"k": pdf["k"], "ts": pdf["ts"], "m": pd.Series(dtype=np.float64)})
+        return pd.concat(parts, ignore_index=True)
 
     return run
 
 
+def _key_buckets(keyed: DataFrame, days: int, slice_days: int, target_rows: int) -> int:
+    """Keys per pandas call: hash buckets sized so a (bucket, slice) group holds
+    about ``target_rows`` (one count pass); never fewer than the default
+    parallelism, so small inputs still spread over the cores."""
+    n = keyed.count()
+    copies = 1.0 + days / slice_days
+    try:
+        cores = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    except Exception:
+        cores = 200
+    return int(max(cores, math.ceil(n * copies / target_rows)))
+
+
 def rolling_median(df: DataFrame, partition_col: str, ts_col: str, value_col: str,
                    out_col: str, days: int = 180, slice_days: "int | str | None" = None,
                    approx: bool = False, fallback: bool = True,
@@ -80,9 +98,11 @@ def rolling_median(df: DataFrame, partition_col: str, ts_col: str, value_col: st
     most 1 + ceil(days / slice_days) slices). A hot key is therefore spread
     over as many tasks as it has slices, and each task holds one slice.
 
-    ``method='pandas'`` (default, exact) sends only (key, ts, value) of each
-    (key, slice) to an ``applyInPandas`` time-based rolling median,
-    O(n log w), returns one value per distinct (key, ts) and joins it back.
+    ``method='pandas'`` (default, exact) sends only (key, ts, value) to an
+    ``applyInPandas`` time-based rolling median, O(n log w), grouped by
+    (hash bucket of the key, slice) so that many small keys share one call
+    while a hot key still only brings its own bounded slice; it returns one
+    value per distinct (key, ts), joined back.
     ``method='window'`` keeps everything in the JVM with a RANGE-frame
     ``percentile`` (exact, but the frame is re-aggregated for every distinct
     timestamp: O(n x w)); ``approx=True`` uses ``percentile_approx`` there.
@@ -100,8 +120,10 @@ def rolling_median(df: DataFrame, partition_col: str, ts_col: str, value_col: st
                    .select(F.col(partition_col).alias("k"), F.col(ts_col).cast("timestamp_ntz").alias("ts"),
                            F.col(value_col).cast("double").alias("v")))
         pieces = _sliced(keyed, "ts", days, slice_days).withColumnRenamed("__pw_own", "own")
+        n_buckets = _key_buckets(keyed, days, slice_days, TARGET_GROUP_ROWS)
+        pieces = pieces.withColumn("__pw_kb", F.pmod(F.xxhash64("k"), F.lit(n_buckets)))
         kt = dict(keyed.dtypes)["k"]
-        medians = (pieces.groupBy("k", "__pw_slice")
+        medians = (pieces.groupBy("__pw_kb", "__pw_slice")
                          .applyInPandas(_rolling_group(days), f"k {kt}, ts timestamp_ntz, m double")
                          .withColumnRenamed("k", partition_col)
                          .withColumnRenamed("ts", "__pw_ts").withColumnRenamed("m", out_col))
