@@ -14,10 +14,13 @@ DEFAULT_TS_FORMAT = "yyyy-MM-dd HH:mm"
 def cast_timestamp(c: "Column | str", fmt: str = DEFAULT_TS_FORMAT) -> Column:
     """Text -> TIMESTAMP_NTZ in ``fmt``; text in any other layout becomes null.
 
-    Timestamp columns pass through unchanged.
+    ``try_to_timestamp`` only decides validity (it never raises); the value
+    itself comes from ``to_timestamp_ntz``, which does not pass through the
+    session time zone, so wall-clock times inside a DST gap are kept.
     """
-    x = as_col(c)
-    return F.try_to_timestamp(x.cast("string"), F.lit(fmt)).cast("timestamp_ntz")
+    text = as_col(c).cast("string")
+    valid = F.try_to_timestamp(text, F.lit(fmt)).isNotNull()
+    return F.when(valid, F.to_timestamp_ntz(text, F.lit(fmt)))
 
 
 def sold_year(ts: "Column | str") -> Column:

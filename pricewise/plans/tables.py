@@ -41,6 +41,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ntz_text(ts) -> "F.Column":
+    """'yyyy-MM-dd HH:mm' of a TIMESTAMP_NTZ from field extractors, so the text
+    never passes through the session time zone (``date_format`` would)."""
+    def two(c):
+        return F.lpad(c.cast("string"), 2, "0")
+    return F.concat(F.lpad(F.year(ts).cast("string"), 4, "0"), F.lit("-"), two(F.month(ts)), F.lit("-"),
+                    two(F.dayofmonth(ts)), F.lit(" "), two(F.hour(ts)), F.lit(":"), two(F.minute(ts)))
+
+
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text columns as a CSV scan would give them, bad values included:
     price text 'unknown' for pending low-priority orders, date text
@@ -53,7 +62,7 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.when(pending & (F.col("o_orderpriority") == "5-LOW"), F.lit("unknown")) \
              .otherwise(F.format_string("%.2f", F.col("o_totalprice")))
     date = F.when(pending & (F.col("o_orderpriority") == "4-NOT SPECIFIED"), F.lit("not recorded")) \
-            .otherwise(F.date_format(F.col("o_orderdate"), "yyyy-MM-dd HH:mm"))
+            .otherwise(ntz_text(F.col("o_orderdate")))
     joined = (o.join(c, o.o_custkey == c.c_custkey)
                .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
                .join(r, F.col("n_regionkey") == F.col("r_regionkey")))

@@ -112,3 +112,14 @@ def test_keyword_predicate_null_and_empty(spark):
     assert df.where(PF.keyword_predicate("c", [])).count() == 3
     assert df.where(PF.keyword_predicate("c", ["mid", "^w"])).count() == 1
     assert df.where(F.lit(True) & PF.keyword_predicate("c", ["nowhere"])).count() == 0
+
+
+def test_cast_timestamp_ignores_session_zone(spark):
+    # 1995-10-15 00:00 does not exist in America/Sao_Paulo (DST started at midnight)
+    df = spark.createDataFrame([("1995-10-15 00:00",)], "s string")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        got = df.select(PF.cast_timestamp("s").alias("t")).first().t
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == dt.datetime(1995, 10, 15, 0, 0)
