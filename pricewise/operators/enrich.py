@@ -87,6 +87,23 @@ def attach_group_stat_join(df: DataFrame, keys: Sequence[str], value_col: str, o
     return join_small(df.drop(out_col) if out_col in df.columns else df, stats, on=keys, how="left")
 
 
+def district_profile(district_lookup: DataFrame, yearly_lookup: DataFrame,
+                     recent_lookup: DataFrame) -> DataFrame:
+    """One small row per district: trend median, recent median and a
+    year -> median map (parsed back from the 'district_year' keys).
+
+    The map holds one entry per year of one district, so it stays small."""
+    yl = (yearly_lookup
+          .select(F.regexp_extract("district_year", r"^(.*)_(-?[0-9]+)$", 1).alias("district"),
+                  F.regexp_extract("district_year", r"^(.*)_(-?[0-9]+)$", 2).cast("bigint").alias("__y"),
+                  F.col("price"))
+          .groupBy("district")
+          .agg(F.map_from_entries(F.collect_list(F.struct("__y", "price"))).alias("__years")))
+    dl = district_lookup.select("district", F.col("price").alias("__bpt"))
+    rl = recent_lookup.select("district", F.col("price").alias("__recent"))
+    return dl.join(rl, "district", "full_outer").join(yl, "district", "full_outer")
+
+
 def lookup_with_fallback(requests: DataFrame, district_col: str, year_col: str,
                          district_lookup: DataFrame, yearly_lookup: DataFrame,
                          recent_lookup: DataFrame, global_value) -> DataFrame:
@@ -96,27 +113,18 @@ def lookup_with_fallback(requests: DataFrame, district_col: str, year_col: str,
     - ``district_yearly_medians``: (district, year), else (district, year-1), else global
     - ``avg_price_last_half``: recent district median, else global
 
-    Lookups are small dimension tables (one row per district or district-year),
+    The three lookups are folded into one per-district profile, so the
+    request table (which can be as large as the data) takes one join,
     broadcast after a size check; ``global_value`` is a scalar Column.
     """
-    d = F.col(district_col)
-    y = F.col(year_col)
-    dl = district_lookup.select(F.col("district").alias("__d1"), F.col("price").alias("__bpt"))
-    yl_cur = yearly_lookup.select(F.col("district_year").alias("__k1"), F.col("price").alias("__cur"))
-    yl_prev = yearly_lookup.select(F.col("district_year").alias("__k2"), F.col("price").alias("__prev"))
-    rl = recent_lookup.select(F.col("district").alias("__d2"), F.col("price").alias("__recent"))
-    out = requests.withColumns({
-        "__d1": d, "__d2": d,
-        "__k1": F.concat_ws("_", d, y.cast("string")),
-        "__k2": F.concat_ws("_", d, (y - 1).cast("string")),
-    })
-    out = join_small(out, dl, on="__d1", how="left")
-    out = join_small(out, yl_cur, on="__k1", how="left")
-    out = join_small(out, yl_prev, on="__k2", how="left")
-    out = join_small(out, rl, on="__d2", how="left")
+    prof = district_profile(district_lookup, yearly_lookup, recent_lookup) \
+        .withColumnRenamed("district", "__pw_d")
+    out = join_small(requests.withColumn("__pw_d", F.col(district_col)), prof, on="__pw_d", how="left")
+    y = F.col(year_col).cast("bigint")
     g = global_value.cast("double")
     return (out.withColumns({
         "borough_price_trend": F.coalesce(F.col("__bpt"), g),
-        "district_yearly_medians": F.coalesce(F.col("__cur"), F.col("__prev"), g),
+        "district_yearly_medians": F.coalesce(F.try_element_at("__years", y),
+                                              F.try_element_at("__years", y - 1), g),
         "avg_price_last_half": F.coalesce(F.col("__recent"), g),
-    }).drop("__d1", "__d2", "__k1", "__k2", "__bpt", "__cur", "__prev", "__recent"))
+    }).drop("__pw_d", "__bpt", "__recent", "__years"))
