@@ -86,19 +86,21 @@ def per_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 class Words:
     """Words of a block of rows: maximal runs of bytes outside ``separators``,
-    A-Z lower-cased unless ``lower`` is off. Words never span rows.
+    A-Z lower-cased unless ``lower`` is off. Words never span rows, nor the bytes
+    before which ``cuts`` is set.
 
     ``data`` holds the bytes of all words back to back, ``off`` the word
     offsets in it, ``first`` the index of each row's first word (rows + 1).
     """
 
-    def __init__(self, data: np.ndarray, rows: np.ndarray, separators: bytes, lower: bool = True):
+    def __init__(self, data: np.ndarray, rows: np.ndarray, separators: bytes, lower: bool = True,
+                 cuts: np.ndarray | None = None):
         in_word = np.ones(256, bool)
         in_word[np.frombuffer(separators, np.uint8)] = False
         inside = in_word[data]
         starts = inside.copy()
         if len(data):
-            starts[1:] &= ~inside[:-1]
+            starts[1:] &= ~inside[:-1] if cuts is None else ~inside[:-1] | cuts[1:]
             at = rows[:-1][rows[:-1] < len(data)]
             starts[at] = inside[at]
         pos = np.flatnonzero(starts)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewise.llm import poisson_mix, quality_gbt, rans_tokens, simhash_bytes, suffix_decontam
+from pricewise.llm import (poisson_mix, quality_gbt, rans_tokens, ring_shards, secret_tests, simhash_bytes,
+                           srs_neighbours, suffix_decontam, token_counts)
 from pricewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,11 +48,33 @@ def op3(spark, sf_dir):
                                     tokenizer_file("word_bpe_49k.json"))
 
 
+@register("op5_srs_neighbours")
+def op5(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return srs_neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+@register("op6_ring_shards")
+def op6(spark, sf_dir):
+    return ring_shards.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @register("op7_simhash")
 def op7(spark, sf_dir):
     return simhash_bytes.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text_hash")
 
 
+@register("op8_token_counts")
+def op8(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                     tokenizer_file("byte_bpe_50k.json"))
+
+
+@register("op9_secrets")
+def op9(spark, sf_dir):
+    return secret_tests.secret_report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @register("op10_quality")
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")

@@ -16,20 +16,22 @@ lane states (u64), words (u32), all little-endian.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from pricewise.llm.common import SPACES, Words, join_sized, stored, sub_batches, utf8
+from pricewise.llm.common import LOWER, SPACES, Words, join_sized, stored, sub_batches, utf8
 from pricewise.session import scratch_path
 
 MAGIC, VERSION = b"PWRA", 1
@@ -40,7 +42,7 @@ CHECK_ROWS = 128
 BLOCK_TOKENS = 1 << 19
 PART_TOKENS = 8 << 20
 LOW = np.uint64(1) << np.uint64(32)
-CACHE_WORDS = 200_000  # of the per-worker memo from words to ids
+CACHE_WORDS = 300_000  # of the per-worker memo from pieces to ids
 
 
 # ------------------------------------------------------------------ coder
@@ -149,40 +151,89 @@ def crc(ids: np.ndarray) -> int:
 
 # ------------------------------------------------------------------ tokenizer
 
-class Encoder:
-    """Encodes whole texts with a ``tokenizers`` file through a memo of words.
+# Fixed value: the split pattern under which a text may be cut into pieces before it is encoded.
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_LETTER = np.zeros(256, bool)
+_LETTER[97:123] = True
+_MARK = np.array([33 <= c < 127 and not chr(c).isalnum() and chr(c) != "'" for c in range(256)])
+
 
-    For tokenizers whose pre-tokens never cross white space (as here, where it is
-    dropped), a text's ids are those of its words between ASCII white space in
-    turn; every distinct word is encoded by the library once.
+class Encoder:
+    """Encodes whole texts with a ``tokenizers`` file.
+
+    Where the file lower-cases, drops white space and splits by SPLIT, a text's
+    ids are those of its pieces in turn, cut at ASCII white space and between an
+    ASCII letter and an ASCII mark other than the apostrophe: no pre-token, no
+    contraction and no composed character spans such a place. Distinct pieces
+    are encoded by the library once (letters alone by its model, since nothing
+    normalises or splits them). Rows that may hold added tokens, and all rows
+    of other files, go through the library whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        spec = json.loads(self.tok.to_str())
+        steps = [n.get("type") for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        pre = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.by_piece = (steps == ["NFC", "Replace", "Lowercase"] and spec["model"]["type"] == "BPE"
+                         and pre[0].get("pattern") == {"Regex": SPLIT} and pre[0].get("invert")
+                         and spec["model"].get("dropout") is None and spec["post_processor"] is None
+                         and all(t["content"].startswith("<|") and not (t["normalized"] or t["lstrip"] or t["rstrip"])
+                                 for t in spec["added_tokens"]))
         self.memo: dict[bytes, list[int]] = {}
 
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
     def __call__(self, column: pa.Array, end_id: int) -> list[np.ndarray]:
         """Ids of every text, each followed by ``end_id``."""
+        column = pc.fill_null(column, "")
+        end = np.uint32(end_id)
+        if not self.by_piece:
+            return [np.append(i, end) for i in self._whole(column.to_pylist())]
+        marked = np.flatnonzero(pc.match_substring(column, "<|").to_numpy(zero_copy_only=False))
+        rest = column
+        if len(marked):
+            keep = np.ones(len(column), bool)
+            keep[marked] = False
+            rest = pc.if_else(pa.array(keep), column, "")
+        out = [np.append(i, end) for i in self._pieces(rest)]
+        for row, ids in zip(marked, self._whole([column[int(i)].as_py() for i in marked])):
+            out[row] = np.append(ids, end)
+        return out
+
+    def _pieces(self, column: pa.Array) -> list[np.ndarray]:
         data, rows = utf8(column)
-        words = Words(data, rows, SPACES, lower=False)
+        data = LOWER[data]
+        letter, mark = _LETTER[data], _MARK[data]
+        cut = np.zeros(len(data), bool)
+        cut[1:] = letter[1:] & mark[:-1] | mark[1:] & letter[:-1]
+        words = Words(data, rows, SPACES, lower=False, cuts=cut)
         coded = words.array().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         new = [w for w in distinct if w not in self.memo]
         if len(self.memo) + len(new) > CACHE_WORDS:
             self.memo, new = {}, distinct
-        for w, e in zip(new, self.tok.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
+        model = self.tok.model
+        others = []
+        for w in new:
+            if w.isalpha() and w.isascii():
+                self.memo[w] = [t.id for t in model.tokenize(w.decode())]
+            else:
+                others.append(w)
+        for w, e in zip(others, self.tok.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)):
             self.memo[w] = e.ids
         lists = [self.memo[w] for w in distinct]
         size = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for x in lists for i in x), np.uint32, size.sum())
+        flat = np.fromiter(chain.from_iterable(lists), np.uint32, size.sum())
         start = np.concatenate(([0], np.cumsum(size)))
         code = coded.indices.to_numpy()
         n = size[code]
         begin = np.cumsum(n) - n
         ids = flat[np.repeat(start[code] - begin, n) + np.arange(n.sum())]
         bound = np.append(begin, n.sum())[words.first]
-        return [np.append(ids[a:b], np.uint32(end_id)) for a, b in zip(bound[:-1].tolist(), bound[1:].tolist())]
+        return [ids[a:b] for a, b in zip(bound[:-1].tolist(), bound[1:].tolist())]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -344,4 +395,4 @@ def token_output(docs: DataFrame, tokenizer_path: str, *, end_id: int = 1, path:
     return read_documents(spark, write_tokens(docs, path, tokenizer_path, end_id=end_id, **options), id_col=id_col)
 
 
-__all__ = ["Coder", "Encoder", "normalise", "write_tokens", "read_documents", "read_table", "token_output", "T"]
+__all__ = ["Coder", "Encoder", "normalise", "write_tokens", "read_documents", "read_table", "token_output"]
