@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewise.llm import (poisson_mix, quality_gbt, rans_tokens, ring_shards, secret_tests, simhash_bytes,
-                           srs_neighbours, suffix_decontam, token_counts)
+from pricewise.llm import (license_scan, poisson_mix, quality_gbt, rans_tokens, ring_shards, secret_tests,
+                           simhash_bytes, srs_neighbours, suffix_decontam, token_counts)
 from pricewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,11 @@ def op3(spark, sf_dir):
                                     tokenizer_file("word_bpe_49k.json"))
 
 
+@register("op4_licenses")
+def op4(spark, sf_dir):
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @register("op5_srs_neighbours")
 def op5(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
