@@ -202,7 +202,10 @@ def secret_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     found = secret_spans(docs, id_col=id_col, text_col=text_col, fdr=fdr)
-    n = {k: F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS}
+    def number(kind):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    n = {k: number(k) for k in KINDS}
     base = F.filter("found", lambda s: s["kind"] != "random")
     return found.select(F.col(id_col), n["assign"], n["access"], n["hex"], n["random"],
                         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
