@@ -44,21 +44,22 @@ def resolve_dimension(df: DataFrame, key_col: str, dim: DataFrame, dim_key: str,
 
 def augment_median(main: DataFrame, side: DataFrame, key: str, value_col: str,
                    how: str = "left", out_col: str | None = None, approx: bool = False,
-                   max_broadcast_rows: int | None = None) -> DataFrame:
+                   max_broadcast_bytes: int | None = None) -> DataFrame:
     """m:1 enrichment: coerce ``value_col`` to double, take its median per key in
     the side table, then join. Pre-aggregating guarantees one match per row."""
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     for name, frame in (("main", main), ("side", side)):
         if key not in frame.columns:
-            raise KeyError(f"'{key}' must exist in both DataFrames ({name} lacks it)")
+            raise KeyError(f"join key {key!r} is no column of the {name} table")
     if value_col not in side.columns:
-        raise KeyError(f"'{value_col}' column missing from augmented DataFrame")
+        raise KeyError(f"the side table has no column {value_col!r} to aggregate")
     from pricewise.operators.aggregates import keyed_median
     agg = keyed_median(side.withColumn(value_col, cast_numeric(value_col)), [key], value_col,
                        out_col or value_col, approx)
-    kwargs = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
-    return join_small(main, agg, on=key, how=how, **kwargs) if kwargs else main.join(agg, on=key, how=how)
+    if max_broadcast_bytes is None:  # one row per key can be as large as the side table
+        return main.join(agg, on=key, how=how)
+    return join_small(main, agg, on=key, how=how, max_bytes=max_broadcast_bytes)
 
 
 def match_rate(df: DataFrame, col: str) -> DataFrame:
@@ -67,11 +68,12 @@ def match_rate(df: DataFrame, col: str) -> DataFrame:
 
 
 def check_match_rate(df: DataFrame, col: str, min_match_rate: float | None) -> float:
-    """Raise when the share of matched rows is below ``min_match_rate`` (0/None skip)."""
+    """Raise when the share of matched rows is below ``min_match_rate`` (0/None skip). Pass a
+    stored frame if it is used again: the check reads it once."""
     rate = match_rate(df, col).first()["match_rate"]
     rate = 0.0 if rate is None else float(rate)
     if min_match_rate and rate < min_match_rate:
-        raise ValueError(f"Match-rate {rate:.2%} below threshold ({min_match_rate:.2%})")
+        raise ValueError(f"only {rate:.2%} of the rows found a match, {min_match_rate:.2%} are required")
     return rate
 
 

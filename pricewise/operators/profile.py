@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pricewise.operators.split import random_split
 from pricewise.operators.quantiles import exact_quantiles
 from pricewise.operators.stats import APPROX_ACCURACY, join_small, quantile_method
+from pricewise.session import stored
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 _FLOATS = ("float", "double")
@@ -58,21 +59,27 @@ def null_ratio(df: DataFrame) -> DataFrame:
 
 
 def schema_summary(df: DataFrame) -> DataFrame:
-    """(column, type) for every column: the schema itself, as rows."""
-    return df.sparkSession.createDataFrame(list(df.dtypes), "column string, type string")
+    """(column, type) for every column, from the rows themselves: one aggregate of
+    ``typeof``, so a table that cannot be read fails here; an empty table has
+    the declared types."""
+    seen = df.agg(*[F.coalesce(F.max(F.typeof(F.col(f"`{c}`"))), F.lit(t)).alias(c) for c, t in df.dtypes])
+    return seen.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("type"))
+                                          for c in df.columns])))
 
 
 def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None,
                     approx: bool = False) -> DataFrame:
-    """count, mean, sample std, min, quartiles, max per numeric column (nulls/NaN ignored)."""
+    """count, mean, sample std, min, quartiles, max per numeric column (nulls/NaN ignored;
+    a column without values has count 0 and null statistics)."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    long = to_long(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    long = to_long(df, cols).withColumn("value", F.when(~F.isnan("value"), F.col("value")))
     if quantile_method(df.sparkSession, approx) == "distributed":
         quart = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
         moments = long.groupBy("column").agg(
             F.count("value").cast("double").alias("count"), F.avg("value").alias("mean"),
             F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-        return (join_small(moments, quart, on="column", how="left")
+        # one row per profiled column on both sides
+        return (moments.join(F.broadcast(quart), on="column", how="left")
                 .select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"))
     qs = (F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)),
                               F.lit(APPROX_ACCURACY)) if approx
@@ -110,7 +117,7 @@ def outlier_count(df: DataFrame, cols: Sequence[str] | None = None,
                           (F.col("__q")[0] - 1.5 * (F.col("__q")[1] - F.col("__q")[0])).alias("__lo"),
                           (F.col("__q")[1] + 1.5 * (F.col("__q")[1] - F.col("__q")[0])).alias("__hi")))
     # one row per profiled column: a proven bound for the broadcast
-    flagged = join_small(long, bounds, on="column", how="left")
+    flagged = long.join(F.broadcast(bounds), on="column", how="left")
     out = (F.col("value") < F.col("__lo")) | (F.col("value") > F.col("__hi"))
     counts = flagged.groupBy("column").agg(F.count_if(F.coalesce(out, F.lit(False))).alias("outliers"))
     return counts.select("column", F.col("outliers").cast("bigint"))
@@ -121,77 +128,59 @@ def category_distribution(df: DataFrame, cols: Sequence[str] | None = None,
     """(column, value, share) for text columns with at most ``max_unique``
     distinct non-null values; share = relative frequency among non-null rows.
 
-    An HLL sketch (one pass, one small row per column) first drops columns
-    that are clearly high-cardinality; the exact distinct gate and the shares
-    then come from one grouped count over the remaining columns.
+    The gate is exact: distinct values are counted from the same grouped
+    counts the shares come from, whatever their number.
     """
     cols = list(cols) if cols is not None else text_columns(df)
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, value string, share double")
-    # HLL++ at the default 5% error: small cardinalities are counted almost
-    # exactly (sparse mode), and the margin keeps every borderline column
-    sketch = df.select(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    candidates = [c for c in cols if sketch[c] <= max_unique * 1.5 + 10]
-    if not candidates:
-        return df.sparkSession.createDataFrame([], "column string, value string, share double")
-    counts = (to_long(df, candidates, "string").where(F.col("value").isNotNull())
+    counts = (to_long(df, cols, "string").where(F.col("value").isNotNull())
                 .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
-    per_col = Window.partitionBy("column")
-    return (counts.withColumn("__k", F.count(F.lit(1)).over(per_col))
-                  .withColumn("__total", F.sum("n").over(per_col))
-                  .where(F.col("__k") <= max_unique)
-                  .select("column", "value",
-                          (F.col("n").cast("double") / F.col("__total")).alias("share")))
+    sizes = (counts.groupBy("column").agg(F.count(F.lit(1)).alias("__k"), F.sum("n").alias("__total"))
+                   .where(F.col("__k") <= max_unique))
+    # one row per column: a proven bound for the broadcast
+    return (counts.join(F.broadcast(sizes), "column")
+                  .select("column", "value", (F.col("n").cast("double") / F.col("__total")).alias("share")))
 
 
-def _prefix_by_value(counts: DataFrame, sum_cols: Sequence[str], buckets: int) -> DataFrame:
+def _running_sums(counts: DataFrame, sum_cols: Sequence[str], parts: int) -> DataFrame:
     """Running sums of ``sum_cols`` in value order within each column.
 
-    Values are cut into ``buckets`` equal-frequency ranges per column (edges
-    from percentile_approx; they only balance the work, the sums stay exact),
-    summed locally inside (column, bucket), and offset by the exclusive
-    prefix of earlier buckets from a small (columns x buckets) table.
+    (column, value) rows are range-partitioned, summed inside each part and
+    offset by the totals of earlier parts (a small columns x parts table).
     """
-    fracs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    edges = counts.groupBy("column").agg(
-        F.percentile_approx("value", fracs, F.lit(APPROX_ACCURACY)).alias("__edges"))
-    tagged = join_small(counts, edges, on="column", how="inner")
-    tagged = tagged.withColumn("__b", F.size(F.filter("__edges", lambda e: e < F.col("value")))) \
-                   .drop("__edges")
-    local_w = (Window.partitionBy("column", "__b").orderBy("value")
+    ranged = stored(counts.repartitionByRange(parts, "column", "value")
+                          .withColumn("__part", F.spark_partition_id()), "ranged")
+    local_w = (Window.partitionBy("column", "__part").orderBy("value")
                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    for c in sum_cols:
-        tagged = tagged.withColumn(f"__l_{c}", F.sum(c).over(local_w))
-    totals = tagged.groupBy("column", "__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
-    prev = (Window.partitionBy("column").orderBy("__b")
-                  .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select("column", "__b", *[F.coalesce(F.sum(f"__t_{c}").over(prev), F.lit(0))
-                                              .alias(f"__o_{c}") for c in sum_cols])
-    joined = join_small(tagged, offsets, on=["column", "__b"], how="inner")
+    totals = ranged.groupBy("column", "__part").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
+    prev = Window.partitionBy("column").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("column", "__part", *[F.coalesce(F.sum(f"__t_{c}").over(prev), F.lit(0)).alias(f"__o_{c}")
+                                                  for c in sum_cols])
+    joined = join_small(ranged.withColumns({f"__l_{c}": F.sum(c).over(local_w) for c in sum_cols}),
+                        offsets, on=["column", "__part"], how="inner")
     return joined.select("column", "value", *sum_cols,
                          *[(F.col(f"__l_{c}") + F.col(f"__o_{c}")).alias(f"cum_{c}") for c in sum_cols])
 
 
 def ks_drift(df: DataFrame, id_col: str, cols: Sequence[str] | None = None,
-             test_frac: float = 0.2, seed: int = 42, buckets: int | None = None) -> DataFrame:
+             test_frac: float = 0.2, seed: int = 42, rows_per_part: int = 1_000_000) -> DataFrame:
     """(column, ks): two-sample Kolmogorov-Smirnov statistic between the train
     and test sides of an exact hash split, per numeric column (nulls dropped).
 
     D = max over distinct values of |F_train(v) - F_test(v)|, from per-value
-    counts and exact distributed running sums (no single-task global order).
+    counts (stored once: the split runs once) and exact distributed running sums.
     """
     cols = list(cols) if cols is not None else [c for c in numeric_columns(df) if c != id_col]
     split = random_split(df.select(id_col, *cols), id_col, test_frac, seed, out_col="__side")
     long = to_long(split, cols, keep=["__side"]).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = long.groupBy("column", "value").agg(
+    counts = stored(long.groupBy("column", "value").agg(
         F.count_if(F.col("__side") == "train").alias("a"),
-        F.count_if(F.col("__side") == "test").alias("b"))
+        F.count_if(F.col("__side") == "test").alias("b")), "ks-counts")
+    cum = _running_sums(counts, ["a", "b"], max(8, -(-counts.count() // rows_per_part)))
+    # one row per profiled column: a proven bound for the broadcast
     sizes = counts.groupBy("column").agg(F.sum("a").alias("__na"), F.sum("b").alias("__nb"))
-    if buckets is None:
-        # ~1M distinct values per (column, bucket) running-sum window
-        buckets = int(min(4096, max(32, -(-counts.count() // (1_000_000 * max(1, len(cols)))))))
-    cum = _prefix_by_value(counts, ["a", "b"], buckets)
-    cum = join_small(cum, sizes, on="column", how="inner")
+    cum = cum.join(F.broadcast(sizes), "column")
     diff = F.abs(F.try_divide(F.col("cum_a").cast("double"), F.col("__na"))
                  - F.try_divide(F.col("cum_b").cast("double"), F.col("__nb")))
     return cum.groupBy("column").agg(F.max(diff).alias("ks"))

@@ -1,86 +1,112 @@
-"""Exact quantiles without gathering a group's values in one task.
-
-``percentile`` merges a value->count map per group in a single task, so a
-group holding a third of the data holds all its distinct values there.
-This variant keeps every step distributed:
-
-1. count rows per (group, value): the shuffle spreads a hot group by value;
-2. put each distinct value in an order-preserving bucket: sign-aware
-   floor(log2|v| * 64), i.e. ranges about 1.1 % wide, so a bucket can only
-   hold the distinct values of a narrow range (no pass is needed to find
-   edges, and the bucket never changes the answer, only the work split);
-3. a small (groups x buckets) table of bucket sizes and rank offsets tells
-   which buckets hold ranks floor((n-1)q) and ceil((n-1)q);
-4. only those buckets are ranked, each inside its own task, and the two
-   values are interpolated exactly as ``percentile`` / ``quantile_cont`` do.
+"""Exact quantiles that never gather a large group's values in one task.
+
+Most groups are small: ``percentile`` (a value -> count map per group, combined
+map-side) finishes them with one shuffle. Its map holds a group's distinct
+values, so groups above ``LIGHT_ROWS`` rows are selected instead:
+
+1. ``percentile_approx`` (mergeable sketches, one small row per group) gives,
+   for each quantile, a value below and one above the exact ranks; its error
+   bound is deterministic, so the bracket provably holds them;
+2. one more pass counts the rows below each bracket and the rows per distinct
+   value inside it, a fixed small share of the group whatever its values look
+   like (ties are counted, narrow ranges and infinities are ordinary values);
+3. only the bracketed values are ranked, and the two values at ranks
+   floor((n-1)q) and ceil((n-1)q) are interpolated as ``percentile`` does.
+
+Both ways give the same rows: one per non-null key tuple, null where the group
+has no values (nulls and NaN are no values).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
+# Rows up to which a group goes through ``percentile`` in one task.
+LIGHT_ROWS = 50_000
+# Least sketch accuracy (relative rank error 1 / accuracy), raised with the group size so
+# that a bracket holds about BRACKET_ROWS rows.
+MIN_ACCURACY = 10_000
+BRACKET_ROWS = 1_000_000
+_V = "__pw_v"
 _G = "__pw_g"
 
 
-def value_bucket(v: str = "v", per_octave: int = 64):
-    """Order-preserving integer bucket of a double: 0 for zero, positive and
-    increasing for v > 0, negative and increasing for v < 0."""
-    a = F.abs(F.col(v))
-    octave = F.floor((F.log2(a) + F.lit(1100.0)) * F.lit(float(per_octave)))
-    return (F.when(F.col(v) == 0, F.lit(0)).when(F.col(v) > 0, octave + 1)
-             .otherwise(-octave - 1)).cast("bigint")
+def _values(value_col: str) -> Column:
+    v = F.col(value_col).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def _interpolate(lo: Column, hi: Column, frac: Column) -> Column:
+    return F.when((lo == hi) | (frac == 0), lo).otherwise((1 - frac) * lo + frac * hi)
+
+
+def _select(rows: DataFrame, grp: Sequence[str], qs: Sequence[float], out_cols: Sequence[str],
+            smallest: int, largest: int) -> DataFrame:
+    """Selection between sketch brackets for groups of ``smallest`` to ``largest`` rows."""
+    accuracy = max(MIN_ACCURACY, 6 * largest // BRACKET_ROWS)
+    # the sketch's error, and the two ranks that (n - 1) q lies between
+    slack = 3.0 / accuracy + 2.0 / smallest
+    fractions = sorted({min(1.0, max(0.0, q + d)) for q in qs for d in (-slack, slack)})
+    at = {f: i for i, f in enumerate(fractions)}
+    sketch = rows.groupBy(*grp).agg(F.percentile_approx(_V, F.array(*map(F.lit, fractions)), F.lit(accuracy)).alias("__e"))
+    low = [F.col("__e")[at[max(0.0, q - slack)]] for q in qs]
+    high = [F.col("__e")[at[min(1.0, q + slack)]] for q in qs]
+    # pre-aggregate by value: ties of any size become one row
+    counts = rows.where(F.col(_V).isNotNull()).groupBy(*grp, _V).agg(F.count(F.lit(1)).alias("__c"))
+    marked = counts.join(sketch, on=list(grp))
+    totals = marked.groupBy(*grp).agg(F.sum("__c").alias("__n"), *[
+        F.sum(F.when(F.col(_V) < lo, F.col("__c")).otherwise(0)).alias(f"__b{i}") for i, lo in enumerate(low)])
+    inside = F.array(*[F.when((F.col(_V) >= lo) & (F.col(_V) <= hi), F.lit(i))
+                       for i, (lo, hi) in enumerate(zip(low, high))])
+    near = marked.select(*grp, _V, "__c", F.explode(F.array_compact(inside)).alias("__q"))
+    running = Window.partitionBy(*grp, "__q").orderBy(_V).rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("__cum", F.sum("__c").over(running)).join(totals, on=list(grp))
+    below = F.element_at(F.array(*[F.col(f"__b{i}") for i in range(len(qs))]), F.col("__q") + 1)
+    pos = (F.col("__n") - 1) * F.element_at(F.array(*[F.lit(float(q)) for q in qs]), F.col("__q") + 1)
+    last = below + F.col("__cum")
+    first = last - F.col("__c")
+
+    def value_at(rank: Column, i: int) -> Column:
+        return F.max(F.when((F.col("__q") == i) & (first <= rank) & (rank < last), F.col(_V)))
+
+    got = near.groupBy(*grp).agg(*[x for i in range(len(qs)) for x in (
+        value_at(F.floor(pos), i).alias(f"__lo{i}"), value_at(F.ceil(pos), i).alias(f"__hi{i}"),
+        F.max(F.when(F.col("__q") == i, pos)).alias(f"__p{i}"))])
+    checked = [F.when(F.col(f"__lo{i}").isNull() | F.col(f"__hi{i}").isNull(),
+                      F.raise_error("a quantile fell outside its bracket").cast("double"))
+                .otherwise(_interpolate(F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__p{i}") - F.floor(f"__p{i}")))
+               .alias(name) for i, name in enumerate(out_cols)]
+    return got.select(*grp, *checked)
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, qs: Sequence[float],
-                    out_cols: Sequence[str], per_octave: int = 64) -> DataFrame:
-    """One row per non-null key tuple: the exact linear-interpolated quantiles
-    (same definition as ``percentile`` and DuckDB's ``quantile_cont``)."""
-    keys = list(keys)
-    grp = keys or [_G]
-    base = df if keys else df.withColumn(_G, F.lit(0))
-    cond = F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col).cast("double"))
+                    out_cols: Sequence[str], light_rows: int = LIGHT_ROWS) -> DataFrame:
+    """One row per non-null key tuple (one row in all without keys): the exact
+    linear-interpolated quantiles (same definition as ``percentile`` and DuckDB's
+    ``quantile_cont``), null for a group without values."""
+    keys, qs = list(keys), [float(q) for q in qs]
+    present = F.lit(True)
     for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    vc = (base.where(cond).select(*grp, F.col(value_col).cast("double").alias("v"))
-              .groupBy(*grp, "v").agg(F.count(F.lit(1)).alias("c"))
-              .withColumn("b", value_bucket("v", per_octave)))
-    sizes = vc.groupBy(*grp, "b").agg(F.sum("c").alias("bc"))
-    by_group = Window.partitionBy(*grp)
-    prior = by_group.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = (sizes.withColumn("off", F.coalesce(F.sum("bc").over(prior), F.lit(0)))
-                  .withColumn("n", F.sum("bc").over(by_group)))
-    # target ranks per quantile (0-based): lo = floor(pos), hi = ceil(pos)
-    pos = F.array(*[F.struct(F.lit(i).alias("qi"), ((F.col("n") - 1) * F.lit(q)).alias("pos"))
-                    for i, q in enumerate(qs)])
-    want = (sizes.select(*grp, "b", "off", "bc", F.inline(pos))
-                 .withColumn("r", F.explode(F.array(F.floor("pos"), F.ceil("pos"))))
-                 .where((F.col("r") >= F.col("off")) & (F.col("r") < F.col("off") + F.col("bc")))
-                 .select(*grp, "b", "off", "qi", "pos", "r"))
-    # rank values only inside the buckets that hold a target rank. The
-    # candidates are hash-partitioned by (group, bucket) once; the semi join,
-    # the rank window and the join with ``want`` (at most 2 x len(qs) rows per
-    # group) all reuse that partitioning, so no broadcast is needed.
-    cand = vc.join(want.select(*grp, "b"), on=[*grp, "b"], how="left_semi")
-    cum = Window.partitionBy(*grp, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cand = cand.withColumn("cum", F.sum("c").over(cum))
-    hit = cand.join(want, on=[*grp, "b"], how="inner")
-    hit = hit.where((F.col("r") >= F.col("off") + F.col("cum") - F.col("c"))
-                    & (F.col("r") < F.col("off") + F.col("cum")))
-    aggs = []
-    for i in range(len(qs)):
-        mine = F.col("qi") == i
-        aggs += [F.max(F.when(mine, F.col("pos"))).alias(f"__p{i}"),
-                 F.max(F.when(mine & (F.col("r") == F.floor("pos")), F.col("v"))).alias(f"__lo{i}"),
-                 F.max(F.when(mine & (F.col("r") == F.ceil("pos")), F.col("v"))).alias(f"__hi{i}")]
-    out = hit.groupBy(*grp).agg(*aggs)
-    out = out.select(*grp, *[(F.col(f"__lo{i}") + (F.col(f"__p{i}") - F.floor(f"__p{i}"))
-                              * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(name)
-                             for i, name in enumerate(out_cols)])
-    return out.drop(_G) if not keys else out
+        present = present & F.col(k).isNotNull()
+    rows = df.where(present).select(*(keys or [F.lit(0).alias(_G)]), _values(value_col).alias(_V))
+    grp = keys or [_G]
+    arrays = F.percentile(_V, F.array(*map(F.lit, qs)))
+    plain = [F.col("__a")[i].alias(n) for i, n in enumerate(out_cols)]
+    # one pass over the keys alone: at most rows / light_rows groups are large
+    large = rows.groupBy(*grp).agg(F.count(_V).alias("__n")).where(F.col("__n") > light_rows)
+    largest = large.agg(F.max("__n")).first()[0]
+    if largest is None:
+        if not keys:
+            return rows.agg(arrays.alias("__a")).select(*plain)
+        return rows.groupBy(*grp).agg(arrays.alias("__a")).select(*grp, *plain)
+    if not keys:
+        return _select(rows, grp, qs, out_cols, light_rows + 1, largest).drop(_G)
+    large = large.select(*grp)
+    light = rows.join(large, on=grp, how="left_anti").groupBy(*grp).agg(arrays.alias("__a")).select(*grp, *plain)
+    return light.unionByName(_select(rows.join(large, on=grp, how="left_semi"), grp, qs, out_cols, light_rows + 1, largest))
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value_col: str, out_col: str) -> DataFrame:

@@ -26,14 +26,11 @@ _BUCKET = "__pw_bucket"
 DEFAULT_BUCKETS = 256
 # auto sizing: about this many rows per (stratum, bucket) rank window
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 1 << 16
 
 
 def auto_buckets(df: DataFrame, floor: int = DEFAULT_BUCKETS) -> int:
-    """Bucket count for ~ROWS_PER_BUCKET rows per rank window (one count pass);
-    the offset table stays at most strata x MAX_BUCKETS rows."""
-    n = df.count()
-    return int(min(MAX_BUCKETS, max(floor, -(-n // ROWS_PER_BUCKET))))
+    """Bucket count for ~ROWS_PER_BUCKET rows per rank window (one count pass)."""
+    return max(floor, -(-df.count() // ROWS_PER_BUCKET))
 
 
 def as_fraction(x: float) -> Fraction:

@@ -25,15 +25,16 @@ def _q(name: str) -> str:
 def auto_slice_days(df: DataFrame, partition_col: str, ts_col: str, days: int,
                     target_rows: int = TARGET_GROUP_ROWS) -> int:
     """Slice width so that a (key, slice) group, halo included, stays near
-    ``target_rows`` for the densest key: one small aggregate (a row per key)."""
-    span = F.greatest(F.lit(1.0), F.datediff(F.max(ts_col).cast("date"), F.min(ts_col).cast("date")))
-    dens = (df.where(F.col(partition_col).isNotNull() & F.col(ts_col).isNotNull())
-              .groupBy(partition_col).agg((F.count(F.lit(1)) / span).alias("d"))
-              .agg(F.max("d")).first()[0])
-    if not dens:
+    ``target_rows`` even at the densest key's peak: one aggregate by (key, stretch
+    of ``days``), map-side combined. The halo is the floor: ``days`` of one key."""
+    stretch = F.floor(ntz_micros(ts_col) / F.lit(days * _US_PER_DAY))
+    peak = (df.where(F.col(partition_col).isNotNull() & F.col(ts_col).isNotNull())
+              .groupBy(partition_col, stretch.alias("__s")).agg(F.count(F.lit(1)).alias("n"))
+              .agg(F.max("n")).first()[0])
+    if not peak:
         return 4 * days
-    width = int(target_rows / dens) - days
-    return max(max(1, days // 4), min(width, 16 * days))
+    width = target_rows * days // peak - days
+    return max(1, min(width, 16 * days))
 
 
 def _sliced(df: DataFrame, ts_col: str, days: int, slice_days: int) -> DataFrame:
@@ -83,7 +84,7 @@ def _key_buckets(keyed: DataFrame, days: int, slice_days: int, target_rows: int)
 
 
 def rolling_median(df: DataFrame, partition_col: str, ts_col: str, value_col: str,
-                   out_col: str, days: int = 180, slice_days: "int | str | None" = None,
+                   out_col: str, days: int = 180, slice_days: "int | str | None" = "auto",
                    approx: bool = False, fallback: bool = True,
                    method: str = "pandas", fallback_stats: DataFrame | None = None) -> DataFrame:
     """Median of ``value_col`` over ``[ts - days, ts)`` within ``partition_col``.
@@ -92,8 +93,8 @@ def rolling_median(df: DataFrame, partition_col: str, ts_col: str, value_col: st
     are excluded, so the value depends only on (key, ts). With ``fallback`` an
     empty window takes the key's overall median. Null keys get null.
 
-    Scale: each key is cut into time slices of ``slice_days`` (default
-    4 x ``days``; 'auto' sizes them from the densest key) and every slice also
+    Scale: each key is cut into time slices of ``slice_days`` (default 'auto':
+    sized from the densest key's peak; None: 4 x ``days``) and every slice also
     receives the previous ``days`` of rows as a halo (each row is copied to at
     most 1 + ceil(days / slice_days) slices). A hot key is therefore spread
     over as many tasks as it has slices, and each task holds one slice.

@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from pricewise.functions.dates import DEFAULT_TS_FORMAT
@@ -16,6 +15,7 @@ from pricewise.operators.aggregates import group_median
 from pricewise.operators.enrich import attach_group_stat_join, resolve_dimension
 from pricewise.operators.filters import keyword_filter
 from pricewise.operators.windows import attach_group_median, rolling_median
+from pricewise.session import stored
 
 log = logging.getLogger(__name__)
 
@@ -24,22 +24,24 @@ def clean_sales(df: DataFrame, *, dtype_map: Mapping[str, str], postcode_col: st
                 loading_cols: Sequence[str] | None = None, date_col: str = "date",
                 price_col: str = "price", clip_price: bool = True, clip_quantile: float = 0.99,
                 renames: Mapping[str, str] | None = None,
-                ts_format: str = DEFAULT_TS_FORMAT, persist: bool = True) -> DataFrame:
+                ts_format: str = DEFAULT_TS_FORMAT, store: bool = True) -> DataFrame:
     """cast -> postcodes -> drop nulls -> year, month -> clip price -> rename.
 
     The clip quantile is taken over all cleaned rows, before any later filter.
-    The exact quantile reads its input twice (counts, then selection) and the
-    clip reads it once more, so the pre-clip rows are persisted (spillable)
-    rather than re-derived three times.
+    The exact quantile reads its input more than once and the clip once more, so
+    the pre-clip rows are written to the shared folder rather than re-derived.
+    ``dtype_map`` and ``loading_cols`` must have the same size.
     """
+    if loading_cols is not None and len(dtype_map) != len(loading_cols):
+        raise ValueError(f"{len(dtype_map)} typed columns, but {len(loading_cols)} loaded ones")
     out = cast_columns(df, dtype_map, ts_format)
     out = normalise_postcodes(out, raw_col=postcode_col)
     out = drop_null_rows(out, subset=list(loading_cols) if loading_cols else None)
     out = add_sold_year(out, date_col)
     out = add_sold_month(out, date_col)
     if clip_price:
-        if persist:
-            out = out.persist(StorageLevel.MEMORY_AND_DISK)
+        if store:
+            out = stored(out, "unclipped")
         out = clip_upper_quantile(out, price_col, clip_quantile)
     return rename_columns(out, renames or {})
 
@@ -51,7 +53,7 @@ def engineer_sales(df: DataFrame, *, directory: DataFrame | None, postcode_col:
                    price_col: str = "price", year_col: str = "sold_year",
                    trend_key: str | None = None, window_days: int = 180,
                    slice_days: "int | str | None" = "auto", approx: bool = False,
-                   persist: bool = True) -> DataFrame:
+                   store: bool = True) -> DataFrame:
     """keyword filter -> district -> three trend features -> three interactions.
 
     ``trend_key`` chooses the group of ``borough_price_trend``: the district
@@ -65,10 +67,10 @@ def engineer_sales(df: DataFrame, *, directory: DataFrame | None, postcode_col:
     if directory is not None:
         out = resolve_dimension(out, postcode_col, directory, directory_key, directory_value,
                                 out_col=district_col)
-    if persist:
+    if store:
         # five consumers read this intermediate (three aggregates, the rolling
-        # input and the join base): compute it once, spill if it must
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
+        # input and the join base): compute it once
+        out = stored(out, "resolved")
     district_medians = group_median(out, district_col, price_col, "price", approx)
     out = attach_group_median(out, trend_key, price_col, "borough_price_trend", approx,
                               stats=district_medians if trend_key == district_col else None)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewise.operators import profile as PR
 from pricewise.plans import sqltext as Q
 from pricewise.plans.catalog import cast_sales, cleaned, register, round4
+from pricewise.session import stored
 
 # Column lists of the two profiled tables (the oracle SQL needs them spelled out).
 CLEAN_NUMERIC = ("price", "sold_year", "sold_month")
@@ -139,10 +139,9 @@ def q_ks(spark, sf_dir):
 def quality_report(df: DataFrame, id_col: str, numeric=None, text=None) -> DataFrame:
     """All six profile sections as (section, column, key, value, text) rows.
 
-    The sections share one persisted scan of ``df`` (spilled to disk if it
-    does not fit), instead of six re-reads of its lineage.
+    The sections read one stored copy of ``df`` instead of its lineage six times.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = stored(df, "report-input")
     numeric = list(numeric) if numeric is not None else PR.numeric_columns(df)
     text = list(text) if text is not None else PR.text_columns(df)
     none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast("string")
@@ -155,7 +154,7 @@ def quality_report(df: DataFrame, id_col: str, numeric=None, text=None) -> DataF
                                      F.col("type").alias("text")),
     ]
     if numeric:
-        prof = PR.numeric_profile(df, numeric).persist(StorageLevel.MEMORY_AND_DISK)
+        prof = stored(PR.numeric_profile(df, numeric), "report-profile")
         stats = F.array(*[F.struct(F.lit(k).alias("key"), F.col(c).alias("value"))
                           for k, c in zip(PR.PROFILE_STATS, NUM_DOUBLES)])
         parts += [

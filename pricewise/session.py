@@ -82,16 +82,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/pricewise/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a location in any storage Spark can reach."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(sc._jsc.hadoopConfiguration()), target
 
 
-def is_local(spark: SparkSession) -> bool:
-    sc = _context(spark)
-    return sc is not None and sc.master.startswith("local")
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = hadoop_path(spark, path)
+    return fs.exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, target = hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once into the shared folder and return a scan of it: several
+    readers share one computation, nothing stays in executor memory, and a
+    lost executor re-reads the rows instead of replaying their lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "cut_lineage",
-           "is_local", "app_key", "LOCAL_CONF"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "stored", "app_key", "path_exists", "remove_path", "LOCAL_CONF"]

@@ -37,7 +37,9 @@ def test_all_null_column(spark):
     df = spark.createDataFrame([(1, None), (2, None)], "id int, x double")
     assert dict(rows(PR.null_ratio(df)))["x"] == 1.0
     prof = PR.numeric_profile(df, ["x"]).collect()
-    assert prof == [] or prof[0]["count"] == 0
+    assert len(prof) == 1 and prof[0]["count"] == 0
+    assert all(prof[0][c] is None for c in ("mean", "std", "min", "q25", "q50", "q75", "max"))
+    assert dict(rows(PR.outlier_count(df, ["x"]))) == {"x": 0}
 
 
 def test_category_distribution_gate(spark, small):
