@@ -255,10 +255,15 @@ def q_recent(spark, sf_dir):
     return round4(FL.recent_rows(cleaned(spark, sf_dir), "date", 6))
 
 
+PC = canon("postcode")
+
+
 @register("clean_augment", r4(f"""
-SELECT transaction_id, {num('quantity')} AS quantity FROM ({T.QUANTITY_SIDE_SQL}) q
-WHERE transaction_id IS NOT NULL AND {num('quantity')} IS NOT NULL AND NOT isnan({num('quantity')})""",
-                              "quantity"))
+SELECT transaction_id, postcode, {num('quantity')} AS quantity, {PC} AS postcode_clean,
+       left({PC}, greatest(length({PC}) - 3, 0)) AS outcode, right({PC}, 3) AS incode
+FROM ({T.PARCEL_SIDE_SQL}) q
+WHERE transaction_id IS NOT NULL AND postcode IS NOT NULL
+  AND {num('quantity')} IS NOT NULL AND NOT isnan({num('quantity')})""", "quantity"))
 def q_clean_augment(spark, sf_dir):
-    return round4(clean_augment(T.quantity_side(spark, sf_dir), dtype_map={"quantity": "float"},
-                                postcode_col=None, required_cols=["transaction_id", "quantity"]))
+    return round4(clean_augment(T.parcel_side(spark, sf_dir), dtype_map={"quantity": "float", "postcode": "string"},
+                                postcode_col="postcode", required_cols=["transaction_id", "postcode", "quantity"]))

@@ -166,8 +166,9 @@ def q_rolling_fallback(spark, sf_dir):
 SELECT transaction_id, district, date, price, avg_price_last_half FROM {ENG}""",
                                      "price", "avg_price_last_half"))
 def q_rolling_sales(spark, sf_dir):
-    return round4(engineered(spark, sf_dir).select("transaction_id", "district", "date", "price",
-                                                   "avg_price_last_half"))
+    """The operator itself over the resolved sales (not the stored feature)."""
+    sales = engineered(spark, sf_dir).select("transaction_id", "district", "date", "price")
+    return round4(WN.rolling_median(sales, "district", "date", "price", "avg_price_last_half"))
 
 
 @register("attach_group_median", r4(f"""
@@ -229,7 +230,9 @@ Q_BAND = """CASE WHEN price IS NULL OR isnan(price) OR price <= 0 THEN NULL
      WHEN price <= 500000 THEN 1 WHEN price <= 1000000 THEN 2 WHEN price <= 2000000 THEN 3
      WHEN price <= 3000000 THEN 4 ELSE 5 END"""
 
-STRATIFIED_SQL = f"""
+def stratified_sql(src: str) -> str:
+    """Bands and hash ranks over ``src``: test, validation and train as in the operator."""
+    return f"""
 SELECT transaction_id, price,
        CASE WHEN rk <= nt THEN 'test' WHEN rk <= nt + ((n - nt) * 3 + 16) // 17 THEN 'validation'
             ELSE 'train' END AS split
@@ -237,7 +240,10 @@ FROM (SELECT *, (n * 3 + 19) // 20 AS nt
       FROM (SELECT transaction_id, price,
                    row_number() OVER (PARTITION BY band ORDER BY {_hash_sql('transaction_id')}, transaction_id) AS rk,
                    count(*) OVER (PARTITION BY band) AS n
-            FROM (SELECT transaction_id, price, coalesce({Q_BAND}, 0) AS band FROM {CLEAN}) b) r) t"""
+            FROM (SELECT transaction_id, price, coalesce({Q_BAND}, 0) AS band FROM {src}) b) r) t"""
+
+
+STRATIFIED_SQL = stratified_sql(CLEAN)
 
 
 def _stratified(spark, sf_dir):

@@ -19,6 +19,7 @@ from pricewise.session import scratch_path
 from pricewise.sources import files as IO
 from pricewise.sources import registry as RG
 
+SALES_TABLES = ("orders", "customer", "nation", "region")
 ENG_DOUBLES = ("price", "borough_price_trend", "district_yearly_medians", "avg_price_last_half")
 
 
@@ -37,8 +38,8 @@ def q_write_partitioned(spark, sf_dir):
 
 
 def _fingerprint(spark, sf_dir) -> str:
-    row = IO.file_fingerprint(spark, f"{sf_dir.rstrip('/')}/orders.parquet").select("sha256").first()
-    return row["sha256"]
+    """One checksum over every table that the engineered sales are built from."""
+    return IO.content_checksum(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SALES_TABLES])
 
 
 @register("save_dataset_version", Q.r4(Q.ENGINEERED_SQL, *ENG_DOUBLES))
@@ -69,15 +70,36 @@ def q_json_records(spark, sf_dir):
     f"SELECT 'avg_price_last_half', district, price FROM ({LOOKUPS_SQL['recent']}) c"]), "price"))
 def q_json_report(spark, sf_dir):
     long = build_lookup_tables(engineered(spark, sf_dir)).long()
-    path = IO.write_json_document(long, scratch_path(spark, "lookup-json"), "lookup", "key", "price")
+    path = IO.write_json_document(long, scratch_path(spark, "lookup-json"), ["lookup", "key"], "price")
     return round4(IO.read_json_document(spark, path, "lookup", "key", "price"))
 
 
-@register("file_fingerprint")
+@register("file_fingerprint", """
+SELECT CAST(c_nationkey AS VARCHAR) AS nation, sha256(string_agg(line || chr(10), '' ORDER BY line)) AS sha256,
+       CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes
+FROM (SELECT c_nationkey, CAST(c_custkey AS VARCHAR) || '|' || c_name || '|' || c_mktsegment AS line FROM customer) l
+GROUP BY c_nationkey""")
 def q_fingerprint(spark, sf_dir):
-    """sha256 of every input table file, computed on the executors."""
-    fp = IO.file_fingerprint(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in T.TABLES])
-    return fp.select("name", "bytes", "sha256", "short_name")
+    """Digests of text files written by the query (one per nation, sorted lines), so the
+    expected bytes are known."""
+    lines = T.read(spark, sf_dir, "customer").select(
+        "c_nationkey", F.concat_ws("|", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment").alias("line"))
+    path = scratch_path(spark, "customer-lines")
+    lines.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "line").write.partitionBy("c_nationkey").text(path)
+    fp = IO.file_fingerprint(spark, f"{path}/*/*.txt")
+    return fp.select(F.regexp_extract("path", "c_nationkey=([0-9]+)/", 1).alias("nation"), "sha256", "bytes")
+
+
+@register("ingest_dataset", Q.r4(Q.ENGINEERED_SQL, *ENG_DOUBLES))
+def q_ingest(spark, sf_dir):
+    """Fingerprint -> registry -> build and save, then once more: the second run must load."""
+    base, registry = scratch_path(spark, "versions"), scratch_path(spark, "registry")
+    inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SALES_TABLES]
+    RG.ingest(spark, inputs, base, registry, lambda: engineered(spark, sf_dir))
+    df, _checksum, built = RG.ingest(spark, inputs, base, registry, lambda: engineered(spark, sf_dir).limit(0))
+    if built:
+        raise RuntimeError("a registered version was built again")
+    return round4(df)
 
 
 # ------------------------------------------------------------------ registry

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pricewise.functions.numeric import _NUMERIC_TEXT
 from pricewise.plans.tables import DIRECTORY_SQL, SALES_RAW_SQL
 
 
@@ -10,8 +9,14 @@ def canon(expr: str) -> str:
     return f"trim(upper(regexp_replace({expr}, '\\s+', '', 'g')))"
 
 
+# written for the oracle alone: sign, digits with an optional point, exponent; or inf / nan words
+NUMBER = r"^[ \t\n\r\f\v]*[-+]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][-+]?[0-9]+)?[ \t\n\r\f\v]*$"
+WORD_NUMBER = r"^\s*([-+]?(inf|infinity)|[-+]?nan)\s*$"
+
+
 def num(expr: str) -> str:
-    return (f"CASE WHEN regexp_matches(CAST({expr} AS VARCHAR), '{_NUMERIC_TEXT}') "
+    return (f"CASE WHEN regexp_matches(CAST({expr} AS VARCHAR), '{NUMBER}') "
+            f"OR regexp_matches(lower(CAST({expr} AS VARCHAR)), '{WORD_NUMBER}') "
             f"THEN TRY_CAST(trim(CAST({expr} AS VARCHAR)) AS DOUBLE) END")
 
 

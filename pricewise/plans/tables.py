@@ -25,6 +25,9 @@ from pricewise.functions.dates import ntz_micros
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# The tables that the layers are built from.
+SOURCE_TABLES = ("region", "nation", "customer", "orders", "lineitem", "events")
+
 # The raw sales header names and the loaded subset.
 RAW_SALES_COLUMNS = ("transaction_id", "price", "date", "postcode", "property_type", "old/new",
                      "duration", "county")
@@ -99,6 +102,17 @@ def quantity_side(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("l_quantity").cast("string").alias("quantity"))
 
 
+def parcel_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Side table with a postcode: a code in mixed case and spacing (none for some
+    lines) and the quantity as text."""
+    li = read(spark, sf_dir, "lineitem")
+    code = F.concat(F.lit(" q"), (F.col("l_partkey") % 90).cast("string"), F.lit("  "),
+                    (F.col("l_suppkey") % 9).cast("string"), F.lit("Ab "))
+    return li.select(F.col("l_orderkey").cast("string").alias("transaction_id"),
+                     F.when(F.col("l_linenumber") < 6, code).alias("postcode"),
+                     F.col("l_quantity").cast("string").alias("quantity"))
+
+
 # ---------------------------------------------------------------- SQL twins
 
 SALES_RAW_SQL = """
@@ -131,6 +145,15 @@ FROM lineitem
 """
 
 
+PARCEL_SIDE_SQL = """
+SELECT CAST(l_orderkey AS VARCHAR) AS transaction_id,
+       CASE WHEN l_linenumber < 6 THEN ' q' || CAST(l_partkey % 90 AS VARCHAR) || '  '
+            || CAST(l_suppkey % 9 AS VARCHAR) || 'Ab ' END AS postcode,
+       CAST(l_quantity AS VARCHAR) AS quantity
+FROM lineitem
+"""
+
+
 def requests_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scoring request per customer; some fields are invalid or missing on purpose
     (by balance and nation), and customers outside the directory are unknown postcodes."""

@@ -2,14 +2,22 @@
 
 Registry rows are (hash, table_name, inserted_at). Plain Parquet has no
 MERGE, so an upsert is a replay of the insert log grouped by hash: the
-latest table name wins, the first insertion time is kept.
+latest table name wins, the first insertion time is kept. The stored registry
+is that log: a Parquet folder to which each registration appends one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricewise.sources.files import (content_checksum, is_complete, load_dataset_version, read_if_present,
+                                     save_dataset_version, table_name_from_checksum)
+
+LOG_SCHEMA = "hash string, table_name string, inserted_at timestamp_ntz"
+
 
 def registry_upsert(log: DataFrame, hash_col: str = "hash", name_col: str = "table_name",
                     ts_col: str = "inserted_at", seq_col: str | None = None) -> DataFrame:
@@ -34,3 +42,36 @@ def latest_dataset(registry: DataFrame, name_col: str = "table_name",
     """One row: the most recently inserted registry entry."""
     return registry.agg(F.max_by(name_col, F.struct(F.col(ts_col), F.col(name_col))).alias(name_col),
                         F.max(ts_col).alias(ts_col))
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The stored registry, one row per hash (empty if nothing was registered yet)."""
+    log = read_if_present(spark, path)
+    return registry_upsert(spark.createDataFrame([], LOG_SCHEMA) if log is None else log)
+
+
+def register_dataset(spark: SparkSession, path: str, checksum: str, table_name: str) -> None:
+    """Append one registration to the stored log."""
+    row = spark.range(1).select(F.lit(checksum).alias("hash"), F.lit(table_name).alias("table_name"),
+                                F.localtimestamp().alias("inserted_at"))
+    row.write.mode("append").parquet(path)
+
+
+def ingest(spark: SparkSession, inputs: "str | Sequence[str]", base: str, registry_path: str,
+           build: Callable[[], DataFrame]) -> tuple[DataFrame, str, bool]:
+    """(dataset, checksum, built): load the version of these inputs, building it only if needed.
+
+    Fingerprint -> registry hit? load : build, save, register. Idempotent: a second run
+    loads; a run that was cut off after saving finds the complete version and only
+    registers it.
+    """
+    checksum = content_checksum(spark, inputs)
+    name = table_name_from_checksum(checksum)
+    hit = read_registry(spark, registry_path).where(F.col("hash") == checksum).first()
+    if hit is not None:
+        return load_dataset_version(spark, base, hit["table_name"]), checksum, False
+    built = not is_complete(spark, f"{base.rstrip('/')}/{name}")
+    if built:
+        save_dataset_version(build(), base, checksum, replace=True)
+    register_dataset(spark, registry_path, checksum, name)
+    return load_dataset_version(spark, base, name), checksum, built
