@@ -46,11 +46,6 @@ def epoch_millis_to_utc(ms: "Column | str") -> Column:
     return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
-def epoch_days(ts: "Column | str") -> Column:
-    """Days since 1970-01-01 as a double (a timestamp as a model feature)."""
-    return ntz_micros(ts) / F.lit(86_400_000_000.0)
-
-
 def ntz_micros(ts: "Column | str") -> Column:
     """Microseconds since 1970-01-01 of a wall-clock timestamp, independent of
     the session time zone."""

@@ -56,7 +56,3 @@ def keyword_predicate(c: "Column | str", keywords: Iterable[str]) -> Column:
     for kw in keywords:
         pred = pred & F.coalesce(as_col(c).rlike("(?i)" + kw), F.lit(False))
     return pred
-
-
-def upper_in(c: "Column | str", allowed: Iterable[str]) -> Column:
-    return F.upper(as_col(c)).isin(*list(allowed))

@@ -2,44 +2,53 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewise.operators.metrics import regression_metrics
+from pricewise.operators.filters import FINISHED
+from pricewise.operators.metrics import metrics_record, regression_metrics
 from pricewise.operators.stats import quantile_scalar
+from pricewise.session import stored
 
 # The 13 model inputs in their required order.
 MODEL_COLUMNS = ("property_type", "is_new_build", "is_leasehold", "district", "sold_month",
                  "advanced_property_type", "property_type_and_tenure",
                  "property_type_and_district", "date", "sold_year", "borough_price_trend",
                  "district_yearly_medians", "avg_price_last_half")
-CAT_FEATURES = ("property_type", "is_new_build", "is_leasehold", "district",
+CAT_FEATURES = ("property_type", "is_new_build", "is_leasehold", "district", "sold_month",
                 "advanced_property_type", "property_type_and_tenure", "property_type_and_district")
-NUM_FEATURES = ("sold_month", "date", "sold_year", "borough_price_trend",
-                "district_yearly_medians", "avg_price_last_half")
+NUM_FEATURES = ("date", "sold_year", "borough_price_trend", "district_yearly_medians",
+                "avg_price_last_half")
 LABEL = "__pw_label"
 PRED = "prediction"
 
 
 @dataclass(frozen=True)
 class TrainConfig:
+    """Depth and rate are the source's. ``max_iter`` is the most rounds: the source's 4000
+    do not carry over to an engine that runs one distributed pass per tree level, so
+    100 is the documented limit; training ends sooner once a round improves the
+    validation error by less than ``early_stop`` (relative). ``min_bins`` is raised
+    to the largest category's size."""
+
     cat_features: Sequence[str] = CAT_FEATURES
     num_features: Sequence[str] = NUM_FEATURES
     label: str = "price"
     log_target: bool = True
     clip_target_q: float = 0.99
-    max_iter: int = 30
-    depth: int = 6
+    max_iter: int = 100
+    depth: int = 8
     step: float = 0.05
+    early_stop: float = 0.001
     seed: int = 42
-    max_bins: int = 128
+    min_bins: int = 128
     subsample: float = 1.0
     extra: dict = field(default_factory=dict)
 
@@ -58,22 +67,15 @@ def _label(df: DataFrame, cfg: TrainConfig) -> DataFrame:
     return df.withColumn(LABEL, F.log1p(y) if cfg.log_target else y)
 
 
-def build_pipeline(cfg: TrainConfig, validation_col: str | None) -> Pipeline:
+def feature_pipeline(cfg: TrainConfig) -> Pipeline:
     idx = [f"__pw_idx_{c}" for c in cfg.cat_features]
     nums = [f"__pw_num_{c}" for c in cfg.num_features]
     select = ", ".join(["*"] + [f"{_num_expr(c)} AS `{n}`" for c, n in zip(cfg.num_features, nums)])
-    stages = [
+    return Pipeline(stages=[
         SQLTransformer(statement=f"SELECT {select} FROM __THIS__"),
         StringIndexer(inputCols=list(cfg.cat_features), outputCols=idx, handleInvalid="keep"),
         VectorAssembler(inputCols=idx + nums, outputCol="__pw_features", handleInvalid="keep"),
-    ]
-    gbt = GBTRegressor(featuresCol="__pw_features", labelCol=LABEL, predictionCol=PRED,
-                       lossType="absolute", maxIter=cfg.max_iter, maxDepth=cfg.depth,
-                       stepSize=cfg.step, seed=cfg.seed, maxBins=cfg.max_bins,
-                       subsamplingRate=cfg.subsample, checkpointInterval=10, **cfg.extra)
-    if validation_col:
-        gbt = gbt.setValidationIndicatorCol(validation_col)
-    return Pipeline(stages=stages + [gbt])
+    ])
 
 
 def train_price_model(train: DataFrame, validation: DataFrame | None = None,
@@ -81,17 +83,26 @@ def train_price_model(train: DataFrame, validation: DataFrame | None = None,
     """Fit StringIndexer + VectorAssembler + GBTRegressor (absolute loss).
 
     With a validation frame the rows are unioned with an indicator column and
-    GBT stops early on the validation error. Labels are clipped per split.
+    GBT stops early on the validation error. Labels are clipped per split. The
+    bin count follows the fitted indexers, so any number of categories trains.
     """
     cols = [*cfg.cat_features, *cfg.num_features, cfg.label]
     data = _label(train.select(*cols), cfg).withColumn("__pw_is_val", F.lit(False))
     if validation is not None:
         data = data.unionByName(_label(validation.select(*cols), cfg)
                                 .withColumn("__pw_is_val", F.lit(True)))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    model = build_pipeline(cfg, "__pw_is_val" if validation is not None else None).fit(data)
-    data.unpersist()
-    return model
+    data = stored(data, "train")
+    prepared = feature_pipeline(cfg).fit(data)
+    largest = max(len(labels) for labels in prepared.stages[1].labelsArray) + 1  # and the unknown one
+    gbt = GBTRegressor(featuresCol="__pw_features", labelCol=LABEL, predictionCol=PRED,
+                       lossType="absolute", maxIter=cfg.max_iter, maxDepth=cfg.depth,
+                       stepSize=cfg.step, seed=cfg.seed, maxBins=max(cfg.min_bins, largest),
+                       subsamplingRate=cfg.subsample, validationTol=cfg.early_stop,
+                       checkpointInterval=10, **cfg.extra)
+    if validation is not None:
+        gbt = gbt.setValidationIndicatorCol("__pw_is_val")
+    fitted = gbt.fit(prepared.transform(data).select("__pw_features", LABEL, "__pw_is_val"))
+    return PipelineModel([*prepared.stages, fitted])
 
 
 def score_table(model: PipelineModel, df: DataFrame, log_target: bool = True,
@@ -123,3 +134,25 @@ def feature_importance(model: PipelineModel, cfg: TrainConfig = TrainConfig()) -
     session = SparkSession.getActiveSession()
     return (session.createDataFrame(rows, "feature string, importance double")
                    .orderBy(F.col("importance").desc(), "feature"))
+
+
+def run_record(metrics: DataFrame, cfg: TrainConfig, *, checksum: str, start_time: int, end_time: int,
+               run_id: str | None = None, model_class: str = "GBTRegressor") -> DataFrame:
+    """One run row in the runs table's shape (run_id, status, start_time, end_time, metrics,
+    params, tags), so that ranking, listing and serving read trained models like any other run.
+
+    ``metrics`` is ``evaluate_model``'s result; metrics are named '{split}_{metric}'. The
+    parameters hold the settings, the columns used and the raw data's checksum.
+    Without a ``run_id`` it is derived from settings and checksum.
+    """
+    params = {"log_target": str(cfg.log_target).lower(), "model_class": model_class, "label": cfg.label,
+              "cat_features": ",".join(cfg.cat_features), "num_features": ",".join(cfg.num_features),
+              "max_iter": cfg.max_iter, "depth": cfg.depth, "learning_rate": cfg.step, "early_stop": cfg.early_stop,
+              "seed": cfg.seed, "clip_target_q": cfg.clip_target_q, "checksum": checksum}
+    if run_id is None:
+        run_id = hashlib.sha256(repr(sorted(params.items())).encode()).hexdigest()[:32]
+    pairs = [F.lit(x) for k, v in params.items() for x in (k, str(v))]
+    return metrics_record(metrics).agg(F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("metrics")).select(
+        F.lit(run_id).alias("run_id"), F.lit(FINISHED).alias("status"), F.lit(start_time).cast("bigint").alias("start_time"),
+        F.lit(end_time).cast("bigint").alias("end_time"), "metrics", F.create_map(*pairs).alias("params"),
+        F.create_map(F.lit("source"), F.lit("training")).alias("tags"))

@@ -2,8 +2,8 @@
 
 A runs table has ``run_id, status, start_time, end_time`` (epoch ms),
 ``metrics`` map<string,double> and ``params`` / ``tags`` map<string,string>.
-Global quantities (best and second-best score, series min/max) are scalar
-subqueries: distributed aggregates, never an unpartitioned window.
+Global quantities (the two lowest scores, all series' ends) are one scalar
+subquery each: a distributed aggregate, never an unpartitioned window.
 """
 
 from __future__ import annotations
@@ -28,17 +28,19 @@ def run_ranking(runs: DataFrame, score: str = "validation_rmse",
     """Badge per run by its score rounded to 2 dp: equal to the lowest ->
     Champion; else equal to the second entry of the sorted list (duplicates
     kept, so a tie for first leaves no Challenger) -> Challenger; else Archive."""
-    r = round_half_up(metric(score, metrics_col), 2)
-    scored = runs.withColumn("rounded_score", r)
-    best = scored.select(F.min("rounded_score")).scalar()
-    ties = scored.select(F.count_if(F.col("rounded_score") == best)).scalar()
-    above = scored.select(F.min(F.when(F.col("rounded_score") > best, F.col("rounded_score")))).scalar()
-    second = F.when(ties >= 2, best).otherwise(above)
+    scored = runs.withColumn("rounded_score", round_half_up(metric(score, metrics_col), 2))
+    # the two lowest scores with their counts: one grouped pass, at most two rows
+    lowest = (scored.where(F.col("rounded_score").isNotNull()).groupBy("rounded_score").agg(F.count(F.lit(1)).alias("n"))
+              .orderBy("rounded_score").limit(2)
+              .agg(F.array_sort(F.collect_list(F.struct("rounded_score", "n"))).alias("top")))
+    scored = scored.withColumn("__top", lowest.scalar())
+    best = F.get("__top", F.lit(0))["rounded_score"]
+    second = F.when(F.get("__top", F.lit(0))["n"] >= 2, best).otherwise(F.get("__top", F.lit(1))["rounded_score"])
     badge = (F.when(F.col("rounded_score").isNull(), UNKNOWN)
               .when(F.col("rounded_score") == best, CHAMPION)
               .when(second.isNotNull() & (F.col("rounded_score") == second), CHALLENGER)
               .otherwise(ARCHIVE))
-    return scored.withColumn("badge", badge)
+    return scored.withColumn("badge", badge).drop("__top")
 
 
 def generalisation(runs: DataFrame, metrics_col: str = "metrics") -> DataFrame:
@@ -52,11 +54,10 @@ def metric_series(runs: DataFrame, metrics_col: str = "metrics",
     """(run_id, end time, rounded metrics) plus each series' min and max."""
     out = runs.select("run_id", epoch_millis_to_utc("end_time").alias("end_at"),
                       *[round_half_up(metric(n, metrics_col), 2).alias(n) for n in names])
-    extras = {}
-    for n in names:
-        extras[f"{n}_min"] = out.select(F.min(n)).scalar()
-        extras[f"{n}_max"] = out.select(F.max(n)).scalar()
-    return out.withColumns(extras)
+    ends = out.agg(F.struct(*[f(n).alias(f"{n}_{end}") for n in names for end, f in (("min", F.min), ("max", F.max))])
+                   .alias("ends"))
+    out = out.withColumn("__ends", ends.scalar())
+    return out.select("*", "__ends.*").drop("__ends")
 
 
 def latest_finished_run(runs: DataFrame) -> DataFrame:

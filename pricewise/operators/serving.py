@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 
 from pricewise.functions.dates import month_start, sold_month, sold_year
 from pricewise.functions.numeric import interval_bounds, round_price
-from pricewise.functions.text import interaction
+from pricewise.functions.text import canonical_postcode, interaction, truthy
 from pricewise.operators.aggregates import (global_fallback, group_median,
                                             group_median_composite, recent_group_median)
-from pricewise.functions.text import canonical_postcode
 from pricewise.operators.enrich import dimension_table, lookup_with_fallback
 from pricewise.operators.filters import ALLOWED_PROPERTY_TYPES, validate_requests
 from pricewise.operators.model import MODEL_COLUMNS, score_table
@@ -68,7 +67,9 @@ def serving_features(requests: DataFrame, lookups: LookupTables, as_of: Column,
     """The 13 model inputs, in model order, for every request row.
 
     ``as_of`` replaces "today": year, month and month start come from it.
-    Trend values fall back district-year -> previous year -> global median.
+    Trend values fall back district-year -> previous year -> global median. The
+    leasehold flag is rendered in training's codes (``tenure_map``), in the
+    column itself and in its interaction.
     """
     req = requests.withColumns({
         "sold_year": sold_year(as_of), "sold_month": sold_month(as_of),
@@ -80,9 +81,9 @@ def serving_features(requests: DataFrame, lookups: LookupTables, as_of: Column,
     if tenure_map:
         m = F.create_map(*[F.lit(x) for kv in tenure_map.items() for x in kv])
         tenure = F.coalesce(m[F.col("is_leasehold")], F.col("is_leasehold"))
-    req = req.withColumns({
+    req = req.withColumn("is_leasehold", tenure).withColumns({
         "advanced_property_type": interaction("is_new_build", "property_type"),
-        "property_type_and_tenure": interaction(tenure, "property_type"),
+        "property_type_and_tenure": interaction("is_leasehold", "property_type"),
         "property_type_and_district": interaction(district_col, "property_type"),
     })
     if district_col != "district":
@@ -108,22 +109,42 @@ def route_requests(requests: DataFrame, directory: DataFrame, id_col: str = "req
     return accepted, rejected
 
 
+# How a response names its features.
+USER_FIELDS = ("is_leasehold", "is_new_build", "postcode", "property_type")
+ENRICHED = ("district", "borough_price_trend", "district_yearly_medians", "avg_price_last_half",
+            "advanced_property_type", "property_type_and_tenure", "property_type_and_district",
+            "sold_year", "sold_month", "date")
+MODEL_NAME = "gbt_model"
+
+
+def responses(features: DataFrame, model: PipelineModel, run_id: str, log_target: bool,
+              id_col: str = "request_id", model_name: str = MODEL_NAME) -> DataFrame:
+    """Responses for feature rows: predicted_price, confidence_interval [lo, hi], run_id,
+    model_version ('name:first 8 of run_id') and features_used."""
+    scored = score_table(model, features, log_target, "__raw")
+    names = {"user_provided": USER_FIELDS, "enriched": ENRICHED, "defaulted": ()}
+    used = F.struct(*[F.array(*[F.lit(x) for x in v]).cast("array<string>").alias(k) for k, v in names.items()])
+    return scored.select(
+        id_col, "district", round_price("__raw").alias("predicted_price"),
+        interval_bounds("__raw").alias("confidence_interval"), F.lit(run_id).alias("run_id"),
+        F.lit(f"{model_name}:{run_id[:8]}").alias("model_version"), used.alias("features_used"))
+
+
 def score_requests(requests: DataFrame, directory: DataFrame, lookups: LookupTables,
-                   model: PipelineModel, as_of: Column, id_col: str = "request_id",
+                   model: PipelineModel, as_of: Column, run: DataFrame, id_col: str = "request_id",
                    directory_key: str = "postcode", directory_value: str = "district",
-                   allowed_types=ALLOWED_PROPERTY_TYPES, log_target: bool = True,
-                   model_version: str = "gbt") -> tuple[DataFrame, DataFrame]:
+                   allowed_types=ALLOWED_PROPERTY_TYPES,
+                   model_name: str = MODEL_NAME) -> tuple[DataFrame, DataFrame]:
     """validate -> district -> features -> price -> interval.
 
-    Returns (responses, rejected): responses carry predicted_price,
-    confidence_interval [lo, hi] and model_version.
+    ``run`` is the run record of the model (see ``model.run_record``): its id names the
+    responses and its ``log_target`` parameter (missing: true) says how to invert
+    the prediction. Returns (responses, rejected).
     """
+    record = run.select("run_id", F.coalesce(truthy(F.col("params")["log_target"]), F.lit(True)).alias("log")).first()
+    if record is None:
+        raise LookupError("no run record for the model")
     accepted, rejected = route_requests(requests, directory, id_col, directory_key,
                                         directory_value, allowed_types)
     feats = serving_features(accepted, lookups, as_of, keep=(id_col,))
-    scored = score_table(model, feats, log_target, "__raw")
-    responses = scored.select(
-        id_col, "district", round_price("__raw").alias("predicted_price"),
-        interval_bounds("__raw").alias("confidence_interval"),
-        F.lit(model_version).alias("model_version"))
-    return responses, rejected
+    return responses(feats, model, record["run_id"], record["log"], id_col, model_name), rejected

@@ -3,23 +3,28 @@ scoring (ML1-ML6, SO2). Model-dependent outputs have no SQL twin."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
+from pricewise.functions.numeric import round_half_up
 from pricewise.operators import model as MD
 from pricewise.operators.filters import validate_requests
 from pricewise.operators.enrich import resolve_dimension
-from pricewise.operators.serving import (build_lookup_tables, route_requests, score_requests,
+from pricewise.operators.runs import latest_finished_run, run_ranking
+from pricewise.operators.serving import (LookupTables, build_lookup_tables, route_requests, score_requests,
                                          serving_features)
 from pricewise.operators.split import stratified_split
 from pricewise.plans import sqltext as Q
 from pricewise.plans import tables as T
 from pricewise.plans.catalog import engineered, register, round4
-from pricewise.plans.q_features import LOOKUPS_SQL, fallback_sql
+from pricewise.plans.layers import input_stamp, materialized
+from pricewise.plans.q_features import LOOKUPS_SQL, fallback_sql, stratified_sql
 from pricewise.plans.sqltext import canon
+from pricewise.session import stored
+from pricewise.sources import files as IO
 
-# Training settings of the registered model queries: the source's depth and
-# rate with fewer rounds (Spark's GBT is sequential per round).
-BENCH_CFG = MD.TrainConfig(max_iter=20, depth=6, step=0.1)
+CFG = MD.TrainConfig()
 _MODELS: dict = {}
 
 
@@ -28,18 +33,33 @@ def split_engineered(spark, sf_dir):
 
 
 def fitted(spark, sf_dir):
-    """Train once per session and table directory (the model is small; the
+    """Train once per session and input version (the model is small; the
     data it was fitted on stays distributed)."""
     from pricewise.session import app_key
-    key = (app_key(spark), sf_dir)
+    key = (app_key(spark), sf_dir, input_stamp(spark, sf_dir))
     if key not in _MODELS:
-        parts = split_engineered(spark, sf_dir)
+        parts = stored(split_engineered(spark, sf_dir), "split")
         train = parts.where(F.col("split") == "train")
         val = parts.where(F.col("split") == "validation")
-        _MODELS[key] = MD.train_price_model(train, val, BENCH_CFG)
+        began = time.time()
+        model = MD.train_price_model(train, val, CFG)
+        metrics = stored(MD.evaluate_model(model, parts), "metrics")
+        run = MD.run_record(metrics, CFG, checksum=IO.content_checksum(
+            spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("orders", "customer", "nation", "region")]),
+            start_time=int(began * 1000), end_time=int(time.time() * 1000))
+        _MODELS[key] = (model, parts, metrics, stored(run, "run"))
     return _MODELS[key]
 
 
+def lookups(spark, sf_dir):
+    """The three lookup tables, stored once per input version."""
+    eng = engineered(spark, sf_dir)
+    built = build_lookup_tables(eng)
+    return LookupTables(*[materialized(spark, name, sf_dir, lambda df=df: df) for name, df in (
+        ("lookup-district", built.borough_price_trend), ("lookup-year", built.district_yearly_medians),
+        ("lookup-recent", built.avg_price_last_half))])
+
+
 @register("build_lookup_tables", Q.r4(" UNION ALL ".join([
     f"SELECT 'borough_price_trend' AS lookup, district AS key, price FROM ({LOOKUPS_SQL['bpt']}) a",
     f"SELECT 'district_yearly_medians', district_year, price FROM ({LOOKUPS_SQL['dym']}) b",
@@ -64,7 +84,8 @@ SELECT request_id, property_type, is_new_build, is_leasehold, district,
 FROM ({VALID_REQUESTS_SQL}) vr""", "district", "sold_year")
 
 SERVING_OUT_SQL = f"""
-SELECT request_id, property_type, is_new_build, is_leasehold, district, sold_month,
+SELECT request_id, property_type, is_new_build,
+       CASE is_leasehold WHEN 'Y' THEN 'L' WHEN 'N' THEN 'F' ELSE is_leasehold END AS is_leasehold, district, sold_month,
        is_new_build || '_' || property_type AS advanced_property_type,
        CASE is_leasehold WHEN 'Y' THEN 'L' WHEN 'N' THEN 'F' ELSE is_leasehold END || '_' || property_type
          AS property_type_and_tenure,
@@ -84,7 +105,7 @@ def _valid_resolved_requests(spark, sf_dir):
                                    "avg_price_last_half"))
 def q_serving(spark, sf_dir):
     eng = engineered(spark, sf_dir)
-    lk = build_lookup_tables(eng)
+    lk = lookups(spark, sf_dir)
     as_of = eng.select(F.max("date")).scalar()
     return round4(serving_features(_valid_resolved_requests(spark, sf_dir), lk, as_of,
                                    keep=("request_id",)))
@@ -93,39 +114,106 @@ def q_serving(spark, sf_dir):
 @register("train_price_model")
 def q_train(spark, sf_dir):
     """The fitted ensemble: one row per tree (index, weight, nodes, depth)."""
-    gbt = fitted(spark, sf_dir).stages[-1]
+    gbt = fitted(spark, sf_dir)[0].stages[-1]
     rows = [(i, float(w), int(t.numNodes), int(t.depth))
             for i, (t, w) in enumerate(zip(gbt.trees, gbt.treeWeights))]
     return spark.createDataFrame(rows, "tree int, weight double, nodes int, depth int")
 
 
+def _scored(spark, sf_dir):
+    model, parts, *_ = fitted(spark, sf_dir)
+    return MD.score_table(model, parts.where(F.col("split") == "test"))
+
+
 @register("score_table")
 def q_score(spark, sf_dir):
-    parts = split_engineered(spark, sf_dir).where(F.col("split") == "test")
-    scored = MD.score_table(fitted(spark, sf_dir), parts)
-    return round4(scored.select("transaction_id", "price", "predicted_price"))
+    return round4(_scored(spark, sf_dir).select("transaction_id", "price", "predicted_price"))
+
+
+SPLIT_SQL = f"({stratified_sql(ENG)}) sp"
+
+
+@register("score_table_rows", Q.r4(f"SELECT transaction_id, price, true AS positive FROM {SPLIT_SQL} WHERE split = 'test'",
+                                   "price"))
+def q_score_rows(spark, sf_dir):
+    """What SQL can say of the scored table: its rows, and that every prediction is a positive price."""
+    return round4(_scored(spark, sf_dir).select("transaction_id", "price", (F.col("predicted_price") > 0).alias("positive")))
 
 
 @register("evaluate_model")
 def q_evaluate(spark, sf_dir):
-    return round4(MD.evaluate_model(fitted(spark, sf_dir), split_engineered(spark, sf_dir)))
+    return round4(fitted(spark, sf_dir)[2])
+
+
+@register("evaluate_model_rows", f"""
+SELECT split, count(*) AS n, true AS mse_is_rmse_squared, true AS r2_at_most_one, true AS better_than_mean
+FROM {SPLIT_SQL} GROUP BY split""")
+def q_evaluate_rows(spark, sf_dir):
+    """What SQL can say of the metrics: counts per split and identities (r2 above 0: better than the mean)."""
+    m = fitted(spark, sf_dir)[2]
+    return m.select("split", "n", (F.abs(F.col("rmse") * F.col("rmse") / F.col("mse") - 1) < 1e-9).alias("mse_is_rmse_squared"),
+                    (F.col("r2") <= 1).alias("r2_at_most_one"), (F.col("r2") > -1).alias("better_than_mean"))
 
 
 @register("feature_importance")
 def q_importance(spark, sf_dir):
-    return round4(MD.feature_importance(fitted(spark, sf_dir), BENCH_CFG))
+    return round4(MD.feature_importance(fitted(spark, sf_dir)[0], CFG))
+
+
+@register("feature_importance_rows", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, 100.0 AS total" for c in (*MD.CAT_FEATURES, *MD.NUM_FEATURES)))
+def q_importance_rows(spark, sf_dir):
+    """Every model input has an importance and they add up to 100."""
+    imp = MD.feature_importance(fitted(spark, sf_dir)[0], CFG)
+    total = imp.agg(F.round(F.sum("importance"), 6)).scalar()
+    return imp.select("feature", total.alias("total"))
+
+
+def _responses(spark, sf_dir):
+    eng = engineered(spark, sf_dir)
+    model, *_, run = fitted(spark, sf_dir)
+    out, _rejected = score_requests(
+        T.requests_table(spark, sf_dir), T.postcode_directory(spark, sf_dir),
+        lookups(spark, sf_dir), model, eng.select(F.max("date")).scalar(), run,
+        allowed_types=T.PROPERTY_TYPES)
+    return out
 
 
 @register("score_requests")
 def q_score_requests(spark, sf_dir):
     """Responses for every valid request with a known postcode (rejections
     are the second output of the operator, see tests)."""
-    eng = engineered(spark, sf_dir)
-    responses, _rejected = score_requests(
-        T.requests_table(spark, sf_dir), T.postcode_directory(spark, sf_dir),
-        build_lookup_tables(eng), fitted(spark, sf_dir), eng.select(F.max("date")).scalar(),
-        allowed_types=T.PROPERTY_TYPES)
-    return round4(responses)
+    return round4(_responses(spark, sf_dir))
+
+
+@register("score_requests_rows", f"""
+SELECT request_id, district, true AS interval_holds, true AS version_names_run,
+       'district,borough_price_trend,district_yearly_medians,avg_price_last_half,advanced_property_type,'
+       || 'property_type_and_tenure,property_type_and_district,sold_year,sold_month,date' AS enriched,
+       'is_leasehold,is_new_build,postcode,property_type' AS user_provided
+FROM ({VALID_REQUESTS_SQL}) vr""")
+def q_score_requests_rows(spark, sf_dir):
+    """What SQL can say of the responses: who is answered, the interval's identities and the contract's fields."""
+    p, lo, hi = F.col("predicted_price"), F.col("confidence_interval")[0], F.col("confidence_interval")[1]
+    margin = round_half_up(p * 0.1, 2)
+    return _responses(spark, sf_dir).select(
+        "request_id", "district",
+        ((lo == round_half_up(p - margin, 2)) & (hi == round_half_up(p + margin, 2)) & (p > 0)).alias("interval_holds"),
+        (F.col("model_version") == F.concat(F.lit("gbt_model:"), F.substring("run_id", 1, 8))).alias("version_names_run"),
+        F.array_join("features_used.enriched", ",").alias("enriched"),
+        F.array_join("features_used.user_provided", ",").alias("user_provided"))
+
+
+@register("trained_run_listed", f"""
+SELECT count(*) + 1 AS runs, true AS listed, true AS latest FROM ({Q.RUNS_SQL}) r""")
+def q_run_listed(spark, sf_dir):
+    """The trained model's record beside all other runs: it is ranked, and the newest finished run."""
+    run = fitted(spark, sf_dir)[3]
+    runs = T.runs_table(spark, sf_dir).unionByName(run)
+    mine = run.select("run_id").scalar()
+    ranked = run_ranking(runs)
+    return ranked.agg(F.count(F.lit(1)).alias("runs"), F.max((F.col("run_id") == mine) & (F.col("badge") != "Unknown")).alias("listed"),
+                      F.max((F.col("run_id") == latest_finished_run(runs).scalar()) & (F.col("run_id") == mine)).alias("latest"))
 
 
 @register("rejected_requests", f"""
@@ -158,7 +246,7 @@ def q_stream_serving(spark, sf_dir):
     T.requests_table(spark, sf_dir).write.parquet(src)
     eng = engineered(spark, sf_dir)
     feats, _rejected = stream_features(read_request_stream(spark, src), T.postcode_directory(spark, sf_dir),
-                                       build_lookup_tables(eng), eng.select(F.max("date")).scalar(),
+                                       lookups(spark, sf_dir), eng.select(F.max("date")).scalar(),
                                        allowed_types=T.PROPERTY_TYPES)
     out, ckpt = scratch_path(spark, "features-out"), scratch_path(spark, "features-ckpt")
     query = (feats.writeStream.format("parquet").option("checkpointLocation", ckpt)

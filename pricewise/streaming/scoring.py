@@ -11,12 +11,9 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from pricewise.functions.numeric import interval_bounds, round_price
 from pricewise.operators.filters import ALLOWED_PROPERTY_TYPES
-from pricewise.operators.model import score_table
-from pricewise.operators.serving import LookupTables, route_requests, serving_features
+from pricewise.operators.serving import LookupTables, route_requests, score_requests, serving_features
 
 REQUEST_SCHEMA = ("request_id bigint, postcode string, property_type string, "
                   "is_new_build string, is_leasehold string")
@@ -36,18 +33,16 @@ def stream_features(requests: DataFrame, directory: DataFrame, lookups: LookupTa
 
 
 def start_scoring(requests: DataFrame, directory: DataFrame, lookups: LookupTables,
-                  model: PipelineModel, as_of: Column, out_path: str, checkpoint: str,
+                  model: PipelineModel, as_of: Column, run: DataFrame, out_path: str, checkpoint: str,
                   allowed_types=ALLOWED_PROPERTY_TYPES, available_now: bool = True):
-    """Start the scoring query; responses land in ``out_path/batch=<id>``."""
-    features, _rejected = stream_features(requests, directory, lookups, as_of, allowed_types)
-
+    """Start the scoring query. Every request is answered: responses land in
+    ``out_path/responses/batch=<id>``, rejected requests with their reason in
+    ``out_path/rejected/batch=<id>``."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        scored = score_table(model, batch, True, "__raw")
-        (scored.select("request_id", "district", round_price("__raw").alias("predicted_price"),
-                       interval_bounds("__raw").alias("confidence_interval"))
-               .withColumn("batch", F.lit(batch_id))
-               .write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={batch_id}"))
+        for name, df in zip(("responses", "rejected"),
+                            score_requests(batch, directory, lookups, model, as_of, run, allowed_types=allowed_types)):
+            df.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/{name}/batch={batch_id}")
 
-    writer = features.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = requests.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,9 +7,9 @@ from pricewise.operators import model as MD
 from pricewise.operators.serving import build_lookup_tables, route_requests, score_requests, serving_features
 from pricewise.plans import tables as T
 from pricewise.plans.catalog import engineered
-from pricewise.session import scratch_path
+from pricewise.session import scratch_path, stored
 from pricewise.streaming.scoring import read_request_stream, start_scoring
-from tests.conftest import SF001
+from tests.conftest import SF001, rows
 
 CFG = MD.TrainConfig(max_iter=5, depth=3)
 
@@ -16,7 +18,7 @@ CFG = MD.TrainConfig(max_iter=5, depth=3)
 def fitted(spark):
     eng = engineered(spark, SF001)
     from pricewise.operators.split import stratified_split
-    parts = stratified_split(eng, "transaction_id", "price").persist()
+    parts = stored(stratified_split(eng, "transaction_id", "price"), "test-split")
     model = MD.train_price_model(parts.where("split = 'train'"), parts.where("split = 'validation'"), CFG)
     return eng, parts, model
 
@@ -32,6 +34,42 @@ def test_train_score_evaluate(spark, fitted):
     assert len(imp) == 13 and abs(sum(r.importance for r in imp) - 100.0) < 1e-6
 
 
+def test_known_signal_is_learned_and_recorded(spark):
+    rows = [(i, "AB"[i % 2], "N" if i % 3 else "Y", 100_000.0 * (1 + i % 2) * (2 if i % 3 == 0 else 1)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, kind string, new string, price double")
+    cfg = MD.TrainConfig(cat_features=("kind", "new"), num_features=(), max_iter=40, depth=3, step=0.1, clip_target_q=1.0)
+    model = MD.train_price_model(df, cfg=cfg)
+    for r in MD.score_table(model, df).collect():
+        assert r.predicted_price == pytest.approx(r.price, rel=0.2)
+    metrics = MD.evaluate_model(model, df.withColumn("split", F.lit("train")))
+    assert metrics.first().r2 > 0.95
+    imp = {r.feature: r.importance for r in MD.feature_importance(model, cfg).collect()}
+    assert imp["kind"] > 10 and imp["new"] > 10
+    run = MD.run_record(metrics, cfg, checksum="abc", start_time=1, end_time=2).first()
+    assert run.params["checksum"] == "abc" and run.params["cat_features"] == "kind,new" and run.params["depth"] == "3"
+    assert set(run.metrics) == {"train_rmse", "train_mse", "train_r2"} and run.status == "FINISHED"
+
+
+def test_source_settings_and_many_categories(spark):
+    cfg = MD.TrainConfig()
+    assert (cfg.depth, cfg.step, cfg.max_iter) == (8, 0.05, 100) and "sold_month" in cfg.cat_features
+    assert sorted([*cfg.cat_features, *cfg.num_features]) == sorted(MD.MODEL_COLUMNS)
+    df = spark.createDataFrame([(f"c{i % 165}", 100.0 + i % 165) for i in range(660)], "kind string, price double")
+    small = MD.TrainConfig(cat_features=("kind",), num_features=(), max_iter=2, depth=2)
+    assert MD.score_table(MD.train_price_model(df, cfg=small), df).where("predicted_price is null").count() == 0
+
+
+def test_serving_categories_are_training_categories(spark, fitted):
+    eng, _parts, _model = fitted
+    req = T.requests_table(spark, SF001)
+    accepted, _ = route_requests(req, T.postcode_directory(spark, SF001), allowed_types=T.PROPERTY_TYPES)
+    served = serving_features(accepted, build_lookup_tables(eng), eng.select(F.max("date")).scalar())
+    # districts outside the filtered training county are unknown by design
+    for c in ("property_type", "is_new_build", "is_leasehold", "sold_month"):
+        values = {r[0] for r in served.select(c).distinct().collect()}
+        assert values <= {r[0] for r in eng.select(c).distinct().collect()}, c
+
+
 def test_serving_features_order_and_fallback(spark, fitted):
     eng, _parts, _model = fitted
     lk = build_lookup_tables(eng)
@@ -48,17 +86,29 @@ def test_serving_features_order_and_fallback(spark, fitted):
     assert got[1].advanced_property_type == "Y_A"
 
 
+def _run(spark, log_target="true"):
+    params = "map('model_class', 'GBTRegressor')" if log_target is None else f"map('log_target', '{log_target}')"
+    return spark.sql(f"SELECT 'abcdef0123456789' AS run_id, {params} AS params")
+
+
 def test_score_requests_and_rejections(spark, fitted):
     eng, _parts, model = fitted
     req = T.requests_table(spark, SF001)
-    responses, rejected = score_requests(req, T.postcode_directory(spark, SF001), build_lookup_tables(eng),
-                                         model, eng.select(F.max("date")).scalar(),
-                                         allowed_types=T.PROPERTY_TYPES)
+    args = (req, T.postcode_directory(spark, SF001), build_lookup_tables(eng), model, eng.select(F.max("date")).scalar())
+    responses, rejected = score_requests(*args, _run(spark), allowed_types=T.PROPERTY_TYPES)
     n_ok, n_bad = responses.count(), rejected.count()
     assert n_ok + n_bad == req.count() and n_ok > 0 and n_bad > 0
-    r = responses.first()
+    r = responses.orderBy("request_id").first()
     lo, hi = r.confidence_interval
-    assert lo <= r.predicted_price <= hi
+    assert lo == pytest.approx(0.9 * r.predicted_price, abs=0.01) and hi == pytest.approx(1.1 * r.predicted_price, abs=0.01)
+    assert r.run_id == "abcdef0123456789" and r.model_version == "gbt_model:abcdef01"
+    assert r.features_used.user_provided == ["is_leasehold", "is_new_build", "postcode", "property_type"]
+    assert len(r.features_used.enriched) == 10 and r.features_used.defaulted == []
+    # the run says whether the target was logged; without a word it was
+    plain = score_requests(*args, _run(spark, "false"), allowed_types=T.PROPERTY_TYPES)[0].orderBy("request_id").first()
+    assert math.expm1(plain.predicted_price) == pytest.approx(r.predicted_price, rel=0.02)
+    same = score_requests(*args, _run(spark, None), allowed_types=T.PROPERTY_TYPES)[0].orderBy("request_id").first()
+    assert same.predicted_price == r.predicted_price
     reasons = {x.reject_reason for x in rejected.select("reject_reason").distinct().collect()}
     assert "unknown postcode" in reasons
 
@@ -69,12 +119,9 @@ def test_streaming_scoring_matches_batch(spark, fitted, tmp_path):
     T.requests_table(spark, SF001).repartition(3).write.parquet(src)
     stream = read_request_stream(spark, src, max_files_per_trigger=1)
     out, ckpt = scratch_path(spark, "req-out"), scratch_path(spark, "req-ckpt")
-    lk = build_lookup_tables(eng)
-    as_of = eng.select(F.max("date")).scalar()
-    q = start_scoring(stream, T.postcode_directory(spark, SF001), lk, model, as_of, out, ckpt,
-                      allowed_types=T.PROPERTY_TYPES)
+    static = (T.postcode_directory(spark, SF001), build_lookup_tables(eng), model, eng.select(F.max("date")).scalar(), _run(spark))
+    q = start_scoring(stream, *static, out, ckpt, allowed_types=T.PROPERTY_TYPES)
     q.awaitTermination(300)
-    streamed = spark.read.parquet(out)
-    accepted, _ = route_requests(T.requests_table(spark, SF001), T.postcode_directory(spark, SF001),
-                                 allowed_types=T.PROPERTY_TYPES)
-    assert streamed.count() == accepted.count()
+    for name, want in zip(("responses", "rejected"),
+                          score_requests(T.requests_table(spark, SF001), *static, allowed_types=T.PROPERTY_TYPES)):
+        assert rows(spark.read.parquet(f"{out}/{name}").drop("batch")) == rows(want)

@@ -22,3 +22,10 @@ def test_no_unscalable_plan_shapes(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     found = [k for k, p in BAD.items() if p.search(plan)]
     assert not found, (name, found)
+
+
+@pytest.mark.parametrize("name", ["run_ranking", "metric_series"])
+def test_two_reads_of_the_runs(spark, name):
+    df = E.queries()[name](spark, SF001)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[", plan)) <= 2
