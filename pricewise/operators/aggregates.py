@@ -34,11 +34,12 @@ def group_median(df: DataFrame, key: str, value_col: str = "price", out_col: str
 
 def group_median_composite(df: DataFrame, key: str, year_col: str, value_col: str = "price",
                            out_key: str = "district_year", out_col: str = "price",
-                           approx: bool = False) -> DataFrame:
-    """Median per (key, year), keyed as ``'{key}_{year}'``."""
+                           approx: bool = False, keep_keys: bool = False) -> DataFrame:
+    """Median per (key, year), keyed as ``'{key}_{year}'``; ``keep_keys`` leaves the two
+    key columns beside the text, so joins need not parse it back."""
+    text = F.concat_ws("_", F.col(key), F.col(year_col).cast("bigint").cast("string")).alias(out_key)
     return (keyed_median(df, [key, year_col], value_col, out_col, approx)
-              .select(F.concat_ws("_", F.col(key), F.col(year_col).cast("bigint").cast("string")).alias(out_key),
-                      out_col))
+              .select(*([key, year_col] if keep_keys else []), text, out_col))
 
 
 def recent_group_median(df: DataFrame, key: str, date_col: str, value_col: str = "price",

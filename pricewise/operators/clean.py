@@ -25,7 +25,8 @@ def cast_columns(df: DataFrame, dtype_map: Mapping[str, str],
     casts = {}
     for name, tag in dtype_map.items():
         if tag == "float":
-            casts[name] = cast_numeric(name)
+            kind = dict(df.dtypes).get(name, "string")
+            casts[name] = cast_numeric(name) if kind == "string" else F.col(name).cast("double")
         elif tag == "datetime":
             dtype = dict(df.dtypes).get(name)
             casts[name] = (F.col(name).cast("timestamp_ntz") if dtype in ("timestamp", "timestamp_ntz", "date")

@@ -92,18 +92,29 @@ def attach_group_stat_join(df: DataFrame, keys: Sequence[str], value_col: str, o
 def district_profile(district_lookup: DataFrame, yearly_lookup: DataFrame,
                      recent_lookup: DataFrame) -> DataFrame:
     """One small row per district: trend median, recent median and a
-    year -> median map (parsed back from the 'district_year' keys).
-
-    The map holds one entry per year of one district, so it stays small."""
-    yl = (yearly_lookup
-          .select(F.regexp_extract("district_year", r"^(.*)_(-?[0-9]+)$", 1).alias("district"),
-                  F.regexp_extract("district_year", r"^(.*)_(-?[0-9]+)$", 2).cast("bigint").alias("__y"),
-                  F.col("price"))
-          .groupBy("district")
-          .agg(F.map_from_entries(F.collect_list(F.struct("__y", "price"))).alias("__years")))
-    dl = district_lookup.select("district", F.col("price").alias("__bpt"))
-    rl = recent_lookup.select("district", F.col("price").alias("__recent"))
-    return dl.join(rl, "district", "full_outer").join(yl, "district", "full_outer")
+    year -> median map, from one union and one grouped pass.
+
+    The yearly lookup's own (district, sold_year) columns are used where it has
+    them, else its 'district_year' text is parsed. The map holds one entry per
+    year of one district, so it stays small."""
+    if "sold_year" in yearly_lookup.columns:
+        place, year = F.col("district"), F.col("sold_year").cast("bigint")
+    else:
+        text = r"^(.*)_(-?[0-9]+)$"
+        place, year = F.regexp_extract("district_year", text, 1), F.regexp_extract("district_year", text, 2).cast("bigint")
+
+    def part(df: DataFrame, place, column: str, value) -> DataFrame:
+        parts = {"__bpt": F.lit(None).cast("double"), "__recent": F.lit(None).cast("double"),
+                 "__year": F.lit(None).cast("struct<__y:bigint,price:double>"), column: value}
+        return df.select(place.alias("district"), *[c.alias(n) for n, c in parts.items()])
+
+    price = F.col("price").cast("double")
+    rows = (part(district_lookup, F.col("district"), "__bpt", price)
+            .unionByName(part(recent_lookup, F.col("district"), "__recent", price))
+            .unionByName(part(yearly_lookup, place, "__year", F.struct(year.alias("__y"), price.alias("price")))))
+    return rows.groupBy("district").agg(
+        F.max("__bpt").alias("__bpt"), F.max("__recent").alias("__recent"),
+        F.map_from_entries(F.collect_list("__year")).alias("__years"))
 
 
 def lookup_with_fallback(requests: DataFrame, district_col: str, year_col: str,

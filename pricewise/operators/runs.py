@@ -66,11 +66,16 @@ def latest_finished_run(runs: DataFrame) -> DataFrame:
                 .agg(F.max_by("run_id", F.struct("start_time", "run_id")).alias("run_id")))
 
 
+# Fields of a run that are echoed where the runs table has them.
+OPTIONAL_INFO = ("artifact_uri", "experiment_id", "lifecycle_stage", "user_id")
+
+
 def run_payload(runs: DataFrame) -> DataFrame:
     """Nested record per run: data{metrics, params, tags}, info{...} with UTC times."""
+    more = [(F.col(c) if c in runs.columns else F.lit(None).cast("string")).alias(c) for c in OPTIONAL_INFO]
     return runs.select(
         "run_id",
         F.struct(F.col("metrics"), F.col("params"), F.col("tags")).alias("data"),
         F.struct(F.col("run_id"), F.col("run_id").alias("run_uuid"), "status", "start_time",
                  "end_time", epoch_millis_to_utc("start_time").alias("start_at"),
-                 epoch_millis_to_utc("end_time").alias("end_at")).alias("info"))
+                 epoch_millis_to_utc("end_time").alias("end_at"), *more).alias("info"))

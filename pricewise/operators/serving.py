@@ -29,7 +29,7 @@ TENURE_FROM_FLAG = {"Y": "L", "N": "F"}
 @dataclass
 class LookupTables:
     borough_price_trend: DataFrame      # district, price
-    district_yearly_medians: DataFrame  # district_year, price
+    district_yearly_medians: DataFrame  # district, sold_year, district_year, price
     avg_price_last_half: DataFrame      # district, price
 
     def global_median(self) -> Column:
@@ -55,7 +55,7 @@ def build_lookup_tables(engineered: DataFrame, district_col: str = "district",
     base = engineered.select(F.col(district_col).alias("district"), year_col, date_col, price_col)
     return LookupTables(
         group_median(base, "district", price_col, "price"),
-        group_median_composite(base, "district", year_col, price_col, "district_year", "price"),
+        group_median_composite(base, "district", year_col, price_col, "district_year", "price", keep_keys=True),
         recent_group_median(base, "district", date_col, price_col, months, "price"),
     )
 

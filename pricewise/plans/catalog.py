@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricewise.operators.serving import LookupTables, build_lookup_tables
 from pricewise.plans import sqltext as Q
 from pricewise.plans import tables as T
 from pricewise.plans.layers import materialized
@@ -57,6 +58,15 @@ def engineered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialized(spark, "gold", sf_dir, lambda: engineer_from(spark, sf_dir, cleaned(spark, sf_dir)))
 
 
+def lookups(spark, sf_dir):
+    """The three lookup tables, stored once per input version."""
+    eng = engineered(spark, sf_dir)
+    built = build_lookup_tables(eng)
+    return LookupTables(*[materialized(spark, name, sf_dir, lambda df=df: df) for name, df in (
+        ("lookup-district", built.borough_price_trend), ("lookup-year", built.district_yearly_medians),
+        ("lookup-recent", built.avg_price_last_half))])
+
+
 # ------------------------------------------------------------------ pipelines
 
 def cast_sales(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,10 +9,9 @@ from pricewise.operators import enrich as EN
 from pricewise.operators import split as SP
 from pricewise.operators import windows as WN
 from pricewise.operators.metrics import regression_metrics
-from pricewise.operators.serving import build_lookup_tables
 from pricewise.plans import sqltext as Q
 from pricewise.plans import tables as T
-from pricewise.plans.catalog import cleaned, engineered, register, resolved, round4
+from pricewise.plans.catalog import cleaned, engineered, lookups, register, resolved, round4
 from pricewise.plans.sqltext import canon, num, r4, rolling_sql
 
 CLEAN = f"({Q.CLEAN_SQL}) cl"
@@ -93,7 +92,7 @@ LEFT JOIN ({LOOKUPS_SQL['recent']}) rc ON q.{district} = rc.district"""
     f"SELECT DISTINCT district, sold_year + 1 AS sold_year FROM {RES} WHERE district IS NOT NULL",
     "district", "sold_year"), "borough_price_trend", "district_yearly_medians", "avg_price_last_half"))
 def q_lookup_fallback(spark, sf_dir):
-    lk = build_lookup_tables(engineered(spark, sf_dir))
+    lk = lookups(spark, sf_dir)
     req = (resolved(spark, sf_dir).where(F.col("district").isNotNull())
            .select("district", (F.col("sold_year") + 1).alias("sold_year")).distinct())
     out = EN.lookup_with_fallback(req, "district", "sold_year", lk.borough_price_trend,

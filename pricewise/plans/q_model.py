@@ -12,13 +12,13 @@ from pricewise.operators import model as MD
 from pricewise.operators.filters import validate_requests
 from pricewise.operators.enrich import resolve_dimension
 from pricewise.operators.runs import latest_finished_run, run_ranking
-from pricewise.operators.serving import (LookupTables, build_lookup_tables, route_requests, score_requests,
+from pricewise.operators.serving import (build_lookup_tables, route_requests, score_requests,
                                          serving_features)
 from pricewise.operators.split import stratified_split
 from pricewise.plans import sqltext as Q
 from pricewise.plans import tables as T
-from pricewise.plans.catalog import engineered, register, round4
-from pricewise.plans.layers import input_stamp, materialized
+from pricewise.plans.catalog import engineered, lookups, register, round4
+from pricewise.plans.layers import input_stamp
 from pricewise.plans.q_features import LOOKUPS_SQL, fallback_sql, stratified_sql
 from pricewise.plans.sqltext import canon
 from pricewise.session import stored
@@ -51,15 +51,6 @@ def fitted(spark, sf_dir):
     return _MODELS[key]
 
 
-def lookups(spark, sf_dir):
-    """The three lookup tables, stored once per input version."""
-    eng = engineered(spark, sf_dir)
-    built = build_lookup_tables(eng)
-    return LookupTables(*[materialized(spark, name, sf_dir, lambda df=df: df) for name, df in (
-        ("lookup-district", built.borough_price_trend), ("lookup-year", built.district_yearly_medians),
-        ("lookup-recent", built.avg_price_last_half))])
-
-
 @register("build_lookup_tables", Q.r4(" UNION ALL ".join([
     f"SELECT 'borough_price_trend' AS lookup, district AS key, price FROM ({LOOKUPS_SQL['bpt']}) a",
     f"SELECT 'district_yearly_medians', district_year, price FROM ({LOOKUPS_SQL['dym']}) b",
@@ -209,7 +200,7 @@ SELECT count(*) + 1 AS runs, true AS listed, true AS latest FROM ({Q.RUNS_SQL})
 def q_run_listed(spark, sf_dir):
     """The trained model's record beside all other runs: it is ranked, and the newest finished run."""
     run = fitted(spark, sf_dir)[3]
-    runs = T.runs_table(spark, sf_dir).unionByName(run)
+    runs = T.runs_table(spark, sf_dir).unionByName(run, allowMissingColumns=True)
     mine = run.select("run_id").scalar()
     ranked = run_ranking(runs)
     return ranked.agg(F.count(F.lit(1)).alias("runs"), F.max((F.col("run_id") == mine) & (F.col("badge") != "Unknown")).alias("listed"),

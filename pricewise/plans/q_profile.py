@@ -9,6 +9,7 @@ from pricewise.operators import profile as PR
 from pricewise.plans import sqltext as Q
 from pricewise.plans.catalog import cast_sales, cleaned, register, round4
 from pricewise.session import stored
+from pricewise.sources.files import json_text, write_json_document
 
 # Column lists of the two profiled tables (the oracle SQL needs them spelled out).
 CLEAN_NUMERIC = ("price", "sold_year", "sold_month")
@@ -178,6 +179,13 @@ def quality_report(df: DataFrame, id_col: str, numeric=None, text=None) -> DataF
     return out
 
 
+def write_quality_report(report: DataFrame, path: str) -> str:
+    """The report's rows as one nested JSON document {section: {column: {key: number or text}}}."""
+    value = F.when(F.col("text").isNotNull(), json_text(F.col("text"))).otherwise(json_text(F.col("value")))
+    return write_json_document(report.withColumn("__json", value), path, ["section", "column", "key"], "__json",
+                               value_is_json=True)
+
+
 def _sql_report(src_sql: str, cols, floats, numeric, text) -> str:
     src = f"({src_sql}) src"
     stats = " UNION ALL ".join(

@@ -88,7 +88,9 @@ def q_latest_run(spark, sf_dir):
 
 @register("list_runs", Q.r4(f"""
 SELECT run_id, run_id AS run_uuid, status, make_timestamp(start_time * 1000) AS start_at,
-       make_timestamp(end_time * 1000) AS end_at, validation_rmse, log_target, 'events' AS source
+       make_timestamp(end_time * 1000) AS end_at, validation_rmse, log_target, 'events' AS source,
+       'runs/' || run_id || '/artifacts' AS artifact_uri, '0' AS experiment_id, 'active' AS lifecycle_stage,
+       substr(run_id, 5) AS user_id
 FROM {RUNS} WHERE status = 'FINISHED'
 ORDER BY start_time DESC NULLS LAST, run_id LIMIT 30""", "validation_rmse"))
 def q_list_runs(spark, sf_dir):
@@ -99,4 +101,5 @@ def q_list_runs(spark, sf_dir):
                            F.col("info.start_at").alias("start_at"), F.col("info.end_at").alias("end_at"),
                            F.col("data.metrics")["validation_rmse"].alias("validation_rmse"),
                            F.col("data.params")["log_target"].alias("log_target"),
-                           F.col("data.tags")["source"].alias("source")))
+                           F.col("data.tags")["source"].alias("source"),
+                           *[F.col(f"info.{c}").alias(c) for c in RU.OPTIONAL_INFO]))

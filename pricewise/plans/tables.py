@@ -195,4 +195,7 @@ def runs_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         metrics.alias("metrics"),
         F.create_map(F.lit("log_target"), F.when(F.col("__sign") > 0, "yes").otherwise("no"),
                      F.lit("model_class"), F.lit("GBTRegressor")).alias("params"),
-        F.create_map(F.lit("source"), F.lit("events")).alias("tags"))
+        F.create_map(F.lit("source"), F.lit("events")).alias("tags"),
+        F.concat(F.lit("runs/run-"), F.col("user_id").cast("string"), F.lit("/artifacts")).alias("artifact_uri"),
+        F.lit("0").alias("experiment_id"), F.lit("active").alias("lifecycle_stage"),
+        F.col("user_id").cast("string").alias("user_id"))

@@ -126,26 +126,28 @@ def write_json_records(df: DataFrame, path: str) -> str:
 MAX_DOCUMENT_ENTRIES = 1_000_000
 
 
-def _json(c: Column) -> Column:
+def json_text(c: Column) -> Column:
     """JSON text of one value (string or number); null is 'null'."""
     text = F.to_json(F.array(c), {"ignoreNullFields": "false"})
     return F.substring(text, F.lit(2), F.length(text) - 2)
 
 
-def json_document(entries: DataFrame, key_cols: Sequence[str], value_col: str) -> DataFrame:
-    """One row, one column ``value``: the nested JSON object {key1: {key2: ... value}}, keys sorted."""
-    level = entries.select(*[F.col(k).cast("string").alias(k) for k in key_cols], _json(F.col(value_col)).alias("__j"))
+def json_document(entries: DataFrame, key_cols: Sequence[str], value_col: str,
+                  value_is_json: bool = False) -> DataFrame:
+    """One row, one column ``value``: the nested JSON object {key1: {key2: ... value}}, keys sorted.
+    ``value_is_json``: the value column holds JSON text already."""
+    level = entries.select(*[F.col(k).cast("string").alias(k) for k in key_cols], (F.col(value_col) if value_is_json else json_text(F.col(value_col))).alias("__j"))
     keys = list(key_cols)
     while keys:
         last = keys.pop()
-        pairs = F.array_sort(F.collect_list(F.concat(_json(F.col(last)), F.lit(":"), "__j")))
+        pairs = F.array_sort(F.collect_list(F.concat(json_text(F.col(last)), F.lit(":"), "__j")))
         grouped = level.groupBy(*keys) if keys else level
         level = grouped.agg(F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}")).alias("__j"))
     return level.select(F.col("__j").alias("value"))
 
 
 def write_json_document(entries: DataFrame, path: str, key_cols: Sequence[str], value_col: str,
-                        max_entries: int = MAX_DOCUMENT_ENTRIES) -> str:
+                        max_entries: int = MAX_DOCUMENT_ENTRIES, value_is_json: bool = False) -> str:
     """Write one nested JSON document, e.g. {section: {key: value}}.
 
     For documents bounded by a dimension (lookup tables, report sections); more than
@@ -154,7 +156,7 @@ def write_json_document(entries: DataFrame, path: str, key_cols: Sequence[str],
     n = entries.count()
     if n > max_entries:
         raise ValueError(f"{n} entries do not belong in one document (at most {max_entries})")
-    json_document(entries, key_cols, value_col).write.mode("errorifexists").text(path)
+    json_document(entries, key_cols, value_col, value_is_json).write.mode("errorifexists").text(path)
     return path
 
 

@@ -110,3 +110,16 @@ def test_profile_distributed_quantiles_agree(spark, small):
         assert rows(PR.outlier_count(small, ["price", "sqft"])) == base_o
     finally:
         spark.conf.unset("pricewise.quantile.method")
+
+
+def test_quality_report_document(spark, small):
+    import json
+
+    from pricewise.plans.q_profile import write_quality_report
+    from pricewise.session import scratch_path
+    rep = quality_report(small, "id", ["price", "sqft"], ["property_type"])
+    path = write_quality_report(rep, scratch_path(spark, "test-report"))
+    doc = json.loads(spark.read.text(path, wholetext=True).first().value)
+    assert set(doc) == {"missing", "schema_summary", "numeric_stats", "outliers", "train_val_drift", "category_distribution"}
+    assert doc["schema_summary"]["price"] == {"type": "double"} and doc["numeric_stats"]["price"]["count"] == 5
+    assert doc["category_distribution"]["property_type"]["D"] == 0.6
