@@ -44,7 +44,7 @@ def join_sized(big: DataFrame, side: DataFrame, on: list[str], how: str, row_byt
 
 # ------------------------------------------------------------------ Arrow text
 
-def sub_batches(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20,
+def sub_batches(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20,
                 max_rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Cut a record batch into slices of at most ``max_rows`` rows whose ``column`` holds
     about ``max_bytes`` of text; a longer single text is a slice of its own, so
@@ -59,6 +59,8 @@ def sub_batches(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20,
         stop = max(start + 1, min(start + max_rows, int(np.searchsorted(ends, base + max_bytes, side="right"))))
         yield batch.slice(start, stop - start)
         start = stop
+    # workers are reused by later stages: hand free memory back
+    pa.default_memory_pool().release_unused()
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -25,7 +25,7 @@ from pricewise.llm.common import Words, keep_columns, renamed_back, sub_batches,
 # everything in ASCII but digits and letters separates words
 SEPARATORS = bytes(c for c in range(128) if not chr(c).isalnum())
 BLOCK_BYTES = 8 << 20  # of test text sent to the tasks at a time
-SHARD_BYTES = 8 << 20  # of training text under one suffix array
+SHARD_BYTES = 4 << 20  # of training text under one suffix array
 
 
 # ------------------------------------------------------------------ test side
