@@ -34,7 +34,7 @@ CONFIDENCE = 0.97
 SAMPLE_ROWS = 16_384
 CELL_ROWS = 4_096
 QUERY_BLOCK = 4_096
-LEAF_ROWS = 64
+LEAF_ROWS = 512
 MAX_CELLS = 1_024
 
 
@@ -62,12 +62,16 @@ def projection(width: int, dims: int, seed: int = 11) -> np.ndarray:
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
-    return v / np.sqrt((v * v).sum(1))[:, None]
+    return v / norms(v)[:, None]
 
 
-def cosines(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+def norms(rows: np.ndarray) -> np.ndarray:
+    return np.sqrt((rows * rows).sum(1))
+
+
+def cosines(rows: np.ndarray, lengths: np.ndarray, q: np.ndarray, q_length: float) -> np.ndarray:
     """Cosine of every row with ``q`` in double precision; equal rows give equal numbers."""
-    return (rows * q).sum(1) / (np.sqrt((rows * rows).sum(1)) * math.sqrt((q * q).sum()))
+    return (rows * q).sum(1) / (lengths * q_length)
 
 
 class KdTree:
@@ -135,42 +139,39 @@ def box_distance(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
 def search(rows: np.ndarray, ids: np.ndarray, points: np.ndarray, queries: np.ndarray, query_ids: np.ndarray,
            query_points: np.ndarray, bounds: np.ndarray, k: int, limit: float) -> list[tuple]:
     """(query_id, vec_id, score) of each query's k nearest of these rows by incremental
-    projected neighbours. ``bounds``: k-th smallest squared distance known so far;
-    ``limit``: the test's quantile, a projected squared distance above ``limit`` x
-    (k-th squared distance) ends the search."""
+    projected neighbours: leaves come in order of their boxes' projected distance, and
+    rows (or whole leaves) beyond ``limit`` x (k-th squared distance so far) fail the
+    chi-square test. ``bounds``: k-th smallest squared distance known beforehand.
+
+    Rows are verified by a matrix product; those that may enter the k nearest are
+    scored once more by ``cosines``, whose numbers do not depend on their place.
+    """
     tree = KdTree(points, LEAF_ROWS)
+    rows, ids, points = rows[tree.order], ids[tree.order], points[tree.order]
+    lengths, query_lengths = norms(rows), norms(queries)
+    units, query_units = rows / lengths[:, None], queries / query_lengths[:, None]
     boxes = box_distance(query_points, tree.low, tree.high)
     visit = np.argsort(boxes, axis=1, kind="stable")
     out = []
     for i in range(len(queries)):
         best_s, best_i = np.empty(0), np.empty(0, ids.dtype)
-        wait_d, wait_r = np.empty(0), np.empty(0, np.int64)
         kth = bounds[i]
-        for step, leaf in enumerate(visit[i]):
-            if boxes[i, leaf] > limit * kth + 1e-9 and not len(wait_r):
+        for leaf in visit[i]:
+            reach = limit * kth + 1e-9
+            if boxes[i, leaf] > reach:
                 break
             a, b = tree.leaves[leaf]
-            r = tree.order[a:b]
-            d = ((points[r] - query_points[i]) ** 2).sum(1)
-            wait_d, wait_r = np.concatenate([wait_d, d]), np.concatenate([wait_r, r])
-            # rows nearer than any box still to come are the next projected neighbours
-            horizon = boxes[i, visit[i][step + 1]] if step + 1 < len(visit[i]) else np.inf
-            now = wait_d <= min(horizon, limit * kth + 1e-9)
-            r = wait_r[now]
-            wait_d, wait_r = wait_d[~now], wait_r[~now]
-            other = ids[r] != query_ids[i]
-            r = r[other]
+            near = ((points[a:b] - query_points[i]) ** 2).sum(1) <= reach
+            near &= units[a:b] @ query_units[i] >= 1 - kth / 2 - 1e-9
+            r = a + np.flatnonzero(near)
+            r = r[ids[r] != query_ids[i]]
             if len(r):
-                s = np.concatenate([best_s, cosines(rows[r], queries[i])])
+                s = np.concatenate([best_s, cosines(rows[r], lengths[r], queries[i], query_lengths[i])])
                 n = np.concatenate([best_i, ids[r]])
                 top = np.lexsort((n, -s))[:k]
                 best_s, best_i = s[top], n[top]
                 if len(best_s) == k:
                     kth = min(kth, max(0.0, 2 - 2 * float(best_s[-1])))
-            live = wait_d <= limit * kth + 1e-9
-            wait_d, wait_r = wait_d[live], wait_r[live]
-            if horizon > limit * kth + 1e-9 and not len(wait_r):
-                break
         out += [(query_ids[i], n, float(s)) for n, s in zip(best_i, best_s)]
     return out
 
@@ -226,7 +227,7 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, *, k: int = 5,
     # the first k + 1 ids of every group of identical vectors
     same = Window.partitionBy("_v").orderBy("_id")
     rows = rows.where(F.size("_v") == width).withColumn("_r", F.dense_rank().over(same)).where(F.col("_r") <= k + 1)
-    rows = rows.dropDuplicates(["_v", "_id"]).drop("_r")
+    rows = stored(rows.dropDuplicates(["_v", "_id"]).drop("_r"), "srs-rows")
     matrix = projection(width, dims)
 
     sample = rows.orderBy(F.xxhash64("_id"), "_id").limit(sample_rows).select("_v").toArrow()["_v"].to_pylist()
