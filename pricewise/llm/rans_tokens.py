@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pricewise.llm.common import LOWER, SPACES, Words, join_sized, stored, sub_batches, utf8
+from pricewise.llm.token_counts import byte_symbols
 from pricewise.session import scratch_path
 
 MAGIC, VERSION = b"PWRA", 1
@@ -153,6 +154,8 @@ def crc(ids: np.ndarray) -> int:
 
 # Fixed value: the split pattern under which a text may be cut into pieces before it is encoded.
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+# Letters up to this code point are stable under NFC, and lower case by the simple mapping.
+LATIN_END = "\u0240"
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
 _MARK = np.array([33 <= c < 127 and not chr(c).isalnum() and chr(c) != "'" for c in range(256)])
@@ -162,12 +165,12 @@ class Encoder:
     """Encodes whole texts with a ``tokenizers`` file.
 
     Where the file lower-cases, drops white space and splits by SPLIT, a text's
-    ids are those of its pieces in turn, cut at ASCII white space and between an
-    ASCII letter and an ASCII mark other than the apostrophe: no pre-token, no
+    ids are those of its pieces in turn, cut at ASCII white space and between a
+    Latin letter and an ASCII mark other than the apostrophe: no pre-token, no
     contraction and no composed character spans such a place. Distinct pieces
-    are encoded by the library once (letters alone by its model, since nothing
-    normalises or splits them). Rows that may hold added tokens, and all rows
-    of other files, go through the library whole.
+    are encoded by the library once (lower-case Latin letters alone by its
+    model, since nothing normalises or splits them). Rows that may hold added
+    tokens, and all rows of other files, go through the library whole.
     """
 
     def __init__(self, path: str):
@@ -182,6 +185,7 @@ class Encoder:
                          and all(t["content"].startswith("<|") and not (t["normalized"] or t["lstrip"] or t["rstrip"])
                                  for t in spec["added_tokens"]))
         self.memo: dict[bytes, list[int]] = {}
+        self.byte_chars = dict(enumerate(byte_symbols()))
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -207,6 +211,12 @@ class Encoder:
         data, rows = utf8(column)
         data = LOWER[data]
         letter, mark = _LETTER[data], _MARK[data]
+        # two-byte letters U+00C0 to U+023F, without the signs U+00D7 and U+00F7 and without
+        # U+0130, whose lower case ends in a combining mark
+        lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC8))
+        code = data[lead].astype(np.int64) << 8 | data[lead + 1]
+        lead = lead[(code != 0xC397) & (code != 0xC3B7) & (code != 0xC4B0)]
+        letter[lead] = letter[lead + 1] = True
         cut = np.zeros(len(data), bool)
         cut[1:] = letter[1:] & mark[:-1] | mark[1:] & letter[:-1]
         words = Words(data, rows, SPACES, lower=False, cuts=cut)
@@ -218,8 +228,13 @@ class Encoder:
         model = self.tok.model
         others = []
         for w in new:
-            if w.isalpha() and w.isascii():
-                self.memo[w] = [t.id for t in model.tokenize(w.decode())]
+            if w.isascii():
+                alone = w.isalpha()
+            else:
+                s = w.decode()
+                alone = s.isalpha() and s == s.lower() and max(s) < LATIN_END
+            if alone:
+                self.memo[w] = [t.id for t in model.tokenize(w.decode("latin-1").translate(self.byte_chars))]
             else:
                 others.append(w)
         for w, e in zip(others, self.tok.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)):
