@@ -1,7 +1,7 @@
 """Secret scans: patterns for known shapes and a randomness test battery for the rest.
 
 Candidates are long runs of encoding characters. For each the alphabet is
-inferred (hex, base32, base64 or letters and digits) and three tests measure
+inferred (the smallest of ALPHABETS that holds the run) and three tests measure
 the run against a uniformly random string of it: chi-squared uniformity of the
 alphabet, Wald-Wolfowitz runs above and below the alphabet's middle, and the
 serial correlation of neighbours. Fisher's method combines them into one
@@ -34,10 +34,15 @@ HEX_LONG = re.compile(r"[0-9a-f]{24,}")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 MIN_RANDOM = 20
-ALPHABETS = [("hex", "0123456789abcdef"), ("HEX", "0123456789ABCDEF"), ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
-             ("alnum", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
-             ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
-             ("url64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_")]
+DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ALPHABETS = [("hex", "0123456789abcdef"), ("HEX", "0123456789ABCDEF"), ("lower", LOWER), ("upper", UPPER),
+             ("base32", UPPER + "234567"), ("base32 lower", LOWER + "234567"), ("lower36", DIGITS + LOWER),
+             ("upper36", DIGITS + UPPER), ("letters", UPPER + LOWER),
+             ("base58", "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"), ("alnum", DIGITS + UPPER + LOWER),
+             ("base64", UPPER + LOWER + DIGITS + "+/"), ("url64", UPPER + LOWER + DIGITS + "-_")]
+# Letter counts in 10,000 letters of running text (a to z), for the test of common letters.
+COMMON = dict(zip(LOWER, (820, 150, 280, 430, 1270, 220, 200, 610, 700, 15, 77, 400, 240, 670, 750, 190, 10, 600, 630, 910,
+                          280, 98, 240, 15, 200, 7)))
 FDR = 0.05
 # Fixed number of p-value cells: the corpus-wide ranking needs only their counts.
 CELLS = 4096
@@ -75,12 +80,23 @@ def infer_alphabet(run: str) -> tuple[str, str] | None:
     return next(((n, a) for n, a in ALPHABETS if used <= set(a)), None)
 
 
+def _common_letters(body: str, alphabet: str) -> float:
+    """Odds that uniformly random letters of the alphabet are as common in running text as these."""
+    table = [math.log(COMMON[c.lower()]) for c in alphabet if c.isalpha()]
+    mean = sum(table) / len(table)
+    var = sum((x - mean) ** 2 for x in table) / len(table)
+    own = [math.log(COMMON[c.lower()]) for c in body if c.isalpha()]
+    return 0.5 * math.erfc((sum(own) - len(own) * mean) / math.sqrt(2 * var * len(own))) if own else 1.0
+
+
 def randomness(run: str) -> tuple[float, float]:
     """(p, power): the combined p-value of the battery under "uniformly random", and how far the
     length lets the tests tell text from random strings (0 to 1).
 
     Beside the three tests the count of equal pairs (uniformity where cells are few) and
-    the odds of missing a whole class of characters enter the combination.
+    the odds of missing a whole class of characters enter the combination; where the alphabet
+    has most letters, also the share of letters common in running text and the shares of
+    digits, lower-case and upper-case letters.
     """
     body = run.rstrip("=")
     n = len(body)
@@ -120,6 +136,14 @@ def randomness(run: str) -> tuple[float, float]:
         if size and not seen:
             p_class *= (1 - size / k) ** n
     ps = [max(p, 1e-300) for p in (p_cells, p_pairs, p_runs, p_serial, p_class)]
+    if lower + upper >= 20:
+        ps.append(max(_common_letters(body, alphabet), 1e-300))
+        sizes = [(sum(map(test, alphabet)), sum(map(test, body))) for test in (str.isdigit, str.islower, str.isupper)]
+        sizes = [(size, seen) for size, seen in sizes if size]
+        if len(sizes) > 1:
+            each = sum(seen for _, seen in sizes) / sum(size for size, _ in sizes)
+            ps.append(max(_chi2_tail(sum((seen - size * each) ** 2 / (size * each) for size, seen in sizes),
+                                     len(sizes) - 1), 1e-300) if each else 1e-300)
     fisher = -2 * sum(math.log(p) for p in ps)
     power = min(1.0, n / (2.0 * k))
     return _chi2_tail(fisher, 2 * len(ps)), power

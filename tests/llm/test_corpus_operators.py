@@ -538,6 +538,18 @@ def test_battery_tells_random_from_text(spark):
     assert sum(n[i] for i in range(120)) >= 108 and sum(n[i] for i in range(120, 180)) == 0
 
 
+def test_battery_keeps_keys_of_small_alphabets(spark):
+    rng = random.Random(7)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    small = [lower + digits, lower.upper() + digits, lower, lower.upper(), lower + "234567", lower + lower.upper()]
+    keys = ["".join(rng.choice(a) for _ in range(n)) for a in small for n in (32, 40) for _ in range(10)]
+    plain = ["internationalizationofthings", "keitverlicheinbergeheitungen", "getElementsByClassNameAndAttribute",
+             "counterrevolutionaries", "internationalconference2020"] * 60
+    docs = spark.createDataFrame([(i, f"x {t} y") for i, t in enumerate(keys + plain)], "doc_id long, text string")
+    n = {r.doc_id: r.n_random for r in secret_tests.secret_report(docs).collect()}
+    assert sum(n[i] for i in range(120)) >= 108 and sum(n[i] for i in range(120, 420)) == 0
+
+
 def test_rejection_threshold_is_benjamini_hochberg():
     rng = random.Random(1)
     cells = [secret_tests.level_cell(10 ** -rng.uniform(0, 8), 0.5) for _ in range(500)]
