@@ -34,6 +34,7 @@ HEX_LONG = re.compile(r"[0-9a-f]{24,}")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 MIN_RANDOM = 20
+SEPARATORS = "+/-_"  # encoding characters that also join words, paths and prefixes
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = [("hex", "0123456789abcdef"), ("HEX", "0123456789ABCDEF"), ("lower", LOWER), ("upper", UPPER),
              ("base32", UPPER + "234567"), ("base32 lower", LOWER + "234567"), ("lower36", DIGITS + LOWER),
@@ -172,23 +173,48 @@ def rejected_below(counts: dict[int, int], fdr: float = FDR) -> int:
     return out
 
 
-def random_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, end, cell) of the candidates of a text; runs that fit no alphabet are none."""
-    return [(m.start(), m.end(), level_cell(*randomness(m.group()))) for m in CANDIDATE.finditer(text)
-            if infer_alphabet(m.group())]
+def pieces(run: str) -> list[tuple[int, int]]:
+    """(start, end) of the parts of a run to test, longer ones first at a place: the run itself and its
+    parts between any kinds of the separators in it, as far as one alphabet holds them and
+    they have at least MIN_RANDOM characters."""
+    has = [c for c in SEPARATORS if c in run]
+    found = set()
+    for kinds in range(1 << len(has)):
+        cut = "".join(c for i, c in enumerate(has) if kinds >> i & 1)
+        for m in re.finditer(f"[^{re.escape(cut)}]+" if cut else ".+", run):
+            if len(m.group().rstrip("=")) >= MIN_RANDOM and infer_alphabet(m.group()):
+                found.add(m.span())
+    return sorted(found, key=lambda s: (s[0], -s[1]))
+
+
+def random_spans(text: str) -> list[tuple[int, int, int, int]]:
+    """(start, end, cell, around) of the pieces of all candidates of a text; ``around`` is the highest
+    cell of the pieces that hold this one and more (-1: none)."""
+    out = []
+    for m in CANDIDATE.finditer(text):
+        open_: list[tuple[int, int]] = []  # (end, cell) of the pieces that reach beyond this start, at most one per cut
+        for s, e in pieces(m.group()):
+            open_ = [o for o in open_ if o[0] > s]
+            around = max((c for end, c in open_ if end >= e), default=-1)
+            cell = level_cell(*randomness(m.group()[s:e]))
+            open_.append((e, cell))
+            out.append((m.start() + s, m.start() + e, cell, around))
+    return out
 
 
 # ------------------------------------------------------------------ Spark
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("cell", pa.int32())]))
+    kinds = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("cell", pa.int32()),
+                              ("around", pa.int32())]))
     for whole in batches:
         for b in sub_batches(whole, "_text"):
             spans = []
             for text in b.column("_text").to_pylist():
                 text = text or ""
-                spans.append([{"start": s, "end": e, "kind": k, "cell": -1} for s, e, k in base_spans(text)]
-                             + [{"start": s, "end": e, "kind": "random", "cell": c} for s, e, c in random_spans(text)])
+                spans.append([{"start": s, "end": e, "kind": k, "cell": -1, "around": -1} for s, e, k in base_spans(text)]
+                             + [{"start": s, "end": e, "kind": "random", "cell": c, "around": a}
+                                for s, e, c, a in random_spans(text)])
             yield pa.record_batch([b.column("_id"), pa.array(spans, kinds)], names=["_id", "found"])
 
 
@@ -197,20 +223,21 @@ def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     kind (assign, access, hex, random), in code points, end exclusive.
 
     Base kinds come from their patterns and always stay. ``random`` are candidates that
-    the battery does not reject at the corpus-wide false-discovery rate ``fdr``;
+    the battery does not reject at the corpus-wide false-discovery rate ``fdr``, and of
+    a kept piece of a candidate no part is reported again;
     the ranking behind it counts the p-values of all candidates of all documents
     in a fixed number of cells (at most CELLS rows reach the driver). Null and
     empty texts have no spans; repeated rows are scanned and counted each.
     """
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     t = src.schema["_id"].dataType.simpleString()
-    found = stored(src.mapInArrow(_scan, f"_id {t}, found array<struct<start:int,end:int,kind:string,cell:int>>"),
+    found = stored(src.mapInArrow(_scan, f"_id {t}, found array<struct<start:int,end:int,kind:string,cell:int,around:int>>"),
                    "secret-spans")
     counts = (found.select(F.explode("found").alias("s")).where("s.kind = 'random'").groupBy("s.cell").count()
               .collect())
     last = rejected_below({r[0]: r[1] for r in counts}, fdr)
     order = F.array(*[F.lit(k) for k in KINDS])
-    kept = F.filter("found", lambda s: (s["kind"] != "random") | (s["cell"] > last))
+    kept = F.filter("found", lambda s: (s["kind"] != "random") | ((s["cell"] > last) & (s["around"] <= last)))
     ranked = F.transform(kept, lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("o"),
                                                   s["end"].alias("end"), s["kind"].alias("kind")))
     spans = F.transform(F.array_sort(ranked), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),

@@ -550,6 +550,26 @@ def test_battery_keeps_keys_of_small_alphabets(spark):
     assert sum(n[i] for i in range(120)) >= 108 and sum(n[i] for i in range(120, 420)) == 0
 
 
+def test_battery_tests_every_piece_of_a_joined_run(spark):
+    rng = random.Random(8)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    def key(chars):
+        return "".join(rng.choice(chars) for _ in range(40))
+    def b64():
+        return key(alnum)[:20] + "/" + key(alnum)[:12] + "+" + key(alnum)[:10]
+    joined = [x for _ in range(20) for x in (("/my-app/hooks/", key(alnum), ""), ("key-", b64(), ""), ("", b64(), "_suffix"),
+                                             ("/internal-services_config/", key(alnum[26:]), "/getting-started"))]
+    plain = ["/this-is/a_path/with-plain/words_only/in-every/part", "get-elements_by-class/name-and_attribute"] * 40
+    docs = spark.createDataFrame([(i, f"x {''.join(t)} y") for i, t in enumerate(joined)]
+                                 + [(100 + i, f"x {t} y") for i, t in enumerate(plain)], "doc_id long, text string")
+    found = {r.doc_id: [(s.start - 2, s.end - 2) for s in r.found] for r in secret_tests.secret_spans(docs).collect()}
+    whole = [any(s <= len(a) and e >= len(a) + len(k) for s, e in found[i]) for i, (a, k, _) in enumerate(joined)]
+    assert sum(whole) >= 70 and not any(found[100 + i] for i in range(80))
+    # of the pieces that stay none lies in another
+    assert not any(a != b and a[0] <= b[0] and b[1] <= a[1] for v in found.values() for a in v for b in v)
+    assert secret_tests.pieces("a-b/" * 3) == [] and secret_tests.pieces("a-" + "b" * 20 + "/c") == [(0, 22), (2, 24), (2, 22)]
+
+
 def test_rejection_threshold_is_benjamini_hochberg():
     rng = random.Random(1)
     cells = [secret_tests.level_cell(10 ** -rng.uniform(0, 8), 0.5) for _ in range(500)]
