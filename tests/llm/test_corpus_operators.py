@@ -265,6 +265,16 @@ def test_licenses_found(spark, license_model, odd):
     assert license_scan.scan_licenses(odd.limit(0), license_model).count() == 0
 
 
+def test_whole_license_paragraphs_are_confirmed(spark, license_model):
+    rows = [(f, t) for f, ts in license_scan.PARAGRAPHS.items() for t in ts]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: (r.families, r.n_licenses) for r in license_scan.scan_licenses(docs, license_model).collect()}
+    assert [got[i] for i in range(len(rows))] == [(f, 1) for f, _ in rows]
+    # every unit that can be confirmed holds an anchor, so no paragraph without one needs windows
+    for _, _, w in license_scan.KNOWN:
+        assert len(set(w) - set(license_scan.ANCHORS)) < license_scan.CONFIRMED * len(w)
+
+
 def test_no_false_alarms_on_corpus(documents, license_model):
     said = re.compile("(?i)licen|rights reserved|public domain|copyright")
     hits = license_scan.license_paragraphs(documents, license_model).collect()
