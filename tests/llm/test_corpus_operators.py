@@ -4,6 +4,7 @@ repeated rows, empty tables, extra columns with clashing names."""
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -265,6 +266,9 @@ def test_licenses_found(spark, license_model, odd):
     assert license_scan.scan_licenses(odd.limit(0), license_model).count() == 0
 
 
+PROSE = "The survey covered nine valleys and the crew walked every ridge twice before the snow closed the upper paths. " * 30
+
+
 def test_whole_license_paragraphs_are_confirmed(spark, license_model):
     rows = [(f, t) for f, ts in license_scan.PARAGRAPHS.items() for t in ts]
     docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
@@ -275,6 +279,24 @@ def test_whole_license_paragraphs_are_confirmed(spark, license_model):
         assert len(set(w) - set(license_scan.ANCHORS)) < license_scan.CONFIRMED * len(w)
 
 
+def test_wrapped_and_embedded_notices_are_found(spark, license_model):
+    para = license_scan.PARAGRAPHS
+    nc = ("The photographs in this report were taken by the authors during the field season and are licensed under CC BY-NC 4.0.")
+    texts = [("gpl", textwrap.fill(para["gpl"][0], 70)), ("mit", textwrap.fill(para["mit"][0], 60)), ("cc-by-nc", nc),
+             ("cc-by-nc", PROSE + nc + " " + PROSE), ("lgpl", PROSE + textwrap.fill(para["lgpl"][1], 50)),
+             ("apache", "\n".join("# " + x for x in textwrap.wrap(para["apache"][0], 60))),
+             ("gpl", "some words\n\nThis work is licensed under the GNU\nGeneral Public License, version 3.\n\nmore"),
+             ("apache,mit", PROSE + "Released under the MIT License. " + PROSE + "Licensed under the Apache License, Version 2.0. " + PROSE),
+             ("apache,mit", "Released under the MIT License.\nLicensed under the Apache License,\nVersion 2.0."),
+             ("cc-by,cc-by-sa", "Licensed under CC BY 4.0.\nLicensed under CC BY-SA 4.0."), ("", PROSE),
+             ("", "The driver's license was renewed in March and the permission to fish was granted by the town.")]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan_licenses(docs, license_model).collect()}
+    assert [got[i].families for i in range(len(texts))] == [f for f, _ in texts]
+    assert [got[i].n_licenses for i in range(len(texts))] == [len(f.split(",")) if f else 0 for f, _ in texts]
+    assert got[0].n_paragraphs == texts[0][1].count("\n") + 1
+
+
 def test_no_false_alarms_on_corpus(documents, license_model):
     said = re.compile("(?i)licen|rights reserved|public domain|copyright")
     hits = license_scan.license_paragraphs(documents, license_model).collect()
