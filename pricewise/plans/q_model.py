@@ -143,7 +143,7 @@ def q_evaluate_rows(spark, sf_dir):
     """What SQL can say of the metrics: counts per split and identities (r2 above 0: better than the mean)."""
     m = fitted(spark, sf_dir)[2]
     return m.select("split", "n", (F.abs(F.col("rmse") * F.col("rmse") / F.col("mse") - 1) < 1e-9).alias("mse_is_rmse_squared"),
-                    (F.col("r2") <= 1).alias("r2_at_most_one"), (F.col("r2") > -1).alias("better_than_mean"))
+                    (F.col("r2") <= 1).alias("r2_at_most_one"), (F.col("r2") > 0).alias("better_than_mean"))
 
 
 @register("feature_importance")

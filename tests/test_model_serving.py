@@ -125,3 +125,11 @@ def test_streaming_scoring_matches_batch(spark, fitted, tmp_path):
     for name, want in zip(("responses", "rejected"),
                           score_requests(T.requests_table(spark, SF001), *static, allowed_types=T.PROPERTY_TYPES)):
         assert rows(spark.read.parquet(f"{out}/{name}").drop("batch")) == rows(want)
+
+
+def test_a_model_worse_than_the_mean_is_reported_so(spark, monkeypatch):
+    from pricewise.plans import q_model
+    metrics = spark.createDataFrame([("a", 9, 2.0, 4.0, 0.5), ("b", 9, 2.0, 4.0, -0.5)], "split string, n long, rmse double, mse double, r2 double")
+    monkeypatch.setattr(q_model, "fitted", lambda *_: (None, None, metrics))
+    got = {r.split: r.better_than_mean for r in q_model.q_evaluate_rows(spark, "").collect()}
+    assert got == {"a": True, "b": False}
