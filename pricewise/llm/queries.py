@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewise.llm import (license_scan, poisson_mix, quality_gbt, rans_tokens, ring_shards, secret_tests,
-                           simhash_bytes, srs_neighbours, suffix_decontam, token_counts)
+from pricewise.llm import (fim_skiplist, license_scan, merkle_paths, poisson_mix, quality_gbt, rans_tokens, ring_shards,
+                           secret_tests, simhash_bytes, srs_neighbours, suffix_decontam, token_counts)
 from pricewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,13 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return quality_gbt.score(docs, quality_gbt.train(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op11_fill_in_middle", fim_skiplist.fim_sql())
+def op11(spark, sf_dir):
+    return fim_skiplist.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op12_merkle_manifest")
+def op12(spark, sf_dir):
+    return merkle_paths.audit(table(spark, sf_dir, "documents", *merkle_paths.COLUMNS))
