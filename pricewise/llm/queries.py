@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewise.llm import (fim_skiplist, license_scan, merkle_paths, poisson_mix, quality_gbt, rans_tokens, ring_shards,
-                           secret_tests, simhash_bytes, srs_neighbours, suffix_decontam, token_counts)
+from pricewise.llm import (dom_marginals, fim_skiplist, license_scan, merkle_paths, poisson_mix, quality_gbt,
+                           rans_tokens, ring_shards, secret_tests, simhash_bytes, srs_neighbours, suffix_decontam,
+                           token_counts)
 from pricewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +95,9 @@ def op11(spark, sf_dir):
 @register("op12_merkle_manifest", merkle_paths.audit_sql())
 def op12(spark, sf_dir):
     return merkle_paths.audit(table(spark, sf_dir, "documents", *merkle_paths.COLUMNS))
+
+
+@register("op13_page_text")
+def op13(spark, sf_dir):
+    return dom_marginals.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"),
+                                 dom_marginals.default_model(spark))

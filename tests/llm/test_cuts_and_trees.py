@@ -1,15 +1,18 @@
 """Fill-in-middle, Merkle manifest and HTML extraction against brute force and on odd tables."""
 
 import hashlib
+import html
+import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricewise.llm import fim_skiplist, merkle_paths, queries
+from pricewise.llm import dom_marginals, fim_skiplist, labelled_pages, merkle_paths, page_tree, queries
 from tests.conftest import SF001
 from tests.llm.test_corpus_operators import ODD, documents, odd, tuples  # noqa: F401
 
@@ -166,3 +169,155 @@ def test_versions_share_untouched_nodes():
     for level, (old, new) in enumerate(zip(tree.levels, other.levels)):
         assert [k for k in range(len(old)) if old[k] != new[k]] == [i] and new[i] == copies[level]
         i //= 3
+
+
+# ------------------------------------------------------------------ 13 HTML extraction
+
+def texts(page):
+    t = page_tree.read_page(page)
+    return [s for s, g in zip(t.text, t.tag) if not g]
+
+
+@pytest.mark.parametrize("page,want", [
+    (None, []), ("", []), ("plain text", ["plain text"]), ("<p>a<p>b<br>c</p>d", ["a", "b c", "d"]),
+    ("<p><b>x &amp;amp; y<br><p>z</article>", ["x &amp; y", "z"]),
+    ("<ul><li>a<ul><li>b</ul><li>c</ul>", ["a", "b", "c"]), ("<dl><dt>a<dd>b<dt>c</dl>", ["a", "b", "c"]),
+    ("<table><tr><td>a<td>b<tr><td>c</table>d", ["a", "b", "c", "d"]),
+    ("a<!-- <p>no --> b<!--> c<!x> d<?y> e</ f>", ["a b c d e"]), ("a <!-- open", ["a"]),
+    ("<script>var t='</p><b>';</script>a<style>p{}</STYLE >b<textarea><p>no</textarea>c", ["abc"]),
+    ("<script>never closed <p>a", []), ("<head><title>t<p></title><body>a", ["a"]), ("<head><meta><p>a", ["a"]),
+    ('<a title="x>y" href=\'>\'>a</a><a title="open>b', ["ab"]), ("1 < 2 &lt; 3 &copy; &zz; &am", ["1 < 2 < 3 © &zz; &am"]),
+    ("<div hidden>no</div><p style='display: none'>no</p><noscript>no</noscript><svg><text>no</text></svg>yes", ["yes"]),
+    ("<p>a&nbsp; \n\t b</p>", ["a b"]), ("</div></p>a</b>", ["a"]), ("<a href=x><div>a</div></a>b", ["a", "b"]),
+    ("<DIV>a<Span>b</SPAN></DIV>", ["ab"]), ("<td>a</td><p>b", ["a", "b"]), ("<p>cut <di", ["cut"])])
+def test_tree_reading(page, want):
+    assert texts(page) == want
+
+
+def test_tree_reading_of_long_and_deep_pages():
+    n = 30_000
+    assert texts("<div>" * n + "a" + "</div>" * n) == ["a"]
+    assert len(texts("<p>a" * n)) == n and len(texts("<b><p>a" * 3000)) == 3000
+    assert texts("<!--" * n) == [] and texts("<a " * n) == []
+    assert len(texts("<a b=\"" * n + "x")) == 0
+
+
+def random_tree(rng, n):
+    """Parents in page order."""
+    parent, path = [-1], [0]
+    for i in range(1, n):
+        del path[rng.randint(1, len(path)):]
+        parent.append(path[-1])
+        path.append(i)
+    return np.array(parent)
+
+
+def test_marginals_equal_enumeration():
+    rng, g = random.Random(2), np.random.default_rng(2)
+    for n in (1, 2, 5, 9):
+        parent = np.concatenate([random_tree(rng, n), random_tree(rng, n) + np.where(np.arange(n) > 0, n, 0)])
+        depth = np.zeros(2 * n, int)
+        for i, p in enumerate(parent):
+            depth[i] = depth[p] + 1 if p >= 0 else 0
+        unary, pair = g.normal(0, 2, (2 * n, 2)), g.normal(0, 2, (2 * n, 2, 2))
+        p, joint = dom_marginals.marginals(unary, pair, parent, depth)
+        for base in (0, n):
+            nodes = range(base, base + n)
+            want, both, total = np.zeros((2 * n, 2)), np.zeros((2 * n, 2, 2)), 0.0
+            for state in itertools.product((0, 1), repeat=n):
+                s = dict(zip(nodes, state))
+                w = np.exp(sum(unary[i, s[i]] for i in nodes)
+                           + sum(pair[i, s[parent[i]], s[i]] for i in nodes if parent[i] >= 0))
+                total += w
+                for i in nodes:
+                    want[i, s[i]] += w
+                    if parent[i] >= 0:
+                        both[i, s[parent[i]], s[i]] += w
+            assert np.allclose(p[base:base + n], want[base:base + n] / total)
+            assert np.allclose(joint[base:base + n], both[base:base + n] / total)
+
+
+def test_fit_follows_the_likelihood_gradient():
+    """At the fitted weights the labels' counts equal the expected ones."""
+    made = [labelled_pages.labelled_page(i) for i in range(30)]
+    trees = [page_tree.read_page(h) for h, _ in made]
+    pages = dom_marginals.pages_of(trees)
+    y = np.concatenate([np.array(dom_marginals.labels(t, "\n\n".join(k)))[dom_marginals._with_text(t)]
+                        for t, (_, k) in zip(trees, made)])
+    start = dom_marginals.fit(pages, y, rounds=0)
+    model = dom_marginals.fit(pages, y, rounds=600, rate=0.03, l2=0.01)
+    p, _ = model.marginals(pages)
+    slope = lambda m: np.abs((y - m.marginals(pages)[0][:, 1]) @ pages.x / len(y) - 0.01 * m.node).max()
+    assert slope(model) < 0.02 * slope(start)
+    assert (p[pages.leaf, 1].round() == y[pages.leaf]).mean() > 0.9
+
+
+@pytest.fixture(scope="module")
+def page_model(spark):
+    return dom_marginals.default_model(spark)
+
+
+def test_held_out_pages(spark, page_model):
+    """Blocks of unseen layouts, speaking and meaningless names alike."""
+    pages = labelled_pages.labelled_pages(spark, 300, seed=9).withColumn("url", F.lit("u"))
+    got = {r.page_id: r.text for r in dom_marginals.extract(pages, page_model).collect()}
+    right = wrong = lost = 0
+    for r in pages.collect():
+        want = [" ".join(html.unescape(b).split()) for b in r.text.split("\n\n")]
+        want, have = Counter(w for w in want if w), Counter(b for b in got[r.page_id].split("\n\n") if b)
+        right += sum((want & have).values())
+        wrong += sum((have - want).values())
+        lost += sum((want - have).values())
+    assert right / (right + lost) > 0.95 and right / (right + wrong) > 0.97
+
+
+PAGE = ('<html><head><title>T</title></head><body>{top}<nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></nav>'
+        '{before}<article><h1>A title here</h1><p>First paragraph, it says something.</p>{inside}<p>Second.</p><ul><li>one</li><li>two</li></ul>'
+        '</article>{after}<footer>&copy; Site</footer></body></html>')
+STRANGE = {
+    "top": ["", '<div class="cookie-banner">We use cookies to improve your stay. <button>OK</button></div>',
+            '<header><a href="/">The Site</a><p>News every day.</p></header>'],
+    "before": ["", '<div class="ad">Buy this now.</div>', '<form action="/s"><label>Search</label><input></form>',
+               '<aside><h3>Popular</h3><ul><li><a href="/1">One story</a></li><li><a href="/2">Other story</a></li></ul></aside>'],
+    "inside": ["", '<div class="advertisement">Advertisement: cheap things.</div>', "<script>var a='<p>no</p>';</script>",
+               '<aside class="related"><a href="/r">Read this too</a></aside>'],
+    "after": ["", '<section id="comments"><h2>2 comments</h2><div class="comment"><b>Ann</b><p>I liked it a lot, thanks.</p></div>'
+              '<div class="comment"><b>Bob</b><p>Not so sure about this one. It could be longer.</p></div></section>',
+              '<div class="sidebar"><h3>About</h3><p>This site is about many things.</p></div>',
+              '<form class="newsletter"><p>Get our letter every week.</p><input><button>Go</button></form>'],
+}
+
+
+def test_parts_around_an_article_are_left_out(spark, page_model):
+    want = "A title here\n\nFirst paragraph, it says something.\n\nSecond.\n\none\n\ntwo"
+    pages = [PAGE.format(**dict(zip(STRANGE, c))) for c in itertools.product(*STRANGE.values())]
+    df = spark.createDataFrame([(i, "u", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    wrong = dom_marginals.extract(df, page_model).where(F.col("text") != want).collect()
+    assert len(wrong) <= len(pages) // 50, [w.text for w in wrong[:3]]
+
+
+def test_pages_query(spark):
+    rows = {r.page_id: r for r in spark.read.parquet(f"{SF001}/pages.parquet").collect()}
+    got = queries.QUERIES["op13_page_text"](spark, SF001).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        article = re.search("<article>(.*?)</article>", rows[r.page_id].html, re.S)[1]
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split("</?p>|</?h1>", article)]
+        assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text) and r.url == rows[r.page_id].url
+
+
+def test_pages_odd_rows(spark, page_model):
+    long = "<article><h1>t</h1>" + "<p>many words in a paragraph.</p>" * 20_000 + "</article>"
+    rows = [(1, "u", None), (2, None, ""), (None, "u", PAGE), (3, "u", "   "), (3, "u", "   "), (4, "u", long), (5, "u", "<nav><a>x</a></nav>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for c in ("_html", "_c0", "text", "n_chars", "_id", "_text"):
+        df = df.withColumn(c, F.lit(f"extra {c}"))
+    out = dom_marginals.extract(df, page_model)
+    assert out.columns == ["page_id", "url", "text", "n_chars"]
+    got = out.collect()
+    assert len(got) == len(rows) and sum(r.text == "" and r.n_chars == 0 for r in got) >= 4
+    (r,) = [r for r in got if r.page_id == 4]
+    assert r.text.count("many words") == 20_000
+    assert dom_marginals.extract(df.limit(0), page_model).count() == 0
+    none = dom_marginals.train(labelled_pages.labelled_pages(spark, 5).limit(0))
+    assert not none.node.any() and dom_marginals.extract(df, none).count() == len(rows)
