@@ -2,136 +2,68 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewise.functions.dates import ntz_micros
 from pricewise.operators.aggregates import group_median
+from pricewise.operators.rolling import TARGET_GROUP_ROWS, US_PER_DAY, value_counts, window_medians
 from pricewise.operators.stats import APPROX_ACCURACY, join_small
-
-_US_PER_DAY = 86_400_000_000
-# Rows one (key, slice) group may hold when slice_days='auto'.
-TARGET_GROUP_ROWS = 2_000_000
+from pricewise.session import stored
 
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def auto_slice_days(df: DataFrame, partition_col: str, ts_col: str, days: int,
-                    target_rows: int = TARGET_GROUP_ROWS) -> int:
-    """Slice width so that a (key, slice) group, halo included, stays near
-    ``target_rows`` even at the densest key's peak: one aggregate by (key, stretch
-    of ``days``), map-side combined. The halo is the floor: ``days`` of one key."""
-    stretch = F.floor(ntz_micros(ts_col) / F.lit(days * _US_PER_DAY))
-    peak = (df.where(F.col(partition_col).isNotNull() & F.col(ts_col).isNotNull())
-              .groupBy(partition_col, stretch.alias("__s")).agg(F.count(F.lit(1)).alias("n"))
-              .agg(F.max("n")).first()[0])
-    if not peak:
-        return 4 * days
-    width = target_rows * days // peak - days
-    return max(1, min(width, 16 * days))
-
-
 def _sliced(df: DataFrame, ts_col: str, days: int, slice_days: int) -> DataFrame:
     """Copy each row to its own time slice and to the following slices whose
     rows may look back at it (halo): ``__pw_slice`` and ``__pw_own``."""
-    slice_us = slice_days * _US_PER_DAY
+    slice_us = slice_days * US_PER_DAY
     micros = ntz_micros(ts_col)
     own = F.floor(micros / F.lit(slice_us))
-    last = F.floor((micros + F.lit(days * _US_PER_DAY)) / F.lit(slice_us))
+    last = F.floor((micros + F.lit(days * US_PER_DAY)) / F.lit(slice_us))
     return (df.withColumn("__pw_own_slice", own)
               .withColumn("__pw_slice", F.explode(F.sequence(own, F.greatest(own, last))))
               .withColumn("__pw_own", F.col("__pw_slice") == F.col("__pw_own_slice"))
               .drop("__pw_own_slice"))
 
 
-def _rolling_group(days: int):
-    window = f"{days}D"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        # several keys share one call; each key is rolled on its own time index
-        parts = []
-        for _key, g in pdf.groupby("k", sort=False):
-            g = g.sort_values("ts", kind="stable")
-            values = pd.Series(g["v"].to_numpy(dtype=np.float64), index=pd.DatetimeIndex(g["ts"].to_numpy()))
-            # [t - days, t): left bound in, the row and its timestamp peers out
-            med = values.rolling(window, closed="left").median().to_numpy()
-            out = pd.DataFrame({"k": g["k"].to_numpy(), "ts": g["ts"].to_numpy(), "m": med})
-            parts.append(out[g["own"].to_numpy()].drop_duplicates(subset=["ts"], keep="first"))
-        if not parts:
-            return pd.DataFrame({"k": pdf["k"], "ts": pdf["ts"], "m": pd.Series(dtype=np.float64)})
-        return pd.concat(parts, ignore_index=True)
-
-    return run
-
-
-def _key_buckets(keyed: DataFrame, days: int, slice_days: int, target_rows: int) -> int:
-    """Keys per pandas call: hash buckets sized so a (bucket, slice) group holds
-    about ``target_rows`` (one count pass); never fewer than the default
-    parallelism, so small inputs still spread over the cores."""
-    n = keyed.count()
-    copies = 1.0 + days / slice_days
-    try:
-        cores = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    except Exception:
-        cores = 200
-    return int(max(cores, math.ceil(n * copies / target_rows)))
-
-
 def rolling_median(df: DataFrame, partition_col: str, ts_col: str, value_col: str,
                    out_col: str, days: int = 180, slice_days: "int | str | None" = "auto",
                    approx: bool = False, fallback: bool = True,
-                   method: str = "pandas", fallback_stats: DataFrame | None = None) -> DataFrame:
+                   method: str = "pandas", fallback_stats: DataFrame | None = None,
+                   counts: DataFrame | None = None, target_rows: int = TARGET_GROUP_ROWS) -> DataFrame:
     """Median of ``value_col`` over ``[ts - days, ts)`` within ``partition_col``.
 
     The left bound is included; the row itself and rows sharing its timestamp
     are excluded, so the value depends only on (key, ts). With ``fallback`` an
     empty window takes the key's overall median. Null keys get null.
 
-    Scale: each key is cut into time slices of ``slice_days`` (default 'auto':
-    sized from the densest key's peak; None: 4 x ``days``) and every slice also
-    receives the previous ``days`` of rows as a halo (each row is copied to at
-    most 1 + ceil(days / slice_days) slices). A hot key is therefore spread
-    over as many tasks as it has slices, and each task holds one slice.
-
-    ``method='pandas'`` (default, exact) sends only (key, ts, value) to an
-    ``applyInPandas`` time-based rolling median, O(n log w), grouped by
-    (hash bucket of the key, slice) so that many small keys share one call
-    while a hot key still only brings its own bounded slice; it returns one
-    value per distinct (key, ts), joined back.
+    ``method='pandas'`` (default, exact): the rows are counted once by (key,
+    instant, value); slices of ordinary keys and blocks of keys whose single
+    window exceeds ``target_rows`` are solved apart (see ``rolling``), and one
+    value per distinct (key, ts) is joined back. ``counts`` reuses a stored
+    ``value_counts`` frame, ``slice_days`` is the slice width of ordinary keys
+    ('auto': from the densest one's peak).
     ``method='window'`` keeps everything in the JVM with a RANGE-frame
     ``percentile`` (exact, but the frame is re-aggregated for every distinct
     timestamp: O(n x w)); ``approx=True`` uses ``percentile_approx`` there.
     ``fallback_stats`` (key, median) reuses an already computed key median.
     """
-    if slice_days == "auto":
-        slice_days = auto_slice_days(df, partition_col, ts_col, days)
-    slice_days = int(slice_days or 4 * days)
-    if slice_days < 1:
-        raise ValueError("slice_days must be positive")
     if approx or method == "window":
-        rolled = _rolling_window(df, partition_col, ts_col, value_col, out_col, days, slice_days, approx)
+        width = 4 * days if slice_days in ("auto", None) else int(slice_days)
+        if width < 1:
+            raise ValueError("slice_days must be positive")
+        rolled = _rolling_window(df, partition_col, ts_col, value_col, out_col, days, width, approx)
     elif method == "pandas":
-        keyed = (df.where(F.col(partition_col).isNotNull() & F.col(ts_col).isNotNull())
-                   .select(F.col(partition_col).alias("k"), F.col(ts_col).cast("timestamp_ntz").alias("ts"),
-                           F.col(value_col).cast("double").alias("v")))
-        pieces = _sliced(keyed, "ts", days, slice_days).withColumnRenamed("__pw_own", "own")
-        n_buckets = _key_buckets(keyed, days, slice_days, TARGET_GROUP_ROWS)
-        pieces = pieces.withColumn("__pw_kb", F.pmod(F.xxhash64("k"), F.lit(n_buckets)))
-        kt = dict(keyed.dtypes)["k"]
-        medians = (pieces.groupBy("__pw_kb", "__pw_slice")
-                         .applyInPandas(_rolling_group(days), f"k {kt}, ts timestamp_ntz, m double")
-                         .withColumnRenamed("k", partition_col)
-                         .withColumnRenamed("ts", "__pw_ts").withColumnRenamed("m", out_col))
+        if counts is None:
+            counts = stored(value_counts(df, partition_col, ts_col, value_col), "value-counts")
+        medians = window_medians(counts, days, slice_days, target_rows).toDF(partition_col, "__pw_ts", out_col)
         base = df.drop(out_col) if out_col in df.columns else df
         # one row per distinct (key, ts) on the right: the join never multiplies rows
-        rolled = (base.withColumn("__pw_ts", F.col(ts_col).cast("timestamp_ntz"))
-                      .join(medians, on=[partition_col, "__pw_ts"], how="left").drop("__pw_ts"))
+        rolled = join_small(base.withColumn("__pw_ts", ntz_micros(ts_col)), medians,
+                            on=[partition_col, "__pw_ts"], how="left").drop("__pw_ts")
     else:
         raise ValueError("method must be 'pandas' or 'window'")
     if not fallback:
