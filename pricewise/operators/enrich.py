@@ -78,14 +78,18 @@ def check_match_rate(df: DataFrame, col: str, min_match_rate: float | None) -> f
 
 
 def attach_group_stat_join(df: DataFrame, keys: Sequence[str], value_col: str, out_col: str,
-                           approx: bool = False) -> DataFrame:
+                           approx: bool = False, stats: DataFrame | None = None) -> DataFrame:
     """Left join of the per-(keys) median of ``value_col``. Null keys get null.
 
     The aggregate is combined map-side; its output (one row per key tuple) is
-    broadcast only after its row count is checked.
+    broadcast only after its row count is checked. ``stats`` (keys, median)
+    reuses medians already computed.
     """
     from pricewise.operators.aggregates import keyed_median
-    stats = keyed_median(df, list(keys), value_col, out_col, approx)
+    if stats is None:
+        stats = keyed_median(df, list(keys), value_col, out_col, approx)
+    else:
+        stats = stats.toDF(*keys, out_col)
     return join_small(df.drop(out_col) if out_col in df.columns else df, stats, on=keys, how="left")
 
 

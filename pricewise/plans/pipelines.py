@@ -6,14 +6,17 @@ import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from pricewise.functions.dates import DEFAULT_TS_FORMAT
+from pricewise.functions.dates import DEFAULT_TS_FORMAT, ntz_micros
 from pricewise.operators.clean import (add_interaction, add_sold_month, add_sold_year,
                                        cast_columns, clip_upper_quantile, drop_null_rows,
                                        normalise_postcodes, rename_columns)
 from pricewise.operators.aggregates import group_median
 from pricewise.operators.enrich import attach_group_stat_join, resolve_dimension
 from pricewise.operators.filters import keyword_filter
+from pricewise.operators.quantiles import medians_at
+from pricewise.operators.stats import quantile_method
 from pricewise.operators.windows import attach_group_median, rolling_median
 from pricewise.session import stored
 
@@ -46,6 +49,14 @@ def clean_sales(df: DataFrame, *, dtype_map: Mapping[str, str], postcode_col: st
     return rename_columns(out, renames or {})
 
 
+def sale_counts(df: DataFrame, cols: Sequence[str], date_col: str, price_col: str) -> DataFrame:
+    """Rows counted by (``cols``, date in microseconds, price): what every median of the
+    engineered table can be taken from. The one exchange of the sales rows."""
+    price = F.col(price_col).cast("double")
+    return (df.select(*cols, ntz_micros(date_col).alias("__t"), F.when(~F.isnan(price), price).alias("__v"))
+            .groupBy(*cols, "__t", "__v").agg(F.count(F.lit(1)).alias("__n")))
+
+
 def engineer_sales(df: DataFrame, *, directory: DataFrame | None, postcode_col: str = "postcode",
                    directory_key: str = "postcode", directory_value: str = "district",
                    city_col: str | None = "county", keywords: Sequence[str] = (),
@@ -56,6 +67,9 @@ def engineer_sales(df: DataFrame, *, directory: DataFrame | None, postcode_col:
                    store: bool = True) -> DataFrame:
     """keyword filter -> district -> three trend features -> three interactions.
 
+    The sales rows are exchanged once, to count them by (district, year, date, price); the
+    medians of all grains and the rolling median come from the counts and are joined back.
+
     ``trend_key`` chooses the group of ``borough_price_trend``: the district
     (default, what serving looks up) or the date column, which is what the
     source pipeline actually grouped by.
@@ -68,17 +82,27 @@ def engineer_sales(df: DataFrame, *, directory: DataFrame | None, postcode_col:
         out = resolve_dimension(out, postcode_col, directory, directory_key, directory_value,
                                 out_col=district_col)
     if store:
-        # five consumers read this intermediate (three aggregates, the rolling
-        # input and the join base): compute it once
+        # the counts and the join base read this intermediate: compute it once
         out = stored(out, "resolved")
-    district_medians = group_median(out, district_col, price_col, "price", approx)
+    if quantile_method(out.sparkSession, approx) == "distributed":
+        cols = list(dict.fromkeys([district_col, year_col, trend_key]))
+        counts = stored(sale_counts(out, cols, date_col, price_col), "sale-counts")
+        grains = {"district": [district_col], "yearly": [district_col, year_col], "trend": [trend_key]}
+        if trend_key == district_col:
+            del grains["trend"]
+        medians = medians_at(counts, grains, "__v", "__n")
+        series = counts.where(F.col(district_col).isNotNull() & F.col("__t").isNotNull()).select(
+            F.col(district_col).alias("k"), F.col("__t").alias("t"), F.col("__v").alias("v"), F.col("__n").alias("n"))
+    else:
+        medians = {"district": group_median(out, district_col, price_col, "price", approx)}
+        series = None
     out = attach_group_median(out, trend_key, price_col, "borough_price_trend", approx,
-                              stats=district_medians if trend_key == district_col else None)
+                              stats=medians.get("trend", medians["district"] if trend_key == district_col else None))
     out = attach_group_stat_join(out, [district_col, year_col], price_col,
-                                 "district_yearly_medians", approx)
+                                 "district_yearly_medians", approx, stats=medians.get("yearly"))
     out = rolling_median(out, district_col, date_col, price_col, "avg_price_last_half",
                          days=window_days, slice_days=slice_days, approx=approx,
-                         fallback_stats=district_medians)
+                         fallback_stats=medians["district"], counts=series)
     out = add_interaction(out, "advanced_property_type", "is_new_build", "property_type")
     out = add_interaction(out, "property_type_and_tenure", "is_leasehold", "property_type")
     return add_interaction(out, "property_type_and_district", district_col, "property_type")
