@@ -207,7 +207,8 @@ def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         whole.alias("whole"), at.alias("at"), w.alias("w"))
 
     def fitting(n):
-        return F.coalesce(*[F.when(n <= s, F.lit(s)) for s in SIZES], F.lit(2 * SIZES[-1]))
+        # a longer line is compared in windows alone: its words lie strewn
+        return F.coalesce(*[F.when(n <= s, F.lit(s)) for s in SIZES], F.lit(4 * SIZES[-1]))
 
     none = F.array().cast("array<bigint>")
     lines = F.transform("_lw", lambda w, no: unit(F.lit(True), place(no, F.lit(0)), place(no, F.size(w) - 1), fitting(F.size(w)),
@@ -217,9 +218,10 @@ def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                       .otherwise("")), "\n")
 
     def numbered(text):
-        parts = F.split(text, " ")
-        return F.transform(F.slice(parts, 2, F.size(parts) - 1), lambda w, i: F.struct(
-            place(parts[0].cast("int"), i).alias("at"), w.alias("w")))
+        # bound once: a reference inside the inner function would split the line for every word
+        return F.transform(F.array(F.split(text, " ")), lambda parts: F.transform(
+            F.slice(parts, 2, F.size(parts) - 1), lambda w, i: F.struct(
+                place(parts[0].cast("int"), i).alias("at"), w.alias("w"))))[0]
 
     def windows(p):
         n = F.size(p)
@@ -312,8 +314,10 @@ def license_paragraphs(docs: DataFrame, model: LicenseModel, *, id_col: str = "d
     """
     scored = model.model.transform(featurise(units(docs, id_col, text_col)))
     none = model.classes.index("none")
-    raw = vector_to_array("rawPrediction")
-    scored = scored.where((F.col("prediction") != none) & (F.size("_w") > 0)).withColumn("_raw", raw)
+    # the few units the regression keeps are written first: what follows refers to them many times
+    scored = stored(scored.where((F.col("prediction") != none) & (F.size("_w") > 0))
+                    .select("_id", "_row", "line", "first", "last", "size", "whole", "at", "_w",
+                            vector_to_array("rawPrediction").alias("_raw")), "license-units")
     odds = F.transform("_raw", lambda x: F.exp((x - F.array_max("_raw")) / model.temperature))
     scored = scored.withColumn("probability", 1 - odds[none] / F.aggregate(odds, F.lit(0.0), lambda a, x: a + x))
     own = F.array_distinct("_w")
@@ -338,8 +342,8 @@ def license_paragraphs(docs: DataFrame, model: LicenseModel, *, id_col: str = "d
     scored = scored.select("_id", "_row", "line", "first", "last", "confirmed", "probability", "likeness", "_m.n", "_m.family", "_m.i",
                            (-F.size("_w")).alias("tight"), F.array_intersect(F.array_intersect(own, telling), anchors).alias("_told"),
                            F.when(F.col("line"), F.shiftright("first", 31)).otherwise(-best["no"]).cast("int").alias("_no"))
-    # confirmed units have at most 256 words, and fewer than 300 of them begin within as many words
-    near = Window.partitionBy("_row").orderBy("first", "last", "line").rowsBetween(-300, 300)
+    # all confirmed units of the text: few, and never more than a row's text has
+    near = Window.partitionBy("_row")
     entry = F.struct("first", "last", "n", "likeness", "tight", "i")
 
     def beaten(others):
