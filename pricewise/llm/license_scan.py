@@ -162,6 +162,16 @@ def size_of(n: int) -> int:
 ANCHORS = sorted({w for f, t in notices() for w in _plain(t)} - ORDINARY)
 
 
+def _gate(notice: str) -> list[str]:
+    """Words of which any unit that holds CONFIRMED of the notice's has one: so many that too few
+    are left without them, the rarest by length."""
+    own = sorted(set(_plain(notice)), key=lambda w: (w in ORDINARY, -len(w), w))
+    return own[:len(own) - math.ceil(CONFIRMED * len(own) - 1e-9) + 1]
+
+
+# A window without one of these can hold no template: it is not cut at all.
+GATE = sorted({w for _, t in notices() for w in _gate(t)})
+
 KNOWN = [(f, size_of(len(_plain(t))), sorted(set(_plain(t)))) for f, t in notices() if f != "unknown"]  # those that can confirm
 
 
@@ -197,7 +207,7 @@ def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     base = docs.select(F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_row"),
                        F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), words).alias("_lw"))
-    anchors = F.array(*[F.lit(x) for x in ANCHORS])
+    gate = F.array(*[F.lit(x) for x in GATE])
 
     def place(no, i):
         return F.shiftleft(no.cast("long"), 31) + i
@@ -234,11 +244,11 @@ def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         def _cut(p, b, size):
             part = F.slice(p, b + 1, size)
             return unit(F.lit(False), part[0]["at"], F.element_at(part, -1)["at"], F.lit(size), n <= size, part["at"], part["w"])
-        return F.filter(F.concat(*[of(s) for s in SIZES]), lambda u: F.arrays_overlap(u["w"], anchors))
+        return F.filter(F.concat(*[of(s) for s in SIZES]), lambda u: F.arrays_overlap(u["w"], gate))
 
-    paras = F.transform(F.filter(F.split(marked, "\n{2,}"), lambda t: F.arrays_overlap(F.split(t, "[ \n]"), anchors)),
+    paras = F.transform(F.filter(F.split(marked, "\n{2,}"), lambda t: F.arrays_overlap(F.split(t, "[ \n]"), gate)),
                         lambda t: F.flatten(F.transform(F.filter(F.split(t, "\n"), lambda x: x != ""), numbered)))
-    base = base.withColumn("_p", F.when(F.exists("_lw", lambda w: F.arrays_overlap(w, anchors)), paras).otherwise(F.array()))
+    base = base.withColumn("_p", F.when(F.exists("_lw", lambda w: F.arrays_overlap(w, gate)), paras).otherwise(F.array()))
     every = F.concat(lines, F.flatten(F.transform("_p", windows)))
     return base.select("_id", "_row", F.explode(every).alias("_u")).select("_id", "_row", "_u.*").withColumnRenamed("w", "_w")
 
