@@ -176,12 +176,18 @@ def component_labels(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(roots)
 
 
-def keep_columns(docs: DataFrame, text_col: str) -> tuple[DataFrame, list[str], str]:
-    """All columns under neutral names beside the text as ``_text``, those names and their
-    schema: what a map over Arrow batches needs to pass every column through."""
+def neutral(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns renamed by place (_c0, _c1, ...), so that no working column can
+    clash with one, and the new name of each old one."""
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    src = docs.select(F.col(f"`{text_col}`").alias("_text"),
-                      *[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)])
+    return docs.toDF(*names), dict(zip(docs.columns, names))
+
+
+def keep_columns(docs: DataFrame, text_col: str) -> tuple[DataFrame, list[str], str]:
+    """All columns under neutral names, the text as ``_text``, with those names and their
+    schema: what a map over Arrow batches needs to pass every column through, each sent once."""
+    names = ["_text" if c == text_col else f"_c{i}" for i, c in enumerate(docs.columns)]
+    src = docs.toDF(*names)
     return src, names, ", ".join(f"{n} {src.schema[n].dataType.simpleString()}" for n in names)
 
 

@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricewise.llm.common import join_sized, stored
+from pricewise.llm.common import join_sized, neutral, stored
 
 # A mean above this is drawn as a sum of equal independent parts, since e^-mean underflows.
 PART_MEAN = 256.0
@@ -82,20 +82,21 @@ def poisson_mix(docs: DataFrame, weights: Mapping[str, float] | None = None, *,
     """
     rates = stored(_with_steps(source_rates(docs, weights, source_col=source_col, text_col=text_col,
                                             total_bytes=total_bytes)), "mix-rates")
-    who = [F.lit(seed), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")),
-           F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))]
-    keyed = docs.withColumn("_who", F.concat_ws("|", *[w.cast("string") for w in who]))
+    base, name = neutral(docs)
+    who = [F.lit(seed), F.coalesce(F.col(name[id_col]).cast("string"), F.lit("")),
+           F.md5(F.coalesce(F.col(name[text_col]), F.lit("")))]
     # null-safe key: a null source joins its own rate
     side = rates.select(F.struct(F.col("_s")).alias("_key"), "_rate", "_parts", "_cdf")
-    keyed = keyed.withColumn("_key", F.struct(F.col(f"`{source_col}`").alias("_s")))
+    keyed = base.withColumns({"_who": F.concat_ws("|", *[w.cast("string") for w in who]),
+                              "_key": F.struct(F.col(name[source_col]).alias("_s"))})
     joined = join_sized(keyed, side, ["_key"], "inner", row_bytes=1024)
-    count = F.aggregate(
-        F.sequence(F.lit(0), F.col("_parts") - 1), F.lit(0),
-        lambda n, j: n + F.size(F.filter("_cdf", lambda c: c <= uniform(F.col("_who"), j))))
+    # one draw a part, each made once and looked up in the distribution
+    draws = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda j: uniform(F.col("_who"), j))
+    count = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("_cdf", lambda c: c <= u)))
     out = joined.withColumn("_n", count).where("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
     out = out.withColumn("_order", F.md5(F.concat_ws("|", F.col("_who"), F.lit("order"), F.col("_copy").cast("string"))))
     out = out.repartition("_order").sortWithinPartitions("_order")
-    cols = [F.col(f"`{c}`") for c in docs.columns]
+    cols = [F.col(n).alias(c) for c, n in name.items()]
     if extra:
         cols += [F.col("_copy").alias("copy"), F.col("_rate").alias("rate"), F.col("_order").alias("shuffle_key")]
     return out.select(*cols)
@@ -115,11 +116,12 @@ cdf AS (
   SELECT source, rate, k + 1, p * rate / (k + 1), c + p * rate / (k + 1) FROM cdf
   WHERE k < ceil(rate + 10 * sqrt(rate) + 30)),
 who AS (
-  SELECT doc_id, source, '{seed}|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) AS who FROM documents),
+  SELECT doc_id, source, sha256(text) AS text_sha256, '{seed}|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) AS who FROM documents),
 drawn AS (
-  SELECT doc_id, source, who, ('0x' || substr(md5(who || '|0'), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM who),
+  SELECT doc_id, source, text_sha256, who, ('0x' || substr(md5(who || '|0'), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM who),
 counted AS (
-  SELECT doc_id, drawn.source, who, any_value(rate) AS rate, count(*) FILTER (WHERE c <= u) AS n
+  SELECT doc_id, drawn.source, who, any_value(text_sha256) AS text_sha256, any_value(rate) AS rate, count(*) FILTER (WHERE c <= u) AS n
   FROM drawn JOIN cdf ON drawn.source IS NOT DISTINCT FROM cdf.source GROUP BY doc_id, drawn.source, who)
-SELECT doc_id, source, copy::INTEGER AS copy, round(rate, 6) AS rate, md5(who || '|order|' || copy) AS shuffle_key
+SELECT doc_id, source, copy::INTEGER AS copy, round(rate, 6) AS rate, md5(who || '|order|' || copy) AS shuffle_key,
+       text_sha256
 FROM (SELECT *, unnest(generate_series(1, n)) AS copy FROM counted)"""

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewise.llm.common import SPACES, Words, component_labels, join_sized, stored, sub_batches, utf8
+from pricewise.llm.common import SPACES, Words, component_labels, join_sized, neutral, stored, sub_batches, utf8
 
 BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 PAIRWISE = 64  # longer lists are probed by bit flips instead of pair by pair
@@ -177,8 +177,9 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     gone = stored(found.select("_id", "_th").distinct().join(kept, ["_id", "_th"], "left_anti"), "simhash-gone")
     twice = stored(found.join(kept, ["_id", "_th"], "left_semi").groupBy("_id", "_th").count().where("count > 1")
                    .select("_id", "_th"), "simhash-twice")
-    keyed = docs.withColumn("_id", F.col(id_col)).withColumn("_th", F.xxhash64(F.col(text_col)))
+    base, name = neutral(docs)
+    keyed = base.withColumns({"_id": F.col(name[id_col]), "_th": F.xxhash64(name[text_col])})
     rest = join_sized(keyed, gone, ["_id", "_th"], "left_anti")
     once = join_sized(rest, twice, ["_id", "_th"], "left_anti")
     collapsed = join_sized(rest, twice, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"])
-    return once.unionByName(collapsed).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return once.unionByName(collapsed).select(*[F.col(n).alias(c) for c, n in name.items()])

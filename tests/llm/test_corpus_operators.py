@@ -37,7 +37,8 @@ def lower(t):
 def odd(spark):
     df = spark.createDataFrame(ODD, "doc_id long, text string, source string")
     clash = ["_id", "_text", "_th", "_c0", "id", "th", "fp", "score", "component_id", "copy", "_who", "_key", "_s", "_n",
-             "count", "n_words", "family", "para", "_cell", "part", "size"]
+             "count", "n_words", "family", "para", "_cell", "part", "size", "_rate", "_parts", "_cdf", "_order", "_copy",
+             "_c1", "_block", "_tree"]
     return df.select("*", *[F.lit(f"extra {c}").alias(c) for c in clash])
 
 
@@ -46,6 +47,12 @@ def documents(spark):
     return spark.read.parquet(f"{SF001}/documents.parquet")
 
 
+def unharmed(out):
+    """Every extra column of ``odd`` still holds its own value."""
+    extra = [c for c in out.columns if c not in ("doc_id", "text", "source")]
+    return len(extra) > 20 and all(r[c] == f"extra {c}" for r in out.select(*extra).collect() for c in extra)
+
+
 def tuples(df, *cols):
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
 
@@ -95,7 +102,7 @@ def test_contamination_query(spark, documents):
 def test_decontaminate_keeps_columns_and_clean_rows(spark, odd):
     bench = spark.createDataFrame(ITEMS[:1], "item_id string, text string")
     out = suffix_decontam.decontaminate(odd, bench)
-    assert out.columns == odd.columns
+    assert out.columns == odd.columns and unharmed(out)
     assert out.count() == len(ODD) - 1 and not out.where("doc_id = 8").count()
     assert suffix_decontam.decontaminate(odd, bench.limit(0)).count() == len(ODD)
     assert suffix_decontam.decontaminate(odd.limit(0), bench).count() == 0
@@ -162,6 +169,7 @@ def test_mix_large_rate(spark):
 def test_mix_odd_rows(spark, odd):
     out = poisson_mix.poisson_mix(odd, total_bytes=5e6)
     assert out.columns == odd.columns and {r.source for r in out.select("source").collect()} >= {"a", "b", "c", None}
+    assert unharmed(out)
     assert poisson_mix.poisson_mix(odd.limit(0)).count() == 0
     assert poisson_mix.poisson_mix(odd.where("doc_id in (1, 2)")).count() == 0  # no bytes, rate 0
     twice = poisson_mix.poisson_mix(odd.where("doc_id = 5"), total_bytes=500.0, extra=True).groupBy("text").count().collect()
@@ -277,6 +285,7 @@ def test_whole_license_paragraphs_are_confirmed(spark, license_model):
     # every unit that can be confirmed holds an anchor, so no paragraph without one needs windows
     for _, _, w in license_scan.KNOWN:
         assert len(set(w) - set(license_scan.ANCHORS)) < license_scan.CONFIRMED * len(w)
+        assert len(set(w) - set(license_scan.GATE)) < license_scan.CONFIRMED * len(set(w))
 
 
 def test_wrapped_and_embedded_notices_are_found(spark, license_model):
@@ -451,7 +460,7 @@ def test_simhash_odd_rows(spark, odd):
     assert got == sorted(want, key=repr)
     assert simhash_bytes.near_duplicates(odd.limit(0)).count() == 0
     kept = simhash_bytes.drop_near_duplicates(odd)
-    assert kept.columns == odd.columns
+    assert kept.columns == odd.columns and unharmed(kept)
     ids = [r.doc_id for r in kept.collect()]
     firsts = {c for _, _, c in want if c is not None}
     assert ids.count(None) == 2 and sorted(i for i in ids if i is not None) == sorted(firsts)
@@ -635,6 +644,7 @@ def test_quality_odd_rows(spark, odd):
     assert out.count() == len(ODD)
     assert out.where("doc_id is null and held_out").count() == 0
     assert quality_gbt.keep_good(odd, model).columns == odd.columns
+    assert unharmed(quality_gbt.keep_good(odd, model, at_least=0.0))
     assert quality_gbt.score(odd.limit(0), model).count() == 0
     none = quality_gbt.train(odd, labels.limit(0))
     assert {r.score for r in quality_gbt.score(odd, none).collect()} == {0.5}
