@@ -216,6 +216,8 @@ def manifest(docs: DataFrame, *, columns: Sequence[str] = COLUMNS, id_col: str =
     # every row has a version; an untampered one copies nodes equal to the old ones
     src = src.select("_tree", "_id", "_digest", F.coalesce("_other", "_digest").alias("_new"),
                      F.col("_other").isNotNull().alias("_tampered"))
+    # the texts are read and hashed once; ranges are sampled from the digests
+    src = stored(src, "digests")
     leaves = places(src, "_tree", ["_id", "_digest"], "leaves")
     low = stored(blocks(leaves, "_tree", height, extra=["_id", "_new", "_tampered"]).drop("_i"), "blocks")
 
