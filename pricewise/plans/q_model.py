@@ -124,11 +124,19 @@ def q_score(spark, sf_dir):
 SPLIT_SQL = f"({stratified_sql(ENG)}) sp"
 
 
-@register("score_table_rows", Q.r4(f"SELECT transaction_id, price, true AS positive FROM {SPLIT_SQL} WHERE split = 'test'",
-                                   "price"))
+@register("score_table_rows", Q.r4(f"""
+SELECT transaction_id, price, floor(avg(price) OVER () * 100 + 0.5) / 100 AS mean_price,
+       floor(var_pop(price) OVER () / 10000 + 0.5) AS explained_and_residual
+FROM {SPLIT_SQL} WHERE split = 'test'""", "price"))
 def q_score_rows(spark, sf_dir):
-    """What SQL can say of the scored table: its rows, and that every prediction is a positive price."""
-    return round4(_scored(spark, sf_dir).select("transaction_id", "price", (F.col("predicted_price") > 0).alias("positive")))
+    """What SQL can say of the scored table: its rows, and that the predictions' errors and their
+    covariance with the price add up to the price's variance:
+    var(y) = var(y - p) + 2 cov(y - p, p) + var(p), and mean(p) + mean(y - p) = mean(y)."""
+    scored = stored(_scored(spark, sf_dir).select("transaction_id", "price", "predicted_price"), "scored")
+    p, e = F.col("predicted_price"), F.col("price") - F.col("predicted_price")
+    mean = scored.agg(F.floor((F.avg(p) + F.avg(e)) * 100 + 0.5) / 100).scalar()
+    parts = scored.agg(F.floor((F.var_pop(e) + 2 * F.covar_pop(e, p) + F.var_pop(p)) / 10000 + 0.5)).scalar()
+    return round4(scored.select("transaction_id", "price", mean.alias("mean_price"), parts.cast("double").alias("explained_and_residual")))
 
 
 @register("evaluate_model")
@@ -137,13 +145,17 @@ def q_evaluate(spark, sf_dir):
 
 
 @register("evaluate_model_rows", f"""
-SELECT split, count(*) AS n, true AS mse_is_rmse_squared, true AS r2_at_most_one, true AS better_than_mean
+SELECT split, count(*) AS n, floor(stddev_pop(price) * 100 + 0.5) / 100 AS price_spread,
+       floor(stddev_pop(price) * 100 + 0.5) / 100 AS spread_of_metrics
 FROM {SPLIT_SQL} GROUP BY split""")
 def q_evaluate_rows(spark, sf_dir):
-    """What SQL can say of the metrics: counts per split and identities (r2 above 0: better than the mean)."""
-    m = fitted(spark, sf_dir)[2]
-    return m.select("split", "n", (F.abs(F.col("rmse") * F.col("rmse") / F.col("mse") - 1) < 1e-9).alias("mse_is_rmse_squared"),
-                    (F.col("r2") <= 1).alias("r2_at_most_one"), (F.col("r2") > 0).alias("better_than_mean"))
+    """What SQL can say of the metrics: rows per split and, since r2 = 1 - mse / variance, the spread
+    of the prices, once from the split's rows and once from mse and r2 (rmse from its square)."""
+    _model, parts, m, *_ = fitted(spark, sf_dir)
+    cents = lambda c: F.floor(c * 100 + 0.5) / 100
+    spread = parts.groupBy("split").agg(cents(F.stddev_pop("price")).alias("price_spread"))
+    return m.join(spread, "split").select("split", "n", "price_spread",
+                                          cents(F.col("rmse") / F.sqrt(1 - F.col("r2"))).alias("spread_of_metrics"))
 
 
 @register("feature_importance")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Fixed values for local runs and tests; on a cluster the deployment's own
@@ -99,6 +101,38 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if there is no such folder."""
+    fs, target = hadoop_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def move_if_absent(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a file or folder unless the target exists (False then). The storage decides: of two
+    movers one wins. Local files are linked, since a local rename replaces silently."""
+    fs, dst = hadoop_path(spark, target)
+    _, src = hadoop_path(spark, source)
+    fs.mkdirs(dst.getParent())
+    if fs.getScheme() == "file" and fs.getFileStatus(src).isFile():
+        try:
+            os.link(src.toUri().getPath(), dst.toUri().getPath())
+        except FileExistsError:
+            return False
+        finally:
+            fs.delete(src, False)
+        return True
+    context = spark.sparkContext._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(context.Options.Rename, 1)
+    options[0] = getattr(context.Options.Rename, "NONE")
+    try:
+        context.FileContext.getFileContext(dst.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(src, dst, options)
+    except Py4JJavaError:
+        if fs.exists(dst):
+            return False
+        raise
+    return True
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared folder and return a scan of it: several
     readers share one computation, nothing stays in executor memory, and a
