@@ -9,6 +9,15 @@ from pricewise.functions._util import as_col
 
 # Fixed value: the sales file's timestamp layout, e.g. '2021-05-14 00:00'.
 DEFAULT_TS_FORMAT = "yyyy-MM-dd HH:mm"
+# Says that the layout is to be inferred from the first value (see operators.clean).
+INFER_TS_FORMAT = "infer"
+# Known layouts. Dates with dots, dashes or slashes: year first, else month before
+# day where both are possible with slashes and dashes, day before month with dots; clock times after each.
+_DAYS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyy.MM.dd", "yyyyMMdd", "M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy",
+         "d.M.yyyy", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy")
+_TIMES = ("", " HH:mm", " HH:mm:ss", " HH:mm:ss.SSSSSS", " HH:mm:ss.SSS", "'T'HH:mm", "'T'HH:mm:ss",
+          "'T'HH:mm:ss.SSSSSS", "'T'HH:mm:ss.SSS")
+TS_LAYOUTS = tuple(d + t for d in _DAYS for t in _TIMES)
 
 
 def cast_timestamp(c: "Column | str", fmt: str = DEFAULT_TS_FORMAT) -> Column:

@@ -5,10 +5,12 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewise.functions.dates import DEFAULT_TS_FORMAT, cast_timestamp, sold_month, sold_year
+from pricewise.functions.dates import (DEFAULT_TS_FORMAT, INFER_TS_FORMAT, TS_LAYOUTS, cast_timestamp, sold_month,
+                                       sold_year)
 from pricewise.functions.numeric import cast_numeric, clip_upper
 from pricewise.functions.text import canonical_postcode, incode, interaction, outcode
 from pricewise.operators.stats import quantile_scalar
@@ -18,10 +20,38 @@ log = logging.getLogger(__name__)
 POSTCODE_CLEAN = "postcode_clean"
 
 
+def first_value(df: DataFrame, col: str) -> str | None:
+    """The first non-null text of a column in file order (file, place in the file, row; rows of
+    a frame made of several tables: partition, row), whatever order the tasks run in."""
+    row = F.monotonically_increasing_id()
+    text = F.col(col).cast("string").alias("v")
+    try:
+        rows = df.select(text, F.struct(F.input_file_name(), F.input_file_block_start(), row).alias("at"))
+    except AnalysisException as e:
+        if e.getCondition() != "MULTI_SOURCES_UNSUPPORTED_FOR_EXPRESSION":
+            raise
+        rows = df.select(text, row.alias("at"))
+    return rows.where(F.col("v").isNotNull()).agg(F.min_by("v", "at")).first()[0]
+
+
+def infer_ts_format(df: DataFrame, col: str) -> str:
+    """The layout of a date column, decided by its first non-null value alone: the first of
+    ``TS_LAYOUTS`` that reads it. Month before day where both are possible (12/05 is the fifth of
+    December), day first where only that is (13/05). A column without values, or whose first one
+    no layout reads, keeps the default layout. One aggregate; one value reaches the driver."""
+    value = first_value(df, col)
+    if value is None:
+        return DEFAULT_TS_FORMAT
+    reads = F.array(*[F.try_to_timestamp(F.lit(value), F.lit(f)).isNotNull() for f in TS_LAYOUTS])
+    at = df.sparkSession.range(1).select(F.array_position(reads, True)).first()[0]
+    return TS_LAYOUTS[at - 1] if at else DEFAULT_TS_FORMAT
+
+
 def cast_columns(df: DataFrame, dtype_map: Mapping[str, str],
                  ts_format: str = DEFAULT_TS_FORMAT) -> DataFrame:
     """Coerce columns by tag: 'float' -> double (bad -> null), 'datetime' ->
-    TIMESTAMP_NTZ (bad -> null); 'string' / 'int' tags leave the column as is."""
+    TIMESTAMP_NTZ (bad -> null); 'string' / 'int' tags leave the column as is. With
+    ``ts_format='infer'`` each date column's layout is taken from its first value."""
     casts = {}
     for name, tag in dtype_map.items():
         if tag == "float":
@@ -30,7 +60,8 @@ def cast_columns(df: DataFrame, dtype_map: Mapping[str, str],
         elif tag == "datetime":
             dtype = dict(df.dtypes).get(name)
             casts[name] = (F.col(name).cast("timestamp_ntz") if dtype in ("timestamp", "timestamp_ntz", "date")
-                           else cast_timestamp(name, ts_format))
+                           else cast_timestamp(name, infer_ts_format(df, name) if ts_format == INFER_TS_FORMAT
+                                               else ts_format))
     return df.withColumns(casts) if casts else df
 
 

@@ -50,6 +50,17 @@ def q_cast_timestamp(spark, sf_dir):
         "transaction_id", F.col("date").alias("date_text"), PF.cast_timestamp("date").alias("date"))
 
 
+@register("cast_timestamp_inferred", f"""
+SELECT transaction_id, try_strptime(date, '%Y-%m-%d %H:%M') AS date FROM {RAW}""")
+def q_cast_timestamp_inferred(spark, sf_dir):
+    """The dates are rewritten in another layout (texts that are no dates stay); the operator is
+    not told which."""
+    raw = T.sales_raw(spark, sf_dir)
+    known = PF.cast_timestamp("date")
+    raw = raw.select("transaction_id", F.coalesce(F.date_format(known, "d MMMM yyyy HH:mm:ss"), F.col("date")).alias("date"))
+    return C.cast_columns(raw.orderBy(known.isNull(), "transaction_id"), {"date": "datetime"}, "infer")
+
+
 @register("clip_upper_quantile", r4(f"""
 SELECT transaction_id, price,
        CASE WHEN price > (SELECT quantile_cont(price, 0.99) FROM {CAST})

@@ -21,8 +21,9 @@ from pricewise.plans.catalog import engineered, lookups, register, round4
 from pricewise.plans.layers import input_stamp
 from pricewise.plans.q_features import LOOKUPS_SQL, fallback_sql, stratified_sql
 from pricewise.plans.sqltext import canon
-from pricewise.session import stored
+from pricewise.session import scratch_path, stored
 from pricewise.sources import files as IO
+from pricewise.sources.registry import append_run, read_runs
 
 CFG = MD.TrainConfig()
 _MODELS: dict = {}
@@ -210,9 +211,13 @@ def q_score_requests_rows(spark, sf_dir):
 @register("trained_run_listed", f"""
 SELECT count(*) + 1 AS runs, true AS listed, true AS latest FROM ({Q.RUNS_SQL}) r""")
 def q_run_listed(spark, sf_dir):
-    """The trained model's record beside all other runs: it is ranked, and the newest finished run."""
+    """The trained model's record, appended to a stored runs table (a repeated append adds none),
+    beside all other runs: it is ranked, and the newest finished run."""
     run = fitted(spark, sf_dir)[3]
-    runs = T.runs_table(spark, sf_dir).unionByName(run, allowMissingColumns=True)
+    path = scratch_path(spark, "runs")
+    for _ in range(2):
+        append_run(spark, path, run)
+    runs = T.runs_table(spark, sf_dir).unionByName(read_runs(spark, path, run.schema), allowMissingColumns=True)
     mine = run.select("run_id").scalar()
     ranked = run_ranking(runs)
     return ranked.agg(F.count(F.lit(1)).alias("runs"), F.max((F.col("run_id") == mine) & (F.col("badge") != "Unknown")).alias("listed"),

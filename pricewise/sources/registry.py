@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -154,3 +155,27 @@ def save_version_once(spark: SparkSession, df: DataFrame, base: str, name: str)
         move_if_absent(spark, draft, target)
     if path_exists(spark, draft):
         remove_path(spark, draft)
+
+
+def append_run(spark: SparkSession, path: str, run: DataFrame) -> bool:
+    """Add one run record (one row with a run_id) to the stored runs table unless that run is
+    there (False then). Each run is a partition of its own, moved into place whole, so of two
+    writers of one run one wins and readers never see half a record."""
+    (run_id,) = [r["run_id"] for r in run.select("run_id").collect()]  # a record is one row
+    draft = f"{path.rstrip('/')}/_adding-{uuid.uuid4().hex}"
+    run.drop("run_id").coalesce(1).write.parquet(draft)
+    added = not path_exists(spark, _run_folder(path, run_id)) and move_if_absent(spark, draft, _run_folder(path, run_id))
+    if path_exists(spark, draft):
+        remove_path(spark, draft)
+    return added
+
+
+def _run_folder(path: str, run_id: str) -> str:
+    return f"{path.rstrip('/')}/run_id={quote(run_id, safe='')}"
+
+
+def read_runs(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The stored runs table in ``schema`` (which names run_id as text); empty before the first run."""
+    if not any(n.startswith("run_id=") for n in list_names(spark, path)):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])

@@ -47,3 +47,16 @@ def test_compaction_keeps_rows_and_bounds_files(spark, tmp_path, monkeypatch):
     assert len(list_names(spark, f"{path}/commits")) <= 6 and len(list_names(spark, f"{path}/snapshots")) <= 2
     assert R.register_dataset(spark, path, "h2", "other") == "t2"
     assert not list_names(spark, f"{path}/drafts")
+
+
+def test_runs_table_is_idempotent(spark, tmp_path):
+    path = f"{tmp_path}/runs"
+    runs = spark.createDataFrame([("12e4", {"r2": 0.5}, {"depth": "8"}), ("a/b", {"r2": 0.1}, {"depth": "6"})],
+                                 "run_id string, metrics map<string,double>, params map<string,string>")
+    one, two = runs.where("run_id = '12e4'"), runs.where("run_id = 'a/b'")
+    assert R.read_runs(spark, path, runs.schema).count() == 0
+    with ThreadPoolExecutor(3) as pool:
+        added = list(pool.map(lambda r: R.append_run(spark, path, r), [one, one, two]))
+    assert sorted(added) == [False, True, True] and not R.append_run(spark, path, two)
+    got = {r.run_id: (r.metrics["r2"], r.params["depth"]) for r in R.read_runs(spark, path, runs.schema).collect()}
+    assert got == {"12e4": (0.5, "8"), "a/b": (0.1, "6")}
