@@ -149,7 +149,7 @@ def q_evaluate(spark, sf_dir):
 SELECT split, count(*) AS n, floor(stddev_pop(price) * 100 + 0.5) / 100 AS price_spread,
        floor(stddev_pop(price) * 100 + 0.5) / 100 AS spread_of_metrics
 FROM {SPLIT_SQL} GROUP BY split""")
-def q_evaluate_rows(spark, sf_dir):
+def q_evaluate_spread(spark, sf_dir):
     """What SQL can say of the metrics: rows per split and, since r2 = 1 - mse / variance, the spread
     of the prices, once from the split's rows and once from mse and r2 (rmse from its square)."""
     _model, parts, m, *_ = fitted(spark, sf_dir)
@@ -159,6 +159,15 @@ def q_evaluate_rows(spark, sf_dir):
                                           cents(F.col("rmse") / F.sqrt(1 - F.col("r2"))).alias("spread_of_metrics"))
 
 
+@register("model_against_mean")
+def q_evaluate_rows(spark, sf_dir):
+    """Per split whether the model is better than the mean price (r2 above 0), beside identities of
+    the metrics. What the model reaches is nothing SQL can know, so there is no twin."""
+    m = fitted(spark, sf_dir)[2]
+    return m.select("split", "n", (F.abs(F.col("rmse") * F.col("rmse") / F.col("mse") - 1) < 1e-9).alias("mse_is_rmse_squared"),
+                    (F.col("r2") <= 1).alias("r2_at_most_one"), (F.col("r2") > 0).alias("better_than_mean"))
+
+
 @register("feature_importance")
 def q_importance(spark, sf_dir):
     return round4(MD.feature_importance(fitted(spark, sf_dir)[0], CFG))
