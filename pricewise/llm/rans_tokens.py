@@ -25,7 +25,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +42,8 @@ CHECK_ROWS = 128
 BLOCK_TOKENS = 1 << 19
 PART_TOKENS = 8 << 20
 LOW = np.uint64(1) << np.uint64(32)
-CACHE_WORDS = 300_000  # of the per-worker memo from pieces to ids
+CACHE_PIECES = 1 << 19  # a worker's memo from pieces to ids; beyond it only the last slice's stay
+SLICE_BYTES, SLICE_ROWS = 4 << 20, 1 << 14  # of text encoded at once
 
 
 # ------------------------------------------------------------------ coder
@@ -184,7 +184,9 @@ class Encoder:
                          and spec["model"].get("dropout") is None and spec["post_processor"] is None
                          and all(t["content"].startswith("<|") and not (t["normalized"] or t["lstrip"] or t["rstrip"])
                                  for t in spec["added_tokens"]))
-        self.memo: dict[bytes, list[int]] = {}
+        # the memo: pieces met so far, and the ids of piece k at flat[at[k]:at[k + 1]]
+        self.pieces = pa.array([], pa.large_binary())
+        self.flat, self.at = np.empty(0, np.uint32), np.zeros(1, np.int64)
         self.byte_chars = dict(enumerate(byte_symbols()))
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -221,34 +223,56 @@ class Encoder:
         cut[1:] = letter[1:] & mark[:-1] | mark[1:] & letter[:-1]
         words = Words(data, rows, SPACES, lower=False, cuts=cut)
         coded = words.array().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.memo]
-        if len(self.memo) + len(new) > CACHE_WORDS:
-            self.memo, new = {}, distinct
-        model = self.tok.model
-        others = []
-        for w in new:
+        place = self._places(coded.dictionary)[coded.indices.to_numpy()]
+        n = np.diff(self.at)[place]
+        ids = self.flat[_spread(self.at[place], n)]
+        bound = np.concatenate(([0], np.cumsum(n)))[words.first]
+        return [ids[a:b] for a, b in zip(bound[:-1].tolist(), bound[1:].tolist())]
+
+    def _places(self, distinct: pa.Array) -> np.ndarray:
+        """Where the memo holds each of these distinct pieces; new ones are encoded and added."""
+        place = pc.fill_null(pc.index_in(distinct, value_set=self.pieces), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        if len(new) and len(self.pieces) + len(new) > CACHE_PIECES:
+            met = place >= 0
+            size = np.diff(self.at)[place[met]]
+            self.flat = self.flat[_spread(self.at[place[met]], size)]
+            self.pieces = self.pieces.take(pa.array(place[met]))
+            self.at = np.concatenate(([0], np.cumsum(size)))
+            place[met] = np.arange(len(size))
+        if len(new):
+            place[new] = len(self.pieces) + np.arange(len(new))
+            added = distinct.take(pa.array(new))
+            lists = self._encode(added.to_pylist())
+            size = np.fromiter(map(len, lists), np.int64, len(lists))
+            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(lists), np.uint32, size.sum())))
+            self.at = np.concatenate((self.at, self.at[-1] + np.cumsum(size)))
+            self.pieces = pa.concat_arrays([self.pieces, added])
+        return place
+
+    def _encode(self, pieces: list[bytes]) -> list[list[int]]:
+        out, others = [], []
+        for k, w in enumerate(pieces):
             if w.isascii():
                 alone = w.isalpha()
             else:
                 s = w.decode()
                 alone = s.isalpha() and s == s.lower() and max(s) < LATIN_END
             if alone:
-                self.memo[w] = [t.id for t in model.tokenize(w.decode("latin-1").translate(self.byte_chars))]
+                out.append([t.id for t in self.tok.model.tokenize(w.decode("latin-1").translate(self.byte_chars))])
             else:
-                others.append(w)
-        for w, e in zip(others, self.tok.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)):
-            self.memo[w] = e.ids
-        lists = [self.memo[w] for w in distinct]
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.uint32, size.sum())
-        start = np.concatenate(([0], np.cumsum(size)))
-        code = coded.indices.to_numpy()
-        n = size[code]
-        begin = np.cumsum(n) - n
-        ids = flat[np.repeat(start[code] - begin, n) + np.arange(n.sum())]
-        bound = np.append(begin, n.sum())[words.first]
-        return [ids[a:b] for a, b in zip(bound[:-1].tolist(), bound[1:].tolist())]
+                out.append([])
+                others.append(k)
+        coded = self.tok.encode_batch_fast([pieces[k].decode() for k in others], add_special_tokens=False)
+        for k, e in zip(others, coded):
+            out[k] = e.ids
+        return out
+
+
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start[k] .. start[k] + size[k] - 1 of all k in turn."""
+    end = np.cumsum(size)
+    return np.repeat(start - (end - size), size) + np.arange(end[-1] if len(end) else 0)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -263,31 +287,30 @@ def encoder(path: str) -> Encoder:
 
 def _tokenise(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, pack = encoder(path), zstandard.ZstdCompressor(1)
+        enc = encoder(path)
         for whole in batches:
-            for b in sub_batches(whole, "_text"):
-                ids = enc(b.column("_text"), end_id)
-                wide = max((int(i.max()) for i in ids), default=0) >= 1 << 16
-                kind = "<u4" if wide else "<u2"
-                yield pa.record_batch(
-                    [b.column("_id"), b.column("_th"), pa.array([len(i) for i in ids], pa.int64()),
-                     pa.array([4 if wide else 2] * len(ids), pa.int32()),
-                     pa.array([pack.compress(i.astype(kind).tobytes()) for i in ids], pa.large_binary()).cast(pa.binary())],
-                    names=["_id", "_th", "_n", "_w", "_ids"])
+            for b in sub_batches(whole, "_text", SLICE_BYTES, SLICE_ROWS):
+                lists = enc(b.column("_text"), end_id)
+                ids = np.concatenate(lists)
+                width = 4 if int(ids.max()) >= 1 << 16 else 2
+                off = width * np.concatenate(([0], np.cumsum([len(i) for i in lists], dtype=np.int64)))
+                packed = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(lists), [None, pa.py_buffer(off), pa.py_buffer(ids.astype(f"<u{width}"))])
+                yield pa.record_batch([b.column("_id"), b.column("_th"), pa.array([width] * len(lists), pa.int32()),
+                                       packed.cast(pa.binary())], names=["_id", "_th", "_w", "_ids"])
     return run
 
 
 def _ids(b: pa.RecordBatch) -> Iterator[np.ndarray]:
-    unpack = zstandard.ZstdDecompressor()
     for blob, w in zip(b.column("_ids"), b.column("_w").to_pylist()):
-        yield np.frombuffer(unpack.decompress(blob.as_py()), f"<u{w}")
+        yield np.frombuffer(blob.as_buffer(), f"<u{w}")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for b in batches:
-        for ids in _ids(b):
-            c = np.bincount(ids, minlength=len(total))
+        for part in sub_batches(b, "_ids", SLICE_BYTES, SLICE_ROWS):
+            c = np.bincount(np.concatenate(list(_ids(part))), minlength=len(total))
             c[:len(total)] += total
             total = c
     s = np.flatnonzero(total)
@@ -310,7 +333,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int
                       F.col(text_col).alias("_text"))
     id_type = src.schema["_id"].dataType
     t = id_type.simpleString()
-    coded = stored(src.mapInArrow(_tokenise(tokenizer_path, end_id), f"_id {t}, _th long, _n long, _w int, _ids binary"),
+    coded = stored(src.mapInArrow(_tokenise(tokenizer_path, end_id), f"_id {t}, _th long, _w int, _ids binary"),
                    "token-ids")
     counts = (coded.select("_ids", "_w").mapInArrow(_count, "symbol long, count long")
               .groupBy("symbol").agg(F.sum("count").alias("count")).toArrow())

@@ -220,6 +220,20 @@ def word_bpe():
     return lambda texts: [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_encoder_forgets_pieces_and_stays_right(monkeypatch, word_bpe):
+    import pyarrow as pa
+    monkeypatch.setattr(rans_tokens, "CACHE_PIECES", 40)
+    enc = rans_tokens.Encoder(queries.tokenizer_file("word_bpe_49k.json"))
+    rng = np.random.default_rng(3)
+    words = [f"{'abcdefgh'[k % 8]}{'klmno'[k % 5]}{chr(224 + k % 20)}{'xyz'[k % 3] * (k % 4)}" for k in range(200)] + ["12,5", "it's", "Ünder.", "***"]
+    for _ in range(30):
+        texts = [" ".join(rng.choice(words, rng.integers(0, 12))) for _ in range(5)] + [None, ""]
+        got = enc(pa.array(texts, pa.string()), 1)
+        assert [g.tolist() for g in got] == [[*i, 1] for i in word_bpe([t or "" for t in texts])]
+        assert len(enc.pieces) == len(enc.at) - 1 and enc.at[-1] == len(enc.flat)
+        assert len(set(enc.pieces.to_pylist())) == len(enc.pieces) <= 100
+
+
 def test_token_files_query(spark, documents, word_bpe):
     got = tuples(queries.QUERIES["op3_rans_tokens"](spark, SF001), "doc_id", "start", "n_tokens", "ids_crc32")
     want = list(brute_tokens([tuple(r) for r in documents.select("doc_id", "text").collect()], word_bpe))
