@@ -1,21 +1,22 @@
-"""Boosted-tree price model on Spark ML: train, score, evaluate, importances."""
+"""Boosted-tree price model on Spark ML: train in stages, score, evaluate, importances."""
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewise.operators.filters import FINISHED
 from pricewise.operators.metrics import metrics_record, regression_metrics
 from pricewise.operators.stats import quantile_scalar
-from pricewise.session import stored
+from pricewise.session import remove_path, scratch_path, stored
 
 # The 13 model inputs in their required order.
 MODEL_COLUMNS = ("property_type", "is_new_build", "is_leasehold", "district", "sold_month",
@@ -28,25 +29,29 @@ NUM_FEATURES = ("date", "sold_year", "borough_price_trend", "district_yearly_med
                 "avg_price_last_half")
 LABEL = "__pw_label"
 PRED = "prediction"
+FIT = "__pw_fit"
+STAGE = "__pw_stage_"
 
 
 @dataclass(frozen=True)
 class TrainConfig:
-    """Depth and rate are the source's. ``max_iter`` is the most rounds: the source's 4000
-    do not carry over to an engine that runs one distributed pass per tree level, so
-    100 is the documented limit; training ends sooner once a round improves the
-    validation error by less than ``early_stop`` (relative). ``min_bins`` is raised
-    to the largest category's size."""
+    """Depth, rate and the most rounds are the source's. Rounds are trained in stages of
+    ``stage_rounds``; a stage enters with the one of ``stage_weights`` that has the least
+    error. Within a stage a round, and over stages a stage, that improves the error by less
+    than ``early_stop`` (relative) ends it. ``min_bins`` is raised to the largest
+    category's size."""
 
     cat_features: Sequence[str] = CAT_FEATURES
     num_features: Sequence[str] = NUM_FEATURES
     label: str = "price"
     log_target: bool = True
     clip_target_q: float = 0.99
-    max_iter: int = 100
+    max_iter: int = 4000
     depth: int = 8
     step: float = 0.05
     early_stop: float = 0.001
+    stage_rounds: int = 50
+    stage_weights: Sequence[float] = (1.0, 0.5, 0.2, 0.1, 0.05)
     seed: int = 42
     min_bins: int = 128
     subsample: float = 1.0
@@ -80,29 +85,71 @@ def feature_pipeline(cfg: TrainConfig) -> Pipeline:
 
 def train_price_model(train: DataFrame, validation: DataFrame | None = None,
                       cfg: TrainConfig = TrainConfig()) -> PipelineModel:
-    """Fit StringIndexer + VectorAssembler + GBTRegressor (absolute loss).
-
-    With a validation frame the rows are unioned with an indicator column and
-    GBT stops early on the validation error. Labels are clipped per split. The
-    bin count follows the fitted indexers, so any number of categories trains.
+    """Fit StringIndexer + VectorAssembler + boosted trees (absolute loss) in stages.
+
+    The fit starts at the median label. Each stage is a GBTRegressor of at most
+    ``stage_rounds`` rounds on what the stages before left over, read from a stored
+    table of (features, label, fit), so no stage replays another's lineage and a lost
+    executor re-reads one table. A stage's own first tree is not shrunk by Spark, so the
+    stage enters with the weight that has the least mean absolute error on the validation
+    rows; training ends with the first stage that gains less than ``early_stop``. The first
+    stage always stays, with the best of the weights. Without a validation frame the
+    training rows are the judges too. The result is a plain PipelineModel: the stages'
+    regressors and one SQL sum.
+
+    Labels are clipped per split. The bin count follows the fitted indexers, so any
+    number of categories trains. Only error sums and the median reach the driver.
     """
     cols = [*cfg.cat_features, *cfg.num_features, cfg.label]
     data = _label(train.select(*cols), cfg).withColumn("__pw_is_val", F.lit(False))
-    if validation is not None:
-        data = data.unionByName(_label(validation.select(*cols), cfg)
-                                .withColumn("__pw_is_val", F.lit(True)))
-    data = stored(data, "train")
+    judges = train if validation is None else validation
+    data = stored(data.unionByName(_label(judges.select(*cols), cfg).withColumn("__pw_is_val", F.lit(True))), "train")
+    spark = data.sparkSession
     prepared = feature_pipeline(cfg).fit(data)
     largest = max(len(labels) for labels in prepared.stages[1].labelsArray) + 1  # and the unknown one
-    gbt = GBTRegressor(featuresCol="__pw_features", labelCol=LABEL, predictionCol=PRED,
-                       lossType="absolute", maxIter=cfg.max_iter, maxDepth=cfg.depth,
-                       stepSize=cfg.step, seed=cfg.seed, maxBins=max(cfg.min_bins, largest),
-                       subsamplingRate=cfg.subsample, validationTol=cfg.early_stop,
-                       checkpointInterval=10, **cfg.extra)
-    if validation is not None:
-        gbt = gbt.setValidationIndicatorCol("__pw_is_val")
-    fitted = gbt.fit(prepared.transform(data).select("__pw_features", LABEL, "__pw_is_val"))
-    return PipelineModel([*prepared.stages, fitted])
+    middle = quantile_scalar(data.where(~F.col("__pw_is_val")), LABEL, 0.5)
+    base = float(spark.range(1).select(middle.cast("double")).first()[0])
+    features = prepared.transform(data)
+    kinds = features.schema["__pw_features"].metadata  # which entries are categories
+    state = features.select("__pw_features", LABEL, "__pw_is_val", F.lit(base).alias(FIT))
+    fits, weights, before = [], [], None
+    for first in range(0, cfg.max_iter, cfg.stage_rounds):
+        out = f"{STAGE}{len(fits)}"
+        gbt = GBTRegressor(featuresCol="__pw_features", labelCol="__pw_left", predictionCol=out,
+                           lossType="absolute", maxIter=min(cfg.stage_rounds, cfg.max_iter - first),
+                           maxDepth=cfg.depth, stepSize=cfg.step, seed=cfg.seed + first,
+                           maxBins=max(cfg.min_bins, largest), subsamplingRate=cfg.subsample,
+                           validationTol=cfg.early_stop, validationIndicatorCol="__pw_is_val",
+                           checkpointInterval=10, **cfg.extra)
+        fit = gbt.fit(state.select(F.col("__pw_features").alias("__pw_features", metadata=kinds), "__pw_is_val",
+                                   (F.col(LABEL) - F.col(FIT)).alias("__pw_left")))
+        path = scratch_path(spark, "boosting")
+        fit.transform(state).write.parquet(path)
+        scored = spark.read.parquet(path)
+        choices = [0.0, *cfg.stage_weights]
+        errors = scored.where("__pw_is_val").agg(*[F.avg(F.abs(F.col(LABEL) - F.col(FIT) - w * F.col(out))) for w in choices]).first()
+        best = min(range(1, len(choices)), key=lambda i: errors[i])
+        gains = errors[0] - errors[best] >= cfg.early_stop * max(errors[0], 0.01)
+        if gains or not fits:
+            fits.append(fit)
+            weights.append(choices[best])
+        if before is not None:
+            remove_path(spark, before)
+        before = path
+        if not gains:
+            break
+        state = scored.select("__pw_features", LABEL, "__pw_is_val", (F.col(FIT) + choices[best] * F.col(out)).alias(FIT))
+    if before is not None:
+        remove_path(spark, before)
+    total = " + ".join([f"{base!r}D", *[f"{w!r}D * {STAGE}{k}" for k, w in enumerate(weights)]])
+    return PipelineModel([*prepared.stages, *fits, SQLTransformer(statement=f"SELECT *, {total} AS {PRED} FROM __THIS__")])
+
+
+def boosted_stages(model: PipelineModel) -> list[tuple[float, GBTRegressionModel]]:
+    """The weight and the regressor of every stage of boosting, in training order."""
+    total = model.stages[-1].getStatement()
+    weights = [float(w) for w, _ in re.findall(rf"([0-9.eE+-]+)D \* {STAGE}([0-9]+)", total)]
+    return list(zip(weights, [s for s in model.stages if isinstance(s, GBTRegressionModel)], strict=True))
 
 
 def score_table(model: PipelineModel, df: DataFrame, log_target: bool = True,
@@ -124,13 +171,15 @@ def evaluate_model(model: PipelineModel, split_df: DataFrame, split_col: str = "
 def feature_importance(model: PipelineModel, cfg: TrainConfig = TrainConfig()) -> DataFrame:
     """(feature, importance) descending; importances scaled to sum to 100.
 
-    The vector has one entry per input column, so its size is bounded by the
-    feature list, not by the data.
+    A stage's importances count by its weight times its share of the trees' weights. The
+    vector has one entry per input column, so its size is bounded by the feature list, not
+    by the data.
     """
-    gbt = model.stages[-1]
     names = [*cfg.cat_features, *cfg.num_features]
-    values = gbt.featureImportances.toArray().tolist()
-    rows = [(n, float(v) * 100.0) for n, v in zip(names, values)]
+    parts = [w * sum(gbt.treeWeights) * gbt.featureImportances.toArray() for w, gbt in boosted_stages(model)]
+    values = sum(parts)
+    values = values / (values.sum() or 1.0)
+    rows = [(n, float(v) * 100.0) for n, v in zip(names, values.tolist())]
     session = SparkSession.getActiveSession()
     return (session.createDataFrame(rows, "feature string, importance double")
                    .orderBy(F.col("importance").desc(), "feature"))
@@ -148,7 +197,7 @@ def run_record(metrics: DataFrame, cfg: TrainConfig, *, checksum: str, start_tim
     params = {"log_target": str(cfg.log_target).lower(), "model_class": model_class, "label": cfg.label,
               "cat_features": ",".join(cfg.cat_features), "num_features": ",".join(cfg.num_features),
               "max_iter": cfg.max_iter, "depth": cfg.depth, "learning_rate": cfg.step, "early_stop": cfg.early_stop,
-              "seed": cfg.seed, "clip_target_q": cfg.clip_target_q, "checksum": checksum}
+              "stage_rounds": cfg.stage_rounds, "seed": cfg.seed, "clip_target_q": cfg.clip_target_q, "checksum": checksum}
     if run_id is None:
         run_id = hashlib.sha256(repr(sorted(params.items())).encode()).hexdigest()[:32]
     pairs = [F.lit(x) for k, v in params.items() for x in (k, str(v))]

@@ -105,11 +105,11 @@ def q_serving(spark, sf_dir):
 
 @register("train_price_model")
 def q_train(spark, sf_dir):
-    """The fitted ensemble: one row per tree (index, weight, nodes, depth)."""
-    gbt = fitted(spark, sf_dir)[0].stages[-1]
-    rows = [(i, float(w), int(t.numNodes), int(t.depth))
-            for i, (t, w) in enumerate(zip(gbt.trees, gbt.treeWeights))]
-    return spark.createDataFrame(rows, "tree int, weight double, nodes int, depth int")
+    """The fitted ensemble: one row per tree (its index, stage of boosting, weight in the sum, nodes, depth)."""
+    trees = [(k, weight * float(w), int(t.numNodes), int(t.depth))
+             for k, (weight, gbt) in enumerate(MD.boosted_stages(fitted(spark, sf_dir)[0]))
+             for t, w in zip(gbt.trees, gbt.treeWeights)]
+    return spark.createDataFrame([(i, *t) for i, t in enumerate(trees)], "tree int, stage int, weight double, nodes int, depth int")
 
 
 def _scored(spark, sf_dir):

@@ -1,6 +1,8 @@
+import dataclasses
 import math
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from pricewise.operators import model as MD
@@ -50,9 +52,58 @@ def test_known_signal_is_learned_and_recorded(spark):
     assert set(run.metrics) == {"train_rmse", "train_mse", "train_r2"} and run.status == "FINISHED"
 
 
+def _signal(spark, n, noise):
+    """Rows whose price is a step function of two columns times e^(noise * a fixed pseudo-random number)."""
+    u = F.pmod(F.xxhash64(F.col("id")), F.lit(10_000)) / 10_000 - 0.5
+    return (spark.range(n).withColumn("kind", F.concat(F.lit("k"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4))))
+            .withColumn("size", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(50)).cast("double"))
+            .withColumn("price", 1e5 * F.exp(F.when(F.col("kind") == "k0", 1.0).otherwise(0.0) + F.col("size") / 50 + noise * u)))
+
+
+def test_stages_reach_what_one_fit_reaches(spark):
+    df = stored(_signal(spark, 1200, 0.05).withColumn("split", F.when(F.col("id") % 3 == 0, "validation").otherwise("train")), "signal")
+    train, val = df.where("split = 'train'"), df.where("split = 'validation'")
+    one = MD.TrainConfig(cat_features=("kind",), num_features=("size",), depth=4, step=0.1, clip_target_q=1.0, max_iter=24, stage_rounds=24)
+    many = dataclasses.replace(one, stage_rounds=6)
+    models = {n: MD.train_price_model(train, val, c) for n, c in (("one", one), ("many", many))}
+    pred = [{r.id: r.predicted_price for r in MD.score_table(m, df).collect()} for m in models.values()]
+    assert all(pred[1][i] == pytest.approx(p, rel=0.08) for i, p in pred[0].items())
+    for m in models.values():
+        assert all(r.r2 > 0.95 for r in MD.evaluate_model(m, df).collect())
+    assert len(MD.boosted_stages(models["one"])) == 1
+
+
+def test_stages_continue_while_they_gain_and_the_model_survives_saving(spark):
+    df = stored(_signal(spark, 800, 0.0), "signal")
+    cfg = MD.TrainConfig(cat_features=("kind",), num_features=("size",), depth=2, step=0.1, clip_target_q=1.0,
+                         max_iter=12, stage_rounds=3)
+    model = MD.train_price_model(df, cfg=cfg)
+    stages = MD.boosted_stages(model)
+    assert len(stages) > 1 and all(w in cfg.stage_weights for w, _ in stages)
+    assert sum(len(g.trees) for _, g in stages) <= 12
+    err = lambda m: MD.evaluate_model(m, df.withColumn("split", F.lit("all"))).first().rmse
+    assert err(model) < 0.75 * err(MD.train_price_model(df, cfg=dataclasses.replace(cfg, max_iter=3)))
+    assert {r.feature for r in MD.feature_importance(model, cfg).collect() if r.importance > 5} == {"kind", "size"}
+    path = scratch_path(spark, "model")
+    model.save(path)
+    again = PipelineModel.load(path)
+    assert [w for w, _ in MD.boosted_stages(again)] == [w for w, _ in stages]
+    assert rows(MD.score_table(again, df)) == rows(MD.score_table(model, df))
+
+
+def test_noise_is_not_learned(spark):
+    u = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(10_000)) / 10_000
+    df = stored(_signal(spark, 900, 0.0).withColumn("price", 1e5 * (1 + 4 * u))
+                .withColumn("split", F.element_at(F.array(F.lit("train"), F.lit("validation"), F.lit("test")), (F.col("id") % 3 + 1).cast("int"))), "noise")
+    cfg = MD.TrainConfig(cat_features=("kind",), num_features=("size",))
+    model = MD.train_price_model(df.where("split = 'train'"), df.where("split = 'validation'"), cfg)
+    got = {r.split: r.r2 for r in MD.evaluate_model(model, df).collect()}
+    assert got["validation"] > -0.2 and got["test"] > -0.2
+
+
 def test_source_settings_and_many_categories(spark):
     cfg = MD.TrainConfig()
-    assert (cfg.depth, cfg.step, cfg.max_iter) == (8, 0.05, 100) and "sold_month" in cfg.cat_features
+    assert (cfg.depth, cfg.step, cfg.max_iter) == (8, 0.05, 4000) and "sold_month" in cfg.cat_features
     assert sorted([*cfg.cat_features, *cfg.num_features]) == sorted(MD.MODEL_COLUMNS)
     df = spark.createDataFrame([(f"c{i % 165}", 100.0 + i % 165) for i in range(660)], "kind string, price double")
     small = MD.TrainConfig(cat_features=("kind",), num_features=(), max_iter=2, depth=2)
