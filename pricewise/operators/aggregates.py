@@ -43,9 +43,11 @@ def group_median_composite(df: DataFrame, key: str, year_col: str, value_col: st
 
 
 def recent_group_median(df: DataFrame, key: str, date_col: str, value_col: str = "price",
-                        months: int = 6, out_col: str = "price", approx: bool = False) -> DataFrame:
-    """Median per key over rows dated within ``months`` of the table's latest date."""
-    return group_median(recent_rows(df, date_col, months), key, value_col, out_col, approx)
+                        months: int = 6, out_col: str = "price", approx: bool = False,
+                        year_col: str | None = None) -> DataFrame:
+    """Median per key over rows dated within ``months`` of the table's latest date; ``year_col``
+    as in ``recent_rows``."""
+    return group_median(recent_rows(df, date_col, months, year_col), key, value_col, out_col, approx)
 
 
 def global_fallback(group_medians: DataFrame, value_col: str = "price",

@@ -63,14 +63,19 @@ def unresolved_keys(df: DataFrame, key_col: str, dim: DataFrame, dim_key: str,
     return keys.join(known, on="key", how="left_anti")
 
 
-def recent_rows(df: DataFrame, date_col: str, months: int = 6) -> DataFrame:
+def recent_rows(df: DataFrame, date_col: str, months: int = 6, year_col: str | None = None) -> DataFrame:
     """Rows with ``date >= max(date) - months`` (calendar months, clamped to month end).
 
     ``max(date)`` is a scalar subquery; Spark also pushes it into the scan as
-    a runtime filter.
+    a runtime filter. ``year_col`` names a column that holds the date's year, null for null
+    dates. If the table is partitioned by it, the latest year comes from the partitions'
+    names, the latest date from that year alone, and the bound's year is a partition
+    predicate: older years' rows are never read.
     """
-    latest = df.select(F.max(date_col)).scalar()
-    return df.where(F.col(date_col) >= latest - F.make_ym_interval(F.lit(0), F.lit(months)))
+    newest = df if year_col is None else df.where(F.col(year_col) == df.select(F.max(year_col)).scalar())
+    bound = newest.select(F.max(date_col)).scalar() - F.make_ym_interval(F.lit(0), F.lit(months))
+    recent = df.where(F.col(date_col) >= bound)
+    return recent if year_col is None else recent.where(F.col(year_col) >= F.year(bound))
 
 
 def has_finite_metrics(runs: DataFrame, metrics_col: str = "metrics",

@@ -51,12 +51,13 @@ def build_lookup_tables(engineered: DataFrame, district_col: str = "district",
                         year_col: str = "sold_year", date_col: str = "date",
                         price_col: str = "price", months: int = 6) -> LookupTables:
     """Three lookups from one engineered table: district medians,
-    district-year medians, and district medians of the latest ``months``."""
+    district-year medians, and district medians of the latest ``months``. ``year_col`` holds the
+    year of ``date_col``; of a table partitioned by it the third reads the latest years alone."""
     base = engineered.select(F.col(district_col).alias("district"), year_col, date_col, price_col)
     return LookupTables(
         group_median(base, "district", price_col, "price"),
         group_median_composite(base, "district", year_col, price_col, "district_year", "price", keep_keys=True),
-        recent_group_median(base, "district", date_col, price_col, months, "price"),
+        recent_group_median(base, "district", date_col, price_col, months, "price", year_col=year_col),
     )
 
 

@@ -54,8 +54,8 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def engineered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold layer: engineered sales built from the silver layer, written once per session."""
-    return materialized(spark, "gold", sf_dir, lambda: engineer_from(spark, sf_dir, cleaned(spark, sf_dir)))
+    """Gold layer: engineered sales built from the silver layer, partitioned by sold_year, written once per session."""
+    return materialized(spark, "gold", sf_dir, lambda: engineer_from(spark, sf_dir, cleaned(spark, sf_dir)), ("sold_year",))
 
 
 def lookups(spark, sf_dir):

@@ -263,7 +263,7 @@ def q_unresolved(spark, sf_dir):
 @register("recent_rows", r4(f"""
 SELECT * FROM {CLEAN} WHERE date >= (SELECT max(date) FROM {CLEAN}) - INTERVAL 6 MONTH""", "price"))
 def q_recent(spark, sf_dir):
-    return round4(FL.recent_rows(cleaned(spark, sf_dir), "date", 6))
+    return round4(FL.recent_rows(cleaned(spark, sf_dir), "date", 6, "sold_year"))
 
 
 PC = canon("postcode")

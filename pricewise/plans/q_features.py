@@ -115,7 +115,7 @@ def q_group_median_composite(spark, sf_dir):
 
 @register("recent_group_median", r4(LOOKUPS_SQL["recent"], "price"))
 def q_recent_group_median(spark, sf_dir):
-    return round4(AG.recent_group_median(engineered(spark, sf_dir), "district", "date"))
+    return round4(AG.recent_group_median(engineered(spark, sf_dir), "district", "date", year_col="sold_year"))
 
 
 @register("global_fallback", r4(f"SELECT {GLOBAL_SQL} AS global_median", "global_median"))

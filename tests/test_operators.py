@@ -1,4 +1,7 @@
 import datetime as dt
+import glob
+import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +11,7 @@ from pricewise.operators import clean as C
 from pricewise.operators import enrich as EN
 from pricewise.operators import filters as FL
 from pricewise.operators import windows as WN
+from pricewise.session import scratch_path
 from tests.conftest import rows
 
 
@@ -181,3 +185,37 @@ def test_quantile_method_conf_switch(spark):
         assert max(r.price for r in clipped.collect() if r.price is not None) == 700000.0
     finally:
         spark.conf.unset("pricewise.quantile.method")
+
+
+def test_recent_rows_read_the_latest_years_alone(spark):
+    from pricewise.operators.aggregates import recent_group_median
+    days = spark.range(4000).select(F.col("id"), (F.lit("2010-01-01").cast("date") + F.col("id").cast("int")).cast("timestamp_ntz").alias("date"),
+                                    F.concat(F.lit("k"), F.col("id") % 3).alias("key"), (F.col("id") % 101).cast("double").alias("price"))
+    extra = spark.createDataFrame([(-1, None, "k0", 1.0)], days.schema)
+    df = days.where("date <= '2020-03-31'").unionByName(extra).withColumn("year", F.year("date"))
+    path = scratch_path(spark, "years")
+    df.repartition(1).write.partitionBy("year").parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    want = rows(FL.recent_rows(df, "date", 6))
+    assert len(want) == 184 and rows(FL.recent_rows(table, "date", 6, "year").select(df.columns)) == want
+    assert rows(FL.recent_rows(df, "date", 6, "year")) == want
+    assert rows(recent_group_median(table, "key", "date", year_col="year")) == rows(recent_group_median(df, "key", "date"))
+    got = FL.recent_rows(table, "date", 6, "year")
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*year#\d+ >= ", plan), plan
+    read = {r.year for r in got.select("year").collect()}
+    assert read == {2019, 2020}
+    assert FL.recent_rows(table.limit(0), "date", 6, "year").count() == 0
+    # an old year whose pages cannot be read any more (its footer is whole) does no harm
+    for name in glob.glob(f"{path.removeprefix('file:')}/year=2012/*.parquet"):
+        data = bytearray(open(name, "rb").read())
+        data[4:len(data) // 4] = b"\xff" * (len(data) // 4 - 4)
+        open(name, "wb").write(data)
+        crc = os.path.join(os.path.dirname(name), f".{os.path.basename(name)}.crc")
+        if os.path.exists(crc):
+            os.unlink(crc)
+    fresh = spark.read.schema(df.schema).parquet(path)
+    with pytest.raises(Exception):
+        fresh.select(F.max("date"), F.sum("price"), F.max("key"), F.sum("id")).collect()
+    assert rows(FL.recent_rows(fresh, "date", 6, "year").select(df.columns)) == want
