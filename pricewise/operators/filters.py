@@ -68,8 +68,8 @@ def recent_rows(df: DataFrame, date_col: str, months: int = 6, year_col: str | N
 
     ``max(date)`` is a scalar subquery; Spark also pushes it into the scan as
     a runtime filter. ``year_col`` names a column that holds the date's year, null for null
-    dates. If the table is partitioned by it, the latest year comes from the partitions'
-    names, the latest date from that year alone, and the bound's year is a partition
+    dates. If the table is partitioned by it, the latest year is found without
+    reading a data column, the latest date in that year alone, and the bound's year is a partition
     predicate: older years' rows are never read.
     """
     newest = df if year_col is None else df.where(F.col(year_col) == df.select(F.max(year_col)).scalar())
