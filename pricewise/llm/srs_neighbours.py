@@ -255,18 +255,28 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, *, k: int = 5,
     ask = valid(vectors if queries is None else queries).where(F.size("_v") == width)
     ask = ask.groupBy("_id").agg(F.min("_v").alias("_v"))
     ask = stored(ask.mapInArrow(place, shape), "srs-queries")
-    blocks = max(1, -(-ask.count() // QUERY_BLOCK))
-    of_cell = F.create_map(*[F.lit(x) for c, n in subs.items() for x in (c, n)])[F.col("_cell")]
-    # a cell above its size is cut by a hash, queries go to all its parts
-    data = (index.withColumn("_sub", F.pmod(F.xxhash64("_id", "_v"), F.coalesce(of_cell, F.lit(1))).cast("int"))
-            .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
     limit = chi2_quantile(confidence, dims)
 
-    def spread(df: DataFrame) -> DataFrame:
-        return (df.withColumn("_sub", F.explode(F.sequence(F.lit(0), F.coalesce(of_cell, F.lit(1)) - 1)))
-                .withColumn("_block", F.pmod(F.xxhash64(F.lit("block"), "_id"), F.lit(blocks)).cast("int")))
-
-    home = stored(_pairs(spread(ask.withColumn("_bound", F.lit(8.0))), data, k, limit, id_type), "srs-home")
+    def of_cell(numbers: dict[int, int]):
+        """The number of a row's cell, null for a cell that is not listed (at most ``MAX_CELLS`` are)."""
+        if not numbers:
+            return F.lit(None).cast("int")
+        return F.create_map(*[F.lit(x) for c, n in numbers.items() for x in (c, n)])[F.col("_cell")]
+
+    def pairs(asked: DataFrame) -> DataFrame:
+        """Search of stored queries in their cells. A cell above its size is cut by a hash, and its
+        queries go to all its parts; its rows are copied once per block of queries that came to
+        it, usually one, and not at all where none came."""
+        came = {r["_cell"]: -(-r["count"] // QUERY_BLOCK) for r in asked.groupBy("_cell").count().collect()}
+        cut, blocks = F.coalesce(of_cell(subs), F.lit(1)), of_cell(came)
+        left = (asked.withColumn("_sub", F.explode(F.sequence(F.lit(0), cut - 1)))
+                .withColumn("_block", F.pmod(F.xxhash64(F.lit("block"), "_id"), blocks).cast("int")))
+        right = (index.where(blocks.isNotNull())
+                 .withColumn("_sub", F.pmod(F.xxhash64("_id", "_v"), cut).cast("int"))
+                 .withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1))))
+        return _pairs(left, right, k, limit, id_type)
+
+    home = stored(pairs(ask.withColumn("_bound", F.lit(8.0))), "srs-home")
     by_rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     kth = (home.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
            .withColumn("_r", F.row_number().over(by_rank)).where(F.col("_r") == k)
@@ -286,7 +296,7 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, *, k: int = 5,
                 yield pa.record_batch([t.column("_id"), t.column("_v"), t.column("_p"), pa.array(number[c]),
                                        t.column("_bound")], names=["_id", "_v", "_p", "_cell", "_bound"])
 
-    away = _pairs(spread(bounded.mapInArrow(route, shape + ", _bound double")), data, k, limit, id_type)
+    away = pairs(stored(bounded.mapInArrow(route, shape + ", _bound double"), "srs-routed"))
     found = home.unionByName(away).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return (found.withColumn("rank", F.row_number().over(by_rank)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
