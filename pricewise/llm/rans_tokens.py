@@ -320,9 +320,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ------------------------------------------------------------------ write and read
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int = 1, id_col: str = "doc_id",
-                 text_col: str = "text", block_tokens: int = BLOCK_TOKENS, part_tokens: int = PART_TOKENS) -> str:
+                 text_col: str = "text", block_tokens: int = BLOCK_TOKENS, part_tokens: int = PART_TOKENS,
+                 shuffle_seed: int | None = None) -> str:
     """Write every whole text's ids, each document closed by ``end_id``, in ascending order of
-    (id, text hash); returns ``path``.
+    (id, text hash) or, with a ``shuffle_seed``, in the order of a number drawn for every
+    row, which keeps copies of a document apart; returns ``path``.
 
     Null texts are empty (the end id alone), null ids come first, repeated rows are
     written as often as they occur, an empty table gives empty tables. Only token counts
@@ -333,8 +335,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int
                       F.col(text_col).alias("_text"))
     id_type = src.schema["_id"].dataType
     t = id_type.simpleString()
-    coded = stored(src.mapInArrow(_tokenise(tokenizer_path, end_id), f"_id {t}, _th long, _w int, _ids binary"),
-                   "token-ids")
+    coded = src.mapInArrow(_tokenise(tokenizer_path, end_id), f"_id {t}, _th long, _w int, _ids binary")
+    order = ["_id", "_th"]
+    if shuffle_seed is not None:  # drawn once: the numbers are stored with the ids
+        coded, order = coded.withColumn("_draw", F.rand(shuffle_seed)), ["_draw", *order]
+    coded = stored(coded, "token-ids")
     counts = (coded.select("_ids", "_w").mapInArrow(_count, "symbol long, count long")
               .groupBy("symbol").agg(F.sum("count").alias("count")).toArrow())
     symbols = counts["symbol"].to_numpy()
@@ -375,7 +380,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int
         if held:
             yield flush()
 
-    blocks = (coded.repartitionByRange(parts, "_id", "_th").sortWithinPartitions("_id", "_th")
+    blocks = (coded.repartitionByRange(parts, *order).sortWithinPartitions(*order)
               .select("_id", "_w", "_ids")
               .mapInArrow(run, "part int, block int, start_in_part long, n_tokens long, "
                                f"doc_ids array<{t}>, doc_tokens array<long>, payload binary"))

@@ -99,6 +99,47 @@ def test_contamination_query(spark, documents):
     assert any(w[-1] for w in want)
 
 
+def brute_longest(texts, items, k):
+    """(length, place) of every text's first longest match that spans a window; (0, None) for none."""
+    items = [WORD.findall(lower(t)) for _, t in items]
+    for text in texts:
+        w, best = WORD.findall(lower(text)), (0, 0)
+        for item in items:
+            for p in range(len(item)):
+                for i in range(len(w)):
+                    n = 0
+                    while p + n < len(item) and i + n < len(w) and item[p + n] == w[i + n]:
+                        n += 1
+                    if n >= min(k, len(item)):
+                        best = max(best, (n, -i))
+        yield (best[0], -best[1]) if best[0] else (0, None)
+
+
+@pytest.mark.parametrize("block_bytes", [1, 30, 1 << 20])
+def test_contamination_and_longest_match_of_few_words(spark, block_bytes):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 50))) for _ in range(60)]
+    items = [(str(i), " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 14)))) for i in range(12)]
+    items += [("12", items[0][1]), ("13", texts[7]), (None, texts[9])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = suffix_decontam.contamination(docs, spark.createDataFrame(items, "item_id string, text string"), window=6,
+                                        block_bytes=block_bytes)
+    want = [(i, *b, *m) for i, (b, m) in enumerate(zip(brute_contamination(texts, items, 6), brute_longest(texts, items, 6)))]
+    assert tuples(out, "doc_id", *CONTAMINATION, "longest_match", "longest_at") == sorted(want, key=repr)
+    assert {w[-2] for w in want} > {0, 6, 7}
+
+
+def test_longest_match_of_the_query_reads_back(spark, documents):
+    texts = {r.doc_id: WORD.findall(lower(r.text)) for r in documents.select("doc_id", "text").collect()}
+    items = [WORD.findall(lower(r.text)) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
+    runs = {" ".join(i) for i in items}
+    hits = [r for r in queries.QUERIES["op1_decontamination"](spark, SF001).collect() if r.contaminated]
+    for r in hits:
+        passage = " ".join(texts[r.doc_id][r.longest_at:r.longest_at + r.longest_match])
+        assert any(f" {passage} " in f" {x} " for x in runs) and r.longest_match <= r.n_hit
+    assert hits
+
+
 def test_decontaminate_keeps_columns_and_clean_rows(spark, odd):
     bench = spark.createDataFrame(ITEMS[:1], "item_id string, text string")
     out = suffix_decontam.decontaminate(odd, bench)
@@ -378,6 +419,19 @@ def test_neighbours_many_cells(spark):
     assert sum(len(got[q] & set(want[q])) for q in want) >= 0.9 * 5 * len(want)
 
 
+@pytest.mark.parametrize("block", [1, 7])
+def test_query_blocks_of_a_cell_change_nothing(spark, monkeypatch, block):
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((400, 12)))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ask = vectors.where("vec_id < 30")
+    want = tuples(srs_neighbours.nearest(vectors, ask, cell_rows=40), "query_id", "rank", "vec_id", "score")
+    monkeypatch.setattr(srs_neighbours, "QUERY_BLOCK", block)
+    assert tuples(srs_neighbours.nearest(vectors, ask, cell_rows=40), "query_id", "rank", "vec_id", "score") == want
+    assert len(want) == 150
+    assert not srs_neighbours.nearest(vectors, vectors.limit(0)).count()
+
+
 # ------------------------------------------------------------------ 6 shards
 
 def test_shards_law(spark, odd, documents):

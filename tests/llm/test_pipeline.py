@@ -61,16 +61,19 @@ def test_mixing_stage(stages):
 
 def test_token_stage(stages, word_bpe):  # noqa: F811
     before, after = stages["tokens"]
-    rows = sorted((r.doc_id, r.text) for r in before.collect())
-    want, start = [], 0
-    for (i, _), ids in zip(rows, word_bpe([t for _, t in rows])):
-        ids = [*ids, 1]
-        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
-        start += len(ids)
-    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in after.collect()) == want
+    rows = [(r.doc_id, r.text) for r in before.collect()]
+    want = [(i, len(ids) + 1, zlib.crc32(np.array([*ids, 1], "<u4").tobytes()))
+            for (i, _), ids in zip(rows, word_bpe([t for _, t in rows]))]
+    got = sorted((r.start, r.n_tokens, r.doc_id, r.ids_crc32) for r in after.collect())
+    assert sorted((i, n, c) for _, n, i, c in got) == sorted(want)
+    assert [s for s, *_ in got] == [0, *np.cumsum([n for _, n, *_ in got]).tolist()[:-1]]
+    # the files keep a global shuffle: neither sorted by id nor copies side by side
+    order = [i for _, _, i, _ in got]
+    beside = sum(a == b for a, b in zip(order, order[1:]))
+    assert order != sorted(order) and beside < (len(order) - len(set(order))) / 2
 
 
 def test_run_is_registered(spark):
     assert corpus_pipeline.ORACLE_SQL is None
     assert corpus_pipeline.run(spark, SF001).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
-    assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted(f"op{i}" for i in range(1, 14))
