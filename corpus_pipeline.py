@@ -13,6 +13,9 @@ from pricewise.llm.common import stored, table
 from pricewise.llm.queries import tokenizer_file
 
 
+SEED = 42  # of the order of the token files
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier accepts."""
     model = quality_gbt.train(docs, table(spark, sf_dir, "labels"))
@@ -35,8 +38,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files; per document what is read back from them."""
-    return rans_tokens.token_output(docs, tokenizer_file("word_bpe_49k.json"))
+    """Token files in a drawn order, as the mixing stage left its rows; per document what is read back from them."""
+    return rans_tokens.token_output(docs, tokenizer_file("word_bpe_49k.json"), shuffle_seed=SEED)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
