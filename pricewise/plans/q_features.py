@@ -11,8 +11,9 @@ from pricewise.operators import windows as WN
 from pricewise.operators.metrics import regression_metrics
 from pricewise.plans import sqltext as Q
 from pricewise.plans import tables as T
-from pricewise.plans.catalog import cleaned, engineered, lookups, register, resolved, round4
+from pricewise.plans.catalog import ORACLE, cleaned, engineered, lookups, register, resolved, round4
 from pricewise.plans.sqltext import canon, num, r4, rolling_sql
+from pricewise.sources.buckets import resolve_bucketed, save_bucketed_pair, unresolved_bucketed
 
 CLEAN = f"({Q.CLEAN_SQL}) cl"
 RES = f"({Q.RESOLVED_ALL_SQL}) rs"
@@ -26,6 +27,22 @@ def q_resolve(spark, sf_dir):
     return resolved(spark, sf_dir).select("transaction_id", "postcode_clean", "district")
 
 
+def _bucketed_sales(spark, sf_dir):
+    return save_bucketed_pair(cleaned(spark, sf_dir), "postcode", T.postcode_directory(spark, sf_dir), "postcode", "district")
+
+
+@register("resolve_dimension_bucketed", f"SELECT transaction_id, postcode_clean, district FROM {RES}")
+def q_resolve_bucketed(spark, sf_dir):
+    """JN1 over sales and directory stored in the same buckets."""
+    return resolve_bucketed(spark, _bucketed_sales(spark, sf_dir)).select("transaction_id", "postcode_clean", "district")
+
+
+@register("unresolved_keys_bucketed", ORACLE["unresolved_keys"])
+def q_unresolved_bucketed(spark, sf_dir):
+    """FL5 over sales and directory stored in the same buckets."""
+    return unresolved_bucketed(spark, _bucketed_sales(spark, sf_dir))
+
+
 AUGMENT_SQL = f"""
 SELECT c.transaction_id, c.price, a.quantity
 FROM {CLEAN}
