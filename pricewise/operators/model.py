@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewise.operators.filters import FINISHED
@@ -31,6 +32,12 @@ LABEL = "__pw_label"
 PRED = "prediction"
 FIT = "__pw_fit"
 STAGE = "__pw_stage_"
+# Rows per cell (rows with equal model inputs) from which trees are grown over cells.
+ROWS_PER_CELL = 2
+# Different labels one row of a cell may hold; a cell with more has several rows.
+LABELS_PER_ROW = 20_000
+# Rounds after which the fit to the cells is written.
+STORE_ROUNDS = 10
 
 
 @dataclass(frozen=True)
@@ -83,6 +90,85 @@ def feature_pipeline(cfg: TrainConfig) -> Pipeline:
     ])
 
 
+def _cells(rows: DataFrame, inputs: Sequence[str], cfg: TrainConfig, bins: int) -> DataFrame | None:
+    """Rows with equal inputs as cells: (inputs, __pw_is_val, __pw_n rows, __pw_labels: the
+    labels with their counts); None if that is not worth it, or if there are too few cells for
+    the bins. Labels are counted before they are listed, and a cell of many is listed in parts."""
+    if cfg.subsample < 1.0 or cfg.extra:
+        return None
+    keys = [*inputs, "__pw_is_val"]
+    n, cells, fitted, most = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum("n"), F.count(F.lit(1)), F.count_if(~F.col("__pw_is_val")), F.max("n")).first()
+    if not n or n < ROWS_PER_CELL * cells or fitted < bins:
+        return None
+    part = F.pmod(F.xxhash64(LABEL), F.lit(-(-most // LABELS_PER_ROW)))
+    return (rows.groupBy(*keys, LABEL).agg(F.count(F.lit(1)).alias("n"))
+            .groupBy(*keys, part.alias("__pw_part"))
+            .agg(F.sum("n").alias("__pw_n"), F.collect_list(F.struct(F.col(LABEL).alias("y"), "n")).alias("__pw_labels"))
+            .drop("__pw_part"))
+
+
+def _over_labels(at: Column, value) -> Column:
+    """Sum of ``value(y, at)`` over a cell's rows. ``at`` is the start value's second field: taken
+    from there it is evaluated once a cell, not once a label."""
+    start = F.struct(F.lit(0.0).alias("total"), at.cast("double").alias("at"))
+    return F.aggregate("__pw_labels", start, lambda s, x: F.struct(
+        (s["total"] + x["n"] * value(x["y"], s["at"])).alias("total"), s["at"].alias("at")), lambda s: s["total"])
+
+
+def _ensemble(spark: SparkSession, trees: list, weights: list[float], out: str) -> GBTRegressionModel:
+    gateway, ml = spark.sparkContext._gateway, spark.sparkContext._jvm.org.apache.spark.ml.regression
+    these = gateway.new_array(ml.DecisionTreeRegressionModel, len(trees))
+    shares = gateway.new_array(gateway.jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights, strict=True)):
+        these[i], shares[i] = tree._java_obj, weight
+    model = GBTRegressionModel(ml.GBTRegressionModel(f"GBTRegressor_{uuid.uuid4().hex[:12]}", these, shares, trees[0].numFeatures))
+    return model.setFeaturesCol("__pw_features").setPredictionCol(out)
+
+
+def _boost_cells(state: DataFrame, kinds: dict, cfg: TrainConfig, rounds: int, seed: int, bins: int, out: str) -> GBTRegressionModel:
+    """What ``GBTRegressor`` fits to the rows (absolute loss, the same rule to end), grown over
+    cells: all rows of a cell have one prediction, so their pseudo-residuals (1 or -1) enter a
+    tree as the cell's mean, weighted by its rows. Splits and leaves follow from sums and
+    counts, which are the rows' own, so a round costs cells, not rows. Every ``STORE_ROUNDS``
+    rounds the fit so far is written; only trees since then are evaluated again."""
+    spark = state.sparkSession
+    tree = DecisionTreeRegressor(featuresCol="__pw_features", labelCol="__pw_target", weightCol="__pw_n", maxDepth=cfg.depth,
+                                 maxBins=bins, seed=seed, checkpointInterval=10)
+    trees, weights, recent, best, least, path = [], [], 0, 1, None, None
+    at = lambda: F.col(FIT) + F.col(out) if recent else F.col(FIT)
+    fitted = state
+    while len(trees) < rounds:
+        if trees:
+            target = _over_labels(at(), lambda y, p: F.when(y - p < 0, -1.0).otherwise(1.0))
+        else:
+            target = _over_labels(at(), lambda y, p: y - p)
+        aims = fitted.where("not __pw_is_val").select(
+            F.col("__pw_features").alias("__pw_features", metadata=kinds),
+            (target / F.col("__pw_n")).alias("__pw_target"), F.col("__pw_n").cast("double").alias("__pw_n")).persist()
+        trees.append(tree.fit(aims))
+        weights.append(cfg.step if weights else 1.0)
+        aims.unpersist()
+        recent += 1
+        fitted = _ensemble(spark, trees[-recent:], weights[-recent:], out).transform(state)
+        left = fitted.where("__pw_is_val").select(_over_labels(at(), lambda y, p: F.abs(y - p)).alias("e"), "__pw_n").agg(
+            F.sum("e"), F.sum("__pw_n")).first()
+        error = left[0] / left[1] if left[1] else 0.0
+        if least is not None and least - error < cfg.early_stop * max(error, 0.01):
+            break
+        least, best = error, len(trees)
+        if recent == STORE_ROUNDS:
+            before, path = path, scratch_path(spark, "rounds")
+            fitted.withColumn(FIT, at()).drop(out).write.parquet(path)
+            state = fitted = spark.read.schema(state.schema).parquet(path)
+            recent = 0
+            if before is not None:
+                remove_path(spark, before)
+    if path is not None:
+        remove_path(spark, path)
+    return _ensemble(spark, trees[:best], weights[:best], out)
+
+
 def train_price_model(train: DataFrame, validation: DataFrame | None = None,
                       cfg: TrainConfig = TrainConfig()) -> PipelineModel:
     """Fit StringIndexer + VectorAssembler + boosted trees (absolute loss) in stages.
@@ -97,6 +183,9 @@ def train_price_model(train: DataFrame, validation: DataFrame | None = None,
     training rows are the judges too. The result is a plain PipelineModel: the stages'
     regressors and one SQL sum.
 
+    Where rows share their inputs (``ROWS_PER_CELL`` of them on average), the table holds one
+    row per cell of equal inputs with all its labels, and a round's cost follows the cells.
+
     Labels are clipped per split. The bin count follows the fitted indexers, so any
     number of categories trains. Only error sums and the median reach the driver.
     """
@@ -107,27 +196,44 @@ def train_price_model(train: DataFrame, validation: DataFrame | None = None,
     spark = data.sparkSession
     prepared = feature_pipeline(cfg).fit(data)
     largest = max(len(labels) for labels in prepared.stages[1].labelsArray) + 1  # and the unknown one
+    bins = max(cfg.min_bins, largest)
     middle = quantile_scalar(data.where(~F.col("__pw_is_val")), LABEL, 0.5)
     base = float(spark.range(1).select(middle.cast("double")).first()[0])
     features = prepared.transform(data)
     kinds = features.schema["__pw_features"].metadata  # which entries are categories
-    state = features.select("__pw_features", LABEL, "__pw_is_val", F.lit(base).alias(FIT))
+    assembler = prepared.stages[2]
+    cells = _cells(features, assembler.getInputCols(), cfg, bins)
+    if cells is None:
+        state, labels = features.select("__pw_features", LABEL, "__pw_is_val"), [LABEL]
+    else:
+        labels = ["__pw_labels", "__pw_n"]
+        state = stored(assembler.transform(cells).select("__pw_features", *labels, "__pw_is_val"), "cells")
+    state = state.withColumn(FIT, F.lit(base))
     fits, weights, before = [], [], None
     for first in range(0, cfg.max_iter, cfg.stage_rounds):
         out = f"{STAGE}{len(fits)}"
-        gbt = GBTRegressor(featuresCol="__pw_features", labelCol="__pw_left", predictionCol=out,
-                           lossType="absolute", maxIter=min(cfg.stage_rounds, cfg.max_iter - first),
-                           maxDepth=cfg.depth, stepSize=cfg.step, seed=cfg.seed + first,
-                           maxBins=max(cfg.min_bins, largest), subsamplingRate=cfg.subsample,
-                           validationTol=cfg.early_stop, validationIndicatorCol="__pw_is_val",
-                           checkpointInterval=10, **cfg.extra)
-        fit = gbt.fit(state.select(F.col("__pw_features").alias("__pw_features", metadata=kinds), "__pw_is_val",
-                                   (F.col(LABEL) - F.col(FIT)).alias("__pw_left")))
+        rounds = min(cfg.stage_rounds, cfg.max_iter - first)
+        if cells is None:
+            gbt = GBTRegressor(featuresCol="__pw_features", labelCol="__pw_left", predictionCol=out,
+                               lossType="absolute", maxIter=rounds,
+                               maxDepth=cfg.depth, stepSize=cfg.step, seed=cfg.seed + first,
+                               maxBins=bins, subsamplingRate=cfg.subsample,
+                               validationTol=cfg.early_stop, validationIndicatorCol="__pw_is_val",
+                               checkpointInterval=10, **cfg.extra)
+            fit = gbt.fit(state.select(F.col("__pw_features").alias("__pw_features", metadata=kinds), "__pw_is_val",
+                                       (F.col(LABEL) - F.col(FIT)).alias("__pw_left")))
+        else:
+            fit = _boost_cells(state, kinds, cfg, rounds, cfg.seed + first, bins, out)
         path = scratch_path(spark, "boosting")
         fit.transform(state).write.parquet(path)
         scored = spark.read.parquet(path)
         choices = [0.0, *cfg.stage_weights]
-        errors = scored.where("__pw_is_val").agg(*[F.avg(F.abs(F.col(LABEL) - F.col(FIT) - w * F.col(out))) for w in choices]).first()
+        judged = scored.where("__pw_is_val")
+        if cells is None:
+            errors = judged.agg(*[F.avg(F.abs(F.col(LABEL) - F.col(FIT) - w * F.col(out))) for w in choices]).first()
+        else:
+            errors = judged.agg(*[F.sum(_over_labels(F.col(FIT) + w * F.col(out), lambda y, p: F.abs(y - p))) / F.sum("__pw_n")
+                                  for w in choices]).first()
         best = min(range(1, len(choices)), key=lambda i: errors[i])
         gains = errors[0] - errors[best] >= cfg.early_stop * max(errors[0], 0.01)
         if gains or not fits:
@@ -138,7 +244,7 @@ def train_price_model(train: DataFrame, validation: DataFrame | None = None,
         before = path
         if not gains:
             break
-        state = scored.select("__pw_features", LABEL, "__pw_is_val", (F.col(FIT) + choices[best] * F.col(out)).alias(FIT))
+        state = scored.select("__pw_features", *labels, "__pw_is_val", (F.col(FIT) + choices[best] * F.col(out)).alias(FIT))
     if before is not None:
         remove_path(spark, before)
     total = " + ".join([f"{base!r}D", *[f"{w!r}D * {STAGE}{k}" for k, w in enumerate(weights)]])

@@ -91,6 +91,29 @@ def test_stages_continue_while_they_gain_and_the_model_survives_saving(spark):
     assert rows(MD.score_table(again, df)) == rows(MD.score_table(model, df))
 
 
+def test_trees_are_grown_over_cells_and_equal_those_of_the_rows(spark, monkeypatch):
+    df = stored(_signal(spark, 6000, 0.5).withColumn("split", F.when(F.col("id") % 3 == 0, "validation").otherwise("train")), "signal")
+    train, val = df.where("split = 'train'"), df.where("split = 'validation'")
+    cfg = MD.TrainConfig(cat_features=("kind",), num_features=("size",), depth=2, step=0.1, clip_target_q=1.0, max_iter=6, stage_rounds=3)
+    seen, fit = [], MD.DecisionTreeRegressor.fit
+    monkeypatch.setattr(MD.DecisionTreeRegressor, "fit", lambda self, d: seen.append(d.count()) or fit(self, d))
+    monkeypatch.setattr(MD, "STORE_ROUNDS", 2)
+    cells = MD.train_price_model(train, val, cfg)
+    assert seen and max(seen) <= 200 < train.count() / 10   # 4 kinds x 50 sizes
+    monkeypatch.setattr(MD, "LABELS_PER_ROW", 7)   # a cell of many labels has several rows
+    parts = MD.train_price_model(train, val, cfg)
+    assert max(seen) > 200
+    seen.clear()
+    monkeypatch.setattr(MD, "ROWS_PER_CELL", 10 ** 9)
+    plain = MD.train_price_model(train, val, cfg)
+    assert not seen
+    shape = lambda m: [(w, list(g.treeWeights), [t.numNodes for t in g.trees]) for w, g in MD.boosted_stages(m)]
+    want = {r.id: r.predicted_price for r in MD.score_table(plain, df).collect()}
+    for m in (cells, parts):
+        assert shape(m) == shape(plain)
+        assert all(r.predicted_price == pytest.approx(want[r.id], rel=1e-9) for r in MD.score_table(m, df).collect())
+
+
 def test_noise_is_not_learned(spark):
     u = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(10_000)) / 10_000
     df = stored(_signal(spark, 900, 0.0).withColumn("price", 1e5 * (1 + 4 * u))
