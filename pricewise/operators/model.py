@@ -32,12 +32,15 @@ LABEL = "__pw_label"
 PRED = "prediction"
 FIT = "__pw_fit"
 STAGE = "__pw_stage_"
-# Rows per cell (rows with equal model inputs) from which trees are grown over cells.
+# Rows per cell (rows with equal model inputs) from which equal rows are counted as pairs of inputs
+# and label, and pairs per cell from which trees are grown over cells.
 ROWS_PER_CELL = 2
 # Different labels one row of a cell may hold; a cell with more has several rows.
 LABELS_PER_ROW = 20_000
 # Rounds after which the fit to the cells is written.
 STORE_ROUNDS = 10
+# Cells, and labels in them, of one task: a round has some ten short jobs, so few cells on many tasks cost only their start.
+CELLS_PER_TASK, CELL_LABELS_PER_TASK = 50_000, 500_000
 
 
 @dataclass(frozen=True)
@@ -90,22 +93,32 @@ def feature_pipeline(cfg: TrainConfig) -> Pipeline:
     ])
 
 
-def _cells(rows: DataFrame, inputs: Sequence[str], cfg: TrainConfig, bins: int) -> DataFrame | None:
-    """Rows with equal inputs as cells: (inputs, __pw_is_val, __pw_n rows, __pw_labels: the
-    labels with their counts); None if that is not worth it, or if there are too few cells for
-    the bins. Labels are counted before they are listed, and a cell of many is listed in parts."""
+def _pairs(rows: DataFrame, inputs: Sequence[str], cfg: TrainConfig, bins: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """(cells, pairs), one of them or none: fewer rows that say what ``rows`` say. Pairs are rows of
+    equal inputs and label, counted (__pw_n). Cells are pairs of equal inputs with their labels and
+    counts listed (__pw_labels; __pw_n rows in all; many labels are listed in parts): worth it with
+    ``ROWS_PER_CELL`` pairs a cell. None if few rows share inputs, or if there are too few for the bins."""
     if cfg.subsample < 1.0 or cfg.extra:
-        return None
+        return None, None
     keys = [*inputs, "__pw_is_val"]
-    n, cells, fitted, most = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.sum("n"), F.count(F.lit(1)), F.count_if(~F.col("__pw_is_val")), F.max("n")).first()
-    if not n or n < ROWS_PER_CELL * cells or fitted < bins:
-        return None
-    part = F.pmod(F.xxhash64(LABEL), F.lit(-(-most // LABELS_PER_ROW)))
-    return (rows.groupBy(*keys, LABEL).agg(F.count(F.lit(1)).alias("n"))
-            .groupBy(*keys, part.alias("__pw_part"))
-            .agg(F.sum("n").alias("__pw_n"), F.collect_list(F.struct(F.col(LABEL).alias("y"), "n")).alias("__pw_labels"))
-            .drop("__pw_part"))
+    pairs = stored(rows.groupBy(*keys, LABEL).agg(F.count(F.lit(1)).alias("__pw_n")), "pairs")
+    fitted = ~F.col("__pw_is_val")
+    n, held, held_fit, cells, cells_fit, most = pairs.groupBy(*keys).agg(F.sum("__pw_n").alias("n"), F.count(F.lit(1)).alias("p")).agg(
+        F.sum("n"), F.sum("p"), F.sum(F.when(fitted, F.col("p"))), F.count(F.lit(1)), F.count_if(fitted), F.max("p")).first()
+    if not n or n < ROWS_PER_CELL * cells or (cells_fit if held >= ROWS_PER_CELL * cells else held_fit) < bins:
+        return None, None
+    if held >= ROWS_PER_CELL * cells:
+        part = F.pmod(F.xxhash64(LABEL), F.lit(-(-most // LABELS_PER_ROW)))
+        return (pairs.groupBy(*keys, part.alias("__pw_part"))
+                .agg(F.collect_list(F.struct(F.col(LABEL).alias("y"), F.col("__pw_n").alias("n"))).alias("__pw_labels"), F.sum("__pw_n").alias("__pw_n"))
+                .drop("__pw_part")), None
+    return None, pairs
+
+
+def _tasks(rows: DataFrame, held: Column) -> int:
+    """Tasks for a pass over stored pairs or cells that hold so many labels."""
+    size, labels = rows.agg(F.count(F.lit(1)), F.sum(held)).first()
+    return max(1, -(-size // CELLS_PER_TASK), -(-labels // CELL_LABELS_PER_TASK))
 
 
 def _over_labels(at: Column, value) -> Column:
@@ -126,41 +139,43 @@ def _ensemble(spark: SparkSession, trees: list, weights: list[float], out: str)
     return model.setFeaturesCol("__pw_features").setPredictionCol(out)
 
 
-def _boost_cells(state: DataFrame, kinds: dict, cfg: TrainConfig, rounds: int, seed: int, bins: int, out: str) -> GBTRegressionModel:
+def _boost_cells(state: DataFrame, kinds: dict, cfg: TrainConfig, rounds: int, seed: int, bins: int, out: str, tasks: int) -> GBTRegressionModel:
     """What ``GBTRegressor`` fits to the rows (absolute loss, the same rule to end), grown over
     cells: all rows of a cell have one prediction, so their pseudo-residuals (1 or -1) enter a
     tree as the cell's mean, weighted by its rows. Splits and leaves follow from sums and
-    counts, which are the rows' own, so a round costs cells, not rows. Every ``STORE_ROUNDS``
+    counts, which are the rows' own, so a round costs cells, not rows. One pass a round
+    gives the error of the trees so far and the next tree's targets. Every ``STORE_ROUNDS``
     rounds the fit so far is written; only trees since then are evaluated again."""
     spark = state.sparkSession
     tree = DecisionTreeRegressor(featuresCol="__pw_features", labelCol="__pw_target", weightCol="__pw_n", maxDepth=cfg.depth,
                                  maxBins=bins, seed=seed, checkpointInterval=10)
     trees, weights, recent, best, least, path = [], [], 0, 1, None, None
-    at = lambda: F.col(FIT) + F.col(out) if recent else F.col(FIT)
     fitted = state
-    while len(trees) < rounds:
+    while True:
+        at = F.col(FIT) + F.col(out) if recent else F.col(FIT)
+        step = (lambda y, p: F.when(y - p < 0, -1.0).otherwise(1.0)) if trees else (lambda y, p: y - p)
+        aims = fitted.select(
+            F.col("__pw_features").alias("__pw_features", metadata=kinds), "__pw_is_val", F.col("__pw_n").cast("double").alias("__pw_n"),
+            F.when(F.col("__pw_is_val"), _over_labels(at, lambda y, p: F.abs(y - p)))
+            .otherwise(_over_labels(at, step) / F.col("__pw_n")).alias("__pw_target")).persist()
         if trees:
-            target = _over_labels(at(), lambda y, p: F.when(y - p < 0, -1.0).otherwise(1.0))
-        else:
-            target = _over_labels(at(), lambda y, p: y - p)
-        aims = fitted.where("not __pw_is_val").select(
-            F.col("__pw_features").alias("__pw_features", metadata=kinds),
-            (target / F.col("__pw_n")).alias("__pw_target"), F.col("__pw_n").cast("double").alias("__pw_n")).persist()
-        trees.append(tree.fit(aims))
+            left = aims.where("__pw_is_val").agg(F.sum("__pw_target"), F.sum("__pw_n")).first()
+            error = left[0] / left[1] if left[1] else 0.0
+            ends = least is not None and least - error < cfg.early_stop * max(error, 0.01)
+            if not ends:
+                least, best = error, len(trees)
+            if ends or len(trees) == rounds:
+                aims.unpersist()
+                break
+        trees.append(tree.fit(aims.where("not __pw_is_val")))
         weights.append(cfg.step if weights else 1.0)
         aims.unpersist()
         recent += 1
         fitted = _ensemble(spark, trees[-recent:], weights[-recent:], out).transform(state)
-        left = fitted.where("__pw_is_val").select(_over_labels(at(), lambda y, p: F.abs(y - p)).alias("e"), "__pw_n").agg(
-            F.sum("e"), F.sum("__pw_n")).first()
-        error = left[0] / left[1] if left[1] else 0.0
-        if least is not None and least - error < cfg.early_stop * max(error, 0.01):
-            break
-        least, best = error, len(trees)
         if recent == STORE_ROUNDS:
             before, path = path, scratch_path(spark, "rounds")
-            fitted.withColumn(FIT, at()).drop(out).write.parquet(path)
-            state = fitted = spark.read.schema(state.schema).parquet(path)
+            fitted.withColumn(FIT, F.col(FIT) + F.col(out)).drop(out).write.parquet(path)
+            state = fitted = spark.read.schema(state.schema).parquet(path).coalesce(tasks)
             recent = 0
             if before is not None:
                 remove_path(spark, before)
@@ -184,7 +199,8 @@ def train_price_model(train: DataFrame, validation: DataFrame | None = None,
     regressors and one SQL sum.
 
     Where rows share their inputs (``ROWS_PER_CELL`` of them on average), the table holds one
-    row per cell of equal inputs with all its labels, and a round's cost follows the cells.
+    row per cell of equal inputs with all its labels, or, if most cells have one, a weighted row
+    per pair of inputs and label. A round's cost then follows the cells or pairs, not the rows.
 
     Labels are clipped per split. The bin count follows the fitted indexers, so any
     number of categories trains. Only error sums and the median reach the driver.
@@ -202,12 +218,19 @@ def train_price_model(train: DataFrame, validation: DataFrame | None = None,
     features = prepared.transform(data)
     kinds = features.schema["__pw_features"].metadata  # which entries are categories
     assembler = prepared.stages[2]
-    cells = _cells(features, assembler.getInputCols(), cfg, bins)
-    if cells is None:
-        state, labels = features.select("__pw_features", LABEL, "__pw_is_val"), [LABEL]
+    cells, pairs = _pairs(features, assembler.getInputCols(), cfg, bins)
+    tasks, weighted = None, {}
+    if cells is not None:
+        labels, held = ["__pw_labels", "__pw_n"], F.size("__pw_labels")
+    elif pairs is not None:
+        labels, held, weighted = [LABEL, "__pw_n"], F.lit(1), {"weightCol": "__pw_n"}
     else:
-        labels = ["__pw_labels", "__pw_n"]
-        state = stored(assembler.transform(cells).select("__pw_features", *labels, "__pw_is_val"), "cells")
+        labels = [LABEL]
+        state = features.select("__pw_features", *labels, "__pw_is_val")
+    if len(labels) > 1:
+        state = stored(assembler.transform(pairs if cells is None else cells).select("__pw_features", *labels, "__pw_is_val"), "cells")
+        tasks = _tasks(state, held)
+        state = state.coalesce(tasks)
     state = state.withColumn(FIT, F.lit(base))
     fits, weights, before = [], [], None
     for first in range(0, cfg.max_iter, cfg.stage_rounds):
@@ -219,18 +242,19 @@ def train_price_model(train: DataFrame, validation: DataFrame | None = None,
                                maxDepth=cfg.depth, stepSize=cfg.step, seed=cfg.seed + first,
                                maxBins=bins, subsamplingRate=cfg.subsample,
                                validationTol=cfg.early_stop, validationIndicatorCol="__pw_is_val",
-                               checkpointInterval=10, **cfg.extra)
-            fit = gbt.fit(state.select(F.col("__pw_features").alias("__pw_features", metadata=kinds), "__pw_is_val",
+                               checkpointInterval=10, **weighted, **cfg.extra)
+            fit = gbt.fit(state.select(F.col("__pw_features").alias("__pw_features", metadata=kinds), "__pw_is_val", *labels[1:],
                                        (F.col(LABEL) - F.col(FIT)).alias("__pw_left")))
         else:
-            fit = _boost_cells(state, kinds, cfg, rounds, cfg.seed + first, bins, out)
+            fit = _boost_cells(state, kinds, cfg, rounds, cfg.seed + first, bins, out, tasks)
         path = scratch_path(spark, "boosting")
         fit.transform(state).write.parquet(path)
         scored = spark.read.parquet(path)
         choices = [0.0, *cfg.stage_weights]
         judged = scored.where("__pw_is_val")
         if cells is None:
-            errors = judged.agg(*[F.avg(F.abs(F.col(LABEL) - F.col(FIT) - w * F.col(out))) for w in choices]).first()
+            n = F.col("__pw_n") if weighted else F.lit(1)
+            errors = judged.agg(*[F.sum(n * F.abs(F.col(LABEL) - F.col(FIT) - w * F.col(out))) / F.sum(n) for w in choices]).first()
         else:
             errors = judged.agg(*[F.sum(_over_labels(F.col(FIT) + w * F.col(out), lambda y, p: F.abs(y - p))) / F.sum("__pw_n")
                                   for w in choices]).first()
@@ -245,6 +269,8 @@ def train_price_model(train: DataFrame, validation: DataFrame | None = None,
         if not gains:
             break
         state = scored.select("__pw_features", *labels, "__pw_is_val", (F.col(FIT) + choices[best] * F.col(out)).alias(FIT))
+        if tasks:
+            state = state.coalesce(tasks)
     if before is not None:
         remove_path(spark, before)
     total = " + ".join([f"{base!r}D", *[f"{w!r}D * {STAGE}{k}" for k, w in enumerate(weights)]])
