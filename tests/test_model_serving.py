@@ -114,6 +114,25 @@ def test_trees_are_grown_over_cells_and_equal_those_of_the_rows(spark, monkeypat
         assert all(r.predicted_price == pytest.approx(want[r.id], rel=1e-9) for r in MD.score_table(m, df).collect())
 
 
+def test_equal_rows_are_trained_as_weighted_pairs_and_give_the_trees_of_the_rows(spark, monkeypatch):
+    once = _signal(spark, 900, 0.5).withColumn("size", F.col("id").cast("double"))   # one label a cell
+    df = stored(once.withColumn("split", F.when(F.col("id") % 3 == 0, "validation").otherwise("train"))
+                .withColumn("copy", F.explode(F.sequence(F.lit(0), F.pmod(F.col("id"), F.lit(5)) + 1))), "copies")
+    train, val = df.where("split = 'train'"), df.where("split = 'validation'")
+    cfg = MD.TrainConfig(cat_features=("kind",), num_features=("size",), depth=2, step=0.1, clip_target_q=1.0, max_iter=6, stage_rounds=3)
+    seen, fit = [], MD.GBTRegressor.fit
+    monkeypatch.setattr(MD.GBTRegressor, "fit", lambda self, d: seen.append((d.count(), d.rdd.getNumPartitions())) or fit(self, d))
+    pairs = MD.train_price_model(train, val, cfg)
+    assert seen and set(seen) == {(900, 1)} and df.count() > 3 * 900
+    monkeypatch.setattr(MD, "ROWS_PER_CELL", 10 ** 9)
+    plain = MD.train_price_model(train, val, cfg)
+    assert seen[-1][0] == df.count()
+    shape = lambda m: [(w, list(g.treeWeights), [t.numNodes for t in g.trees]) for w, g in MD.boosted_stages(m)]
+    want = {r.id: r.predicted_price for r in MD.score_table(plain, df).collect()}
+    assert shape(pairs) == shape(plain)
+    assert all(r.predicted_price == pytest.approx(want[r.id], rel=1e-9) for r in MD.score_table(pairs, df).collect())
+
+
 def test_noise_is_not_learned(spark):
     u = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(10_000)) / 10_000
     df = stored(_signal(spark, 900, 0.0).withColumn("price", 1e5 * (1 + 4 * u))
