@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from pricewise.operators.filters import FINISHED
 from pricewise.operators.metrics import metrics_record, regression_metrics
-from pricewise.operators.stats import quantile_scalar
+from pricewise.operators.stats import join_small, quantile_scalar
 from pricewise.session import remove_path, scratch_path, stored
 
 # The 13 model inputs in their required order.
@@ -284,13 +284,32 @@ def boosted_stages(model: PipelineModel) -> list[tuple[float, GBTRegressionModel
     return list(zip(weights, [s for s in model.stages if isinstance(s, GBTRegressionModel)], strict=True))
 
 
+def model_inputs(model: PipelineModel) -> list[str]:
+    """The columns of a scored table that the model reads."""
+    _numbers, indexer, assembler = model.stages[:3]
+    numeric = [c.removeprefix("__pw_num_") for c in assembler.getInputCols() if c.startswith("__pw_num_")]
+    return list(dict.fromkeys([*indexer.getInputCols(), *numeric]))
+
+
 def score_table(model: PipelineModel, df: DataFrame, log_target: bool = True,
                 out_col: str = "predicted_price") -> DataFrame:
-    """Predict every row; invert the log target. Input columns are kept."""
-    scored = model.transform(df)
-    pred = F.expm1(F.col(PRED)) if log_target else F.col(PRED)
+    """Predict every row; invert the log target. Input columns are kept.
+
+    Rows of equal inputs have one prediction: each combination that occurs passes the trees
+    once and is joined back (nulls and NaN are values like others), so trees x rows is never
+    computed. A stream cannot be read twice and is predicted row by row.
+    """
+    price = F.expm1(F.col(PRED)) if log_target else F.col(PRED)
+    if df.isStreaming:
+        scored = model.transform(df).withColumn(out_col, price)
+    else:
+        inputs = model_inputs(model)
+        cells = model.transform(df.select(*inputs).distinct()).select(
+            *[F.col(c).alias(f"__pw_in_{c}") for c in inputs], price.alias("__pw_price"))
+        same = [F.col(c).eqNullSafe(F.col(f"__pw_in_{c}")) for c in inputs]
+        scored = join_small(df, cells, same).withColumn(out_col, F.col("__pw_price"))
     internal = [c for c in scored.columns if c.startswith("__pw_") or c == PRED]
-    return scored.withColumn(out_col, pred).drop(*internal)
+    return scored.drop(*internal)
 
 
 def evaluate_model(model: PipelineModel, split_df: DataFrame, split_col: str = "split",

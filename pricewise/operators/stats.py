@@ -75,7 +75,7 @@ def row_bytes(df: DataFrame) -> Column:
     return total.cast("long")
 
 
-def join_small(big: DataFrame, small: DataFrame, on: "str | Sequence[str]", how: str = "left",
+def join_small(big: DataFrame, small: DataFrame, on: "str | Sequence[str | Column]", how: str = "left",
                max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Join ``big`` with an aggregate ``small`` side, broadcasting it only after
     checking its size.

@@ -133,6 +133,24 @@ def test_equal_rows_are_trained_as_weighted_pairs_and_give_the_trees_of_the_rows
     assert all(r.predicted_price == pytest.approx(want[r.id], rel=1e-9) for r in MD.score_table(pairs, df).collect())
 
 
+def test_equal_inputs_pass_the_trees_once_and_every_row_gets_its_price(spark, monkeypatch):
+    clean = stored(_signal(spark, 3000, 0.5), "signal")
+    df = stored(clean.withColumn("kind", F.when(F.col("id") % 7 > 0, F.col("kind")))
+                .withColumn("size", F.when(F.col("id") % 11 == 0, F.lit(float("nan"))).when(F.col("id") % 13 > 0, F.col("size"))), "odd")
+    cfg = MD.TrainConfig(cat_features=("kind",), num_features=("size",), depth=3, step=0.1, clip_target_q=1.0, max_iter=3)
+    model = MD.train_price_model(clean, cfg=cfg)
+    want = {r.id: r for r in model.transform(df).withColumn("predicted_price", F.expm1("prediction")).select(*df.columns, "predicted_price").collect()}
+    seen, transform = [], PipelineModel.transform
+    monkeypatch.setattr(PipelineModel, "transform", lambda self, d: seen.append(d.count()) or transform(self, d))
+    scored = MD.score_table(model, df)
+    assert sum(seen) <= 5 * 52 < df.count() / 10   # 4 kinds and none x 50 sizes, NaN and none
+    assert scored.columns == [*df.columns, "predicted_price"]
+    got = scored.collect()
+    assert len(got) == 3000 and {repr(r) for r in got} == {repr(r) for r in want.values()}
+    assert not any(r.predicted_price is None for r in got)
+    assert MD.score_table(model, df.limit(0)).count() == 0
+
+
 def test_noise_is_not_learned(spark):
     u = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(10_000)) / 10_000
     df = stored(_signal(spark, 900, 0.0).withColumn("price", 1e5 * (1 + 4 * u))
